@@ -24,10 +24,11 @@ class Config:
     # Dimension tables with at most this many rows are broadcast; larger
     # ones are joined by shuffle (see operators.joins.dimension).
     broadcast_max_rows: int = 500_000
-    # "persist" keeps shared stages in executor memory/disk (lineage kept, so
-    # a lost executor's blocks are recomputed); "checkpoint" writes them to
-    # spark.checkpoint.dir and cuts the lineage; "none" recomputes.
-    materialize: str = "persist"
+    # "table" writes shared stages as parquet under spark.checkpoint.dir and
+    # reads them back (lineage cut, pruning and pushdown on later reads);
+    # "checkpoint" uses Dataset.checkpoint there; "persist" keeps them in
+    # executor memory/disk with the lineage; "none" recomputes.
+    materialize: str = "table"
 
 
 # The fixture tables hold a few thousand policyholders, so the production
