@@ -1,8 +1,9 @@
 """The survey pull as a graph of memoised Spark stages.
 
 Each stage is a lazily built DataFrame.  Stages read by several later
-stages or reports (F1, F1A, F2, F2A, F3, F4) are materialised once per pull,
-like the source's CREATE TABLE AS SELECT chain.  By default each is written
+stages or reports (the enriched profile, the claim rollups, F1, F2, F2A, F3,
+F4) are materialised once per pull, like the source's CREATE TABLE AS
+SELECT chain; F1A is a filter on F1 and F4A a sample of F4, read in place.  By default each is written
 as a parquet table under the session's ``spark.checkpoint.dir`` (the shared
 folder of the cluster) and read back: the lineage is cut, so a lost executor
 costs no recomputation of earlier stages, later plans stay small (a
@@ -86,14 +87,18 @@ class SurveyPull:
 
     @cached_property
     def inforce_quarterly(self) -> DataFrame:
+        return self._materialise(self._inforce_quarterly(), "inforce_quarterly")
+
+    def _inforce_quarterly(self) -> DataFrame:
         return enrich(self.ah_inforce, self.t["policy_pets"], self.t["dw_policy_header"], self.t["dw_dim_insured"],
                       self.dim("dw_dim_breed"), self.t["dw_wp"], self.dim("dw_dim_source"), self.dim("dw_dim_origin"),
                       self.dim("dw_dim_paymentplan"), self.dim("dw_dim_provider"), self.dim("dw_dim_group"))
 
     @cached_property
     def claim_rollups(self) -> DataFrame:
-        return claim_rollups(self.t["dw_policy_header"], self.t["dw_claim_header"], self.t["dw_claim_revision"],
-                             self.t["dw_claim_diagnosis"], self.t["dw_claim_details"], self.dim("dw_dim_coverage"))
+        return self._materialise(claim_rollups(
+            self.t["dw_policy_header"], self.t["dw_claim_header"], self.t["dw_claim_revision"],
+            self.t["dw_claim_diagnosis"], self.t["dw_claim_details"], self.dim("dw_dim_coverage")), "claim_rollups")
 
     @property
     def inforce_well_dw(self) -> DataFrame:
@@ -127,7 +132,7 @@ class SurveyPull:
 
     @cached_property
     def nps_f1a(self) -> DataFrame:
-        return self._materialise(first_policy_per_holder(self.nps_f1_full), "nps_f1a")
+        return first_policy_per_holder(self.nps_f1_full)
 
     # -- suppression and sampling ------------------------------------------------
     @cached_property
@@ -162,7 +167,7 @@ class SurveyPull:
 
     @cached_property
     def nps_f4a(self) -> DataFrame:
-        return self._materialise(random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a")
+        return random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1)
 
     # -- funnel ------------------------------------------------------------------
     def funnel(self) -> DataFrame:

@@ -8,6 +8,7 @@ materialised once and every later query reuses it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from canvass.config import FIXTURE_CONFIG, Config
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
+from canvass.session import ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
 
 _PULLS: dict[tuple, SurveyPull] = {}
 
 
 def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG) -> SurveyPull:
+    """The shared pull over ``sf_dir``; its warehouse is landed once as parquet
+    under the session's checkpoint folder (see ``FixtureWarehouse.land``)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)
     if key not in _PULLS:
-        _PULLS[key] = SurveyPull(spark, FixtureWarehouse(spark, sf_dir), config)
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-warehouse-{uuid.uuid4().hex[:12]}"
+        tables = FixtureWarehouse(spark, sf_dir).land(root)
+        _PULLS[key] = SurveyPull(spark, tables, config)
     return _PULLS[key]
 
 
