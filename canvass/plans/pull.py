@@ -96,9 +96,12 @@ class SurveyPull:
 
     @cached_property
     def claim_rollups(self) -> DataFrame:
-        return self._materialise(claim_rollups(
-            self.t["dw_policy_header"], self.t["dw_claim_header"], self.t["dw_claim_revision"],
-            self.t["dw_claim_diagnosis"], self.t["dw_claim_details"], self.dim("dw_dim_coverage")), "claim_rollups")
+        return self._materialise(self.claim_rollups_plan(), "claim_rollups")
+
+    def claim_rollups_plan(self) -> DataFrame:
+        """The claim rollup query itself (not the materialised copy)."""
+        return claim_rollups(self.t["dw_policy_header"], self.t["dw_claim_header"], self.t["dw_claim_revision"],
+                             self.t["dw_claim_diagnosis"], self.t["dw_claim_details"], self.dim("dw_dim_coverage"))
 
     @property
     def inforce_well_dw(self) -> DataFrame:
@@ -148,10 +151,13 @@ class SurveyPull:
     def cancellations(self) -> DataFrame:
         return future_cancellations(self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"], self.config.as_of)
 
+    def nps_f2_plan(self) -> DataFrame:
+        return eligible(self.nps_f1a, self.nps_scrubber, self.t["bad_email"], self.t["dw_policy_pet"],
+                        self.dim("dw_dim_policy_status"), self.cancellations)
+
     @cached_property
     def nps_f2(self) -> DataFrame:
-        return self._materialise(eligible(self.nps_f1a, self.nps_scrubber, self.t["bad_email"], self.t["dw_policy_pet"],
-                                          self.dim("dw_dim_policy_status"), self.cancellations), "nps_f2")
+        return self._materialise(self.nps_f2_plan(), "nps_f2")
 
     @cached_property
     def nps_f2a(self) -> DataFrame:
@@ -161,9 +167,12 @@ class SurveyPull:
     def nps_f3(self) -> DataFrame:
         return self._materialise(random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3")
 
+    def nps_f4_plan(self) -> DataFrame:
+        return new_policy_pool(self.nps_f2a, self.nps_f3)
+
     @cached_property
     def nps_f4(self) -> DataFrame:
-        return self._materialise(new_policy_pool(self.nps_f2a, self.nps_f3), "nps_f4")
+        return self._materialise(self.nps_f4_plan(), "nps_f4")
 
     @cached_property
     def nps_f4a(self) -> DataFrame:

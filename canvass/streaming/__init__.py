@@ -1,0 +1,5 @@
+"""Incremental ingestion of the hand-loaded suppression lists."""
+
+from canvass.streaming.suppression_feed import start_suppression_feed
+
+__all__ = ["start_suppression_feed"]

@@ -1,0 +1,74 @@
+"""Suppression lists as a file stream appended to the suppression table.
+
+The pull's suppression list grows by hand: files A1 ... D2 are imported,
+then list G1 (policy numbers) and list H (e-mails) are resolved to
+policyholder codes and appended with ``INSERT INTO``.  Here a landing folder
+is read as a Structured Streaming file source: each new file is read once,
+resolved the same way (stream-static joins against the policy header or the
+policyholder table) and appended to a parquet table.  The checkpoint keeps
+exactly-once bookkeeping, so a re-run or a lost executor never appends a file
+twice, which the repeated ``INSERT`` of the source could.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from canvass.session import ensure_checkpoint_dir
+from canvass.sources.lists import EMAIL_LIST, INSURED_LIST, POLICY_LIST
+
+KINDS = {"insured": INSURED_LIST, "policy": POLICY_LIST, "email": EMAIL_LIST}
+
+
+def _clean(df: DataFrame, schema: StructType) -> DataFrame:
+    cols = [F.nullif(F.trim(F.col(f.name)), F.lit("")).alias(f.name) for f in schema.fields]
+    source = F.element_at(F.split(F.col("_metadata.file_name"), r"\."), 1)
+    return df.select(*cols, source.alias("source"))
+
+
+def resolve(batch: DataFrame, kind: str, header: DataFrame | None = None, insured: DataFrame | None = None) -> DataFrame:
+    """Map a list batch to ``(insured_code, source)`` rows.
+
+    ``insured``: codes as given.  ``policy``: distinct holders of the listed
+    policy numbers.  ``email``: every policyholder whose e-mail matches,
+    case-insensitively (not distinct, as in the source).
+    """
+    if kind == "insured":
+        return batch.select("insured_code", "source")
+    if kind == "policy":
+        return (batch.join(header.select("policy_no", "insured_code"), "policy_no")
+                .select("insured_code", "source").distinct())
+    if kind == "email":
+        return (batch.select(F.lower(F.col("email")).alias("_email"), "source")
+                .join(insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code"), "_email")
+                .select("insured_code", "source"))
+    raise ValueError(f"unknown list kind {kind!r}")
+
+
+def start_suppression_feed(spark: SparkSession, landing_dir: str, table_path: str, kind: str = "insured", *,
+                           header: DataFrame | None = None, insured: DataFrame | None = None,
+                           checkpoint: str | None = None, available_now: bool = True,
+                           max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start appending list files from ``landing_dir`` to ``table_path``.
+
+    ``kind`` is ``insured``, ``policy`` (needs ``header``) or ``email``
+    (needs ``insured``).  The checkpoint defaults to a folder under the
+    session's ``spark.checkpoint.dir``.  With ``available_now`` the query
+    processes every file present and stops; otherwise it keeps watching.
+    """
+    schema = KINDS[kind]
+    reader = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = resolve(_clean(reader.csv(landing_dir), schema), kind, header=header, insured=insured)
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/suppression-feed-{kind}-{uuid.uuid4().hex[:8]}"
+    writer = (rows.writeStream.format("parquet").option("path", table_path)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
