@@ -30,9 +30,15 @@ def _zero(c: str, typ: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0).cast(typ))
 
 
-def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame, group: DataFrame) -> DataFrame:
+def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame, group: DataFrame,
+                      referrals: DataFrame | None = None) -> DataFrame:
     """AH_INFORCE_NPS plus the hidden column ``_min_policy_no``.
 
+    With ``referrals`` (D6's ``vi_insured, policy_referred_count``) the
+    result is NPS_F1: the referral count is per policyholder, so it is joined
+    to the narrow per-household aggregate and rides along with it, instead of
+    a second join of the wide rows.
+
     * claim counts and amounts by ``policy_no``, zero when there are none;
     * income of the 5-digit zip code (``substr(trim(zip), 1, 5)``);
     * ``total_pets``: profile rows of the household with a policy number;
@@ -81,7 +87,12 @@ def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame
                   weighted(species == SPECIES_AVIAN).alias("avian"),
                   weighted(species.isin(*SPECIES_EXOTIC)).alias("exoticothers"),
                   F.min("policy_no").alias(MIN_POLICY)))
+    extra = []
+    if referrals is not None:
+        r = referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count")
+        stats = stats.join(r, "insured_code", "left")
+        extra = ["policy_referred_count"]
     g = group.select("group_code", "group_name")
     return (t.join(stats, "insured_code", "left")
             .join(g, "group_code", "left")
-            .select(*NPS_COLUMNS, MIN_POLICY))
+            .select(*NPS_COLUMNS, *extra, MIN_POLICY))

@@ -16,7 +16,9 @@ def inforce_snapshot(header: DataFrame, inforce: DataFrame, report_date: dt.date
     The source groups the header-inforce join by all header columns, which
     only keeps one row per term; a semi join followed by ``distinct`` is the
     same result without carrying the in-force fact's fan-out through a join.
-    The date predicate is pushed into the in-force scan.
+    The date predicate is pushed into the in-force scan, and the fact's
+    repeated rows per term are collapsed map-side (``distinct`` before the
+    shuffle, whose hash partitioning the semi join then reuses).
     """
-    period = inforce.filter(F.col("reportperiod") == F.lit(report_date)).select("policyid")
+    period = inforce.filter(F.col("reportperiod") == F.lit(report_date)).select("policyid").distinct()
     return header.join(period, "policyid", "left_semi").select(*SNAPSHOT_COLUMNS).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES
+from canvass.operators.joins import dimension
 
 
 def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
@@ -46,7 +47,7 @@ def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFra
 
 
 def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_pet: DataFrame,
-             policy_status: DataFrame, cancellations: DataFrame) -> DataFrame:
+             policy_status: DataFrame, cancellations: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """NPS_F2: F1A without suppressed, bad-e-mail, staff and cancelling holders.
 
     The source writes its three exclusions as ``LEFT JOIN ... WHERE key IS
@@ -56,18 +57,26 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
     stays.  The status join is an inner join on the policy number: a policy
     with two kept status rows appears twice.  NULL origin codes fail
     ``NOT IN`` and drop, as in SQL.
+
+    The suppressed and the cancelling policyholders are one exclusion set,
+    so a single anti join on the policyholder code removes both.  With
+    ``max_broadcast_rows``, an exclusion set that passes that size check is
+    broadcast and the population is not shuffled for it.
     """
-    suppressed = scrubber.select(F.trim(F.col("insured_code")).alias("insured_code"))
-    bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email"))
+    excluded = (scrubber.select(F.trim(F.col("insured_code")).alias("insured_code"))
+                .unionByName(cancellations.select("insured_code")).distinct())
+    bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email")).distinct()
+    if max_broadcast_rows is not None:
+        excluded = dimension(excluded, max_broadcast_rows)
+        bad = dimension(bad, max_broadcast_rows)
     status = (policy_pet.select("policy_no", "policy_status_dwid")
               .join(policy_status.filter(F.col("policy_status_desc").isin(*INFORCE_STATUSES))
                     .select("policy_status_dwid"), "policy_status_dwid")
               .select("policy_no"))
     cols = f1a.columns
     return (f1a.filter(~F.col("origin_code").isin(*STAFF_ORIGIN_CODES))
-            .join(suppressed, "insured_code", "left_anti")
+            .join(excluded, "insured_code", "left_anti")
             .withColumn("_email", F.upper(F.col("insured_email")))
             .join(bad, "_email", "left_anti")
-            .join(cancellations, "insured_code", "left_anti")
             .join(status, "policy_no")
             .select(*cols))

@@ -27,7 +27,7 @@ from canvass.operators.dedupe import contactable, first_policy_per_holder
 from canvass.operators.enrich import enrich
 from canvass.operators.household import MIN_POLICY, household_profile
 from canvass.operators.joins import dimension
-from canvass.operators.referrals import referral_counts, with_referrals
+from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
 from canvass.operators.suppression import eligible, future_cancellations, list_validation, suppression_list
@@ -119,7 +119,8 @@ class SurveyPull:
 
     @property
     def ah_inforce_nps(self) -> DataFrame:
-        return self.ah_inforce_nps_full.drop(MIN_POLICY)
+        # Read from the materialised F1: the same rows without the referral count.
+        return self.nps_f1_full.drop(MIN_POLICY, "policy_referred_count")
 
     @cached_property
     def referrals(self) -> DataFrame:
@@ -127,7 +128,9 @@ class SurveyPull:
 
     @cached_property
     def nps_f1_full(self) -> DataFrame:
-        return self._materialise(with_referrals(self.ah_inforce_nps_full, self.referrals), "nps_f1")
+        return self._materialise(household_profile(
+            self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"), self.dim("dw_dim_group"),
+            referrals=self.referrals), "nps_f1")
 
     @property
     def nps_f1(self) -> DataFrame:
@@ -153,7 +156,8 @@ class SurveyPull:
 
     def nps_f2_plan(self) -> DataFrame:
         return eligible(self.nps_f1a, self.nps_scrubber, self.t["bad_email"], self.t["dw_policy_pet"],
-                        self.dim("dw_dim_policy_status"), self.cancellations)
+                        self.dim("dw_dim_policy_status"), self.cancellations,
+                        max_broadcast_rows=self.config.broadcast_max_rows)
 
     @cached_property
     def nps_f2(self) -> DataFrame:
