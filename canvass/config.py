@@ -24,6 +24,9 @@ class Config:
     # Dimension tables with at most this many rows are broadcast; larger
     # ones are joined by shuffle (see operators.joins.dimension).
     broadcast_max_rows: int = 500_000
+    # A key (policyholder) with more rows than this is split over several
+    # tasks when its per-key aggregate is joined back (operators.skew).
+    hot_key_rows: int = 1_000_000
     # "table" writes shared stages as parquet under spark.checkpoint.dir and
     # reads them back (lineage cut, pruning and pushdown on later reads);
     # "checkpoint" uses Dataset.checkpoint there; "persist" keeps them in

@@ -6,7 +6,7 @@ single very large household (a shared or placeholder policyholder code)
 would sit in one task.  Here the household columns come from one
 ``groupBy`` with partial aggregation, joined back on the policyholder code:
 the same values, and a hot household is pre-combined on every map task and
-split by AQE's skew join on the way back.
+salted on the way back (see :mod:`canvass.operators.skew`).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from canvass.functions.rules import SPECIES_AVIAN, SPECIES_CAT, SPECIES_DOG, SPECIES_EXOTIC
 from canvass.operators.claims import AMOUNTS, MONEY
 from canvass.operators.enrich import PROFILE_COLUMNS
+from canvass.operators.skew import join_per_key
 
 ROLLUP_COLUMNS = ["medicalclaimcount", "welcareclaimcount", "medicalclaimamount", "medicalpaidamount",
                   "medicaleligibleamount", "welcareclaimamount", "welcarepaidamount", "welcareeligibleamount"]
@@ -31,7 +32,8 @@ def _zero(c: str, typ: str) -> F.Column:
 
 
 def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame, group: DataFrame,
-                      referrals: DataFrame | None = None) -> DataFrame:
+                      referrals: DataFrame | None = None, hot_key_rows: int = 1_000_000,
+                      max_salts: int = 256) -> DataFrame:
     """AH_INFORCE_NPS plus the hidden column ``_min_policy_no``.
 
     With ``referrals`` (D6's ``vi_insured, policy_referred_count``) the
@@ -48,6 +50,10 @@ def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame
     The group join may repeat a row when a group code is not unique, and the
     source's household counts are taken after it.  To keep that exactly, the
     counts weigh each row by the number of group rows it matches.
+
+    The household columns are joined back with :func:`join_per_key`: a
+    household with more than ``hot_key_rows`` rows is split over several
+    tasks instead of one.
     """
     r = rollups.select(
         "policy_no",
@@ -86,13 +92,15 @@ def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame
                   weighted(species == SPECIES_CAT).alias("cats"),
                   weighted(species == SPECIES_AVIAN).alias("avian"),
                   weighted(species.isin(*SPECIES_EXOTIC)).alias("exoticothers"),
-                  F.min("policy_no").alias(MIN_POLICY)))
+                  F.min("policy_no").alias(MIN_POLICY),
+                  F.count(F.lit(1)).alias("_rows")))
     extra = []
     if referrals is not None:
         r = referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count")
         stats = stats.join(r, "insured_code", "left")
         extra = ["policy_referred_count"]
     g = group.select("group_code", "group_name")
-    return (t.join(stats, "insured_code", "left")
-            .join(g, "group_code", "left")
+    joined = join_per_key(t, stats, "insured_code", rows_per_key="_rows", hot_rows=hot_key_rows,
+                          max_salts=max_salts, salt_by=["policyid", "policy_no", "pp_petname"])
+    return (joined.join(g, "group_code", "left")
             .select(*NPS_COLUMNS, *extra, MIN_POLICY))

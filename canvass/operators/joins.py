@@ -15,6 +15,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def rows_at_most(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """:func:`row_count_at_most` for several tables in one Spark job."""
+    if not frames:
+        return {}
+    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("_table")) for name, df in frames.items()]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    counts = {r["_table"]: r["n"] for r in union.groupBy("_table").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in frames}
+
+
 def dimension(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a dimension table only behind a checked size bound.
 

@@ -26,7 +26,7 @@ from canvass.operators.claims import claim_rollups, medical_rollup, wellness_rol
 from canvass.operators.dedupe import contactable, first_policy_per_holder
 from canvass.operators.enrich import enrich
 from canvass.operators.household import MIN_POLICY, household_profile
-from canvass.operators.joins import dimension
+from canvass.operators.joins import rows_at_most
 from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
@@ -52,8 +52,16 @@ class SurveyPull:
 
     # -- helpers -------------------------------------------------------------
     def dim(self, name: str) -> DataFrame:
+        """A code table, hinted for broadcast when its size check passes.
+
+        The first call checks every table of :data:`DIMENSIONS` in one job.
+        """
         if name not in self._dims:
-            self._dims[name] = dimension(self.t[name], self.config.broadcast_max_rows)
+            names = [n for n in DIMENSIONS if n not in self._dims and n in self.t] if name in DIMENSIONS else [name]
+            small = rows_at_most({n: self.t[n] for n in names}, self.config.broadcast_max_rows)
+            for n in names:
+                df = self.t[n]
+                self._dims[n] = F.broadcast(df) if small[n] else df
         return self._dims[name]
 
     def _materialise(self, df: DataFrame, name: str) -> DataFrame:
@@ -115,7 +123,7 @@ class SurveyPull:
     def ah_inforce_nps_full(self) -> DataFrame:
         """AH_INFORCE_NPS with the hidden first-policy column."""
         return household_profile(self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"),
-                                 self.dim("dw_dim_group"))
+                                 self.dim("dw_dim_group"), hot_key_rows=self.config.hot_key_rows)
 
     @property
     def ah_inforce_nps(self) -> DataFrame:
@@ -130,7 +138,7 @@ class SurveyPull:
     def nps_f1_full(self) -> DataFrame:
         return self._materialise(household_profile(
             self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"), self.dim("dw_dim_group"),
-            referrals=self.referrals), "nps_f1")
+            referrals=self.referrals, hot_key_rows=self.config.hot_key_rows), "nps_f1")
 
     @property
     def nps_f1(self) -> DataFrame:
