@@ -33,6 +33,12 @@ class Config:
     # executor memory/disk with the lineage; "none" recomputes.
     materialize: str = "table"
 
+    @classmethod
+    def from_text(cls, report_date: str, as_of: str, **kw) -> "Config":
+        """Dates written month/day/year, e.g. ``Config.from_text("02/28/2013", "03/01/2013")``."""
+        from canvass.functions.dates import parse_report_date
+        return cls(report_date=parse_report_date(report_date), as_of=parse_report_date(as_of), **kw)
+
 
 # The fixture tables hold a few thousand policyholders, so the production
 # sample sizes would take the whole population and leave the second pool

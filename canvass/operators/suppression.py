@@ -63,9 +63,12 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
     ``max_broadcast_rows``, an exclusion set that passes that size check is
     broadcast and the population is not shuffled for it.
     """
+    # No distinct on the exclusion sets: duplicates do not change an anti
+    # join, and a plain shuffle on each side lets AQE split a skewed key
+    # (e.g. the NULL e-mails, which never match but hash to one partition).
     excluded = (scrubber.select(F.trim(F.col("insured_code")).alias("insured_code"))
-                .unionByName(cancellations.select("insured_code")).distinct())
-    bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email")).distinct()
+                .unionByName(cancellations.select("insured_code")))
+    bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email"))
     if max_broadcast_rows is not None:
         excluded = dimension(excluded, max_broadcast_rows)
         bad = dimension(bad, max_broadcast_rows)

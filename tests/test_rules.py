@@ -73,3 +73,14 @@ def test_species_mix_patterns(spark):
                                "i int, dogs bigint, cats bigint, avian bigint, exoticothers bigint")
     got = [r["m"] for r in df.select("i", species_mix().alias("m")).orderBy("i").collect()]
     assert got == [label for _, label in cases]
+
+
+def test_report_date_month_first(spark):
+    import datetime as dt
+
+    from canvass.config import Config
+    from canvass.functions.dates import parse_report_date, to_report_date
+    assert parse_report_date("02/28/2013") == dt.date(2013, 2, 28)
+    assert Config.from_text("02/28/2013", "03/01/2013").as_of == dt.date(2013, 3, 1)
+    got = _apply(spark, ["02/28/2013", "13/40/2013", None], "string", to_report_date)
+    assert got == [dt.date(2013, 2, 28), None, None]
