@@ -82,7 +82,9 @@ def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame
     def weighted(cond) -> F.Column:
         return F.sum(F.when(cond, mult).otherwise(F.lit(0))).cast("bigint")
 
-    stats = (t.select("insured_code", "policy_no", "policy_renew_no", "speciescode", "group_code")
+    # The household aggregate needs only profile columns: it reads the profile
+    # directly, not the profile joined to claims and zip codes.
+    stats = (profile.select("insured_code", "policy_no", "policy_renew_no", "speciescode", "group_code")
              .join(group_mult, "group_code", "left")
              .groupBy("insured_code")
              .agg(F.count("policy_no").alias("total_pets"),
