@@ -33,7 +33,7 @@ def sample_hash(key: Column | str, seed: int) -> Column:
 
 def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
                   tiebreak: tuple[str, ...] = ("pp_petname", "pp_pet_sex", "pp_date_of_birth"),
-                  rank_limit: int = 1_000_000) -> DataFrame:
+                  rank_limit: int = 250_000) -> DataFrame:
     """The ``n`` rows with the smallest ``md5(key|seed)`` (all rows if fewer).
 
     Rows sharing a key are ordered by ``tiebreak`` (NULLs last).  The result

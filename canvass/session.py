@@ -31,12 +31,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is set.
+    as is.  Only a local-mode session (tests) without one gets a fresh
+    scratch folder; a cluster session without one is an error, since a
+    machine-local folder would scatter stage files over the executors' disks.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
     path = conf_dir or tempfile.mkdtemp(prefix="canvass-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir()
