@@ -57,3 +57,11 @@ def test_sample_independent_of_partitioning(spark):
         assert rows(p.nps_f3, "policyid") == a
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_reports_come_back_in_source_order(spark):
+    p = _pull(spark)
+    bands = [r[0] for r in R.amount_band_report(p.nps_f1a, "medicalclaimamount", "g", "medicalclaimcount").collect()]
+    assert bands == sorted(bands, key=lambda b: (b is None, b))
+    terms = [r[0] for r in R.term_by_stage(p.nps_f1a, p.nps_f2a, p.nps_f3).collect()]
+    assert terms == sorted(terms) and terms[-1] == 18
