@@ -82,6 +82,24 @@ class SurveyPull:
         self._materialised.append(out)
         return out
 
+    def prepare(self) -> "SurveyPull":
+        """Build every shared stage, independent ones as concurrent Spark jobs.
+
+        The enriched profile and the claim rollups do not depend on each
+        other, so they are materialised at the same time; the later stages
+        follow in dependency order.  Idempotent.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        self.dim(DIMENSIONS[0])                  # one size check for all code tables, before the threads
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
+                      pool.submit(lambda: self.nps_scrubber)]:
+                f.result()
+        for stage in ("nps_f1_full", "nps_f2", "nps_f2a", "nps_f3", "nps_f4"):
+            getattr(self, stage)
+        return self
+
     def release(self) -> None:
         """Drop every persisted stage of this pull."""
         for df in self._materialised:

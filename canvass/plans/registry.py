@@ -24,15 +24,21 @@ _PULLS: dict[tuple, SurveyPull] = {}
 
 def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG) -> SurveyPull:
     """The shared pull over ``sf_dir``; its warehouse is landed once as parquet
-    under the session's checkpoint folder (see ``FixtureWarehouse.land``)."""
+    under the session's checkpoint folder (see ``FixtureWarehouse.land``) and
+    its shared stages are built once (``SurveyPull.prepare``)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)
     if key not in _PULLS:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-warehouse-{uuid.uuid4().hex[:12]}"
         tables = FixtureWarehouse(spark, sf_dir).land(root)
-        _PULLS[key] = SurveyPull(spark, tables, config)
+        _PULLS[key] = SurveyPull(spark, tables, config).prepare()
     return _PULLS[key]
 
 
+def install_pull(spark: SparkSession, sf_dir: str, pull: SurveyPull, config: Config = FIXTURE_CONFIG) -> None:
+    """Register a pull built elsewhere (e.g. over an already landed warehouse)."""
+    _PULLS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)] = pull
+
+
 def release_all() -> None:
     for p in _PULLS.values():
         p.release()
