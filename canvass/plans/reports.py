@@ -5,10 +5,11 @@ hand); the defaults in :mod:`canvass.plans.registry` are the stages the
 source names.  Reports aggregate with partial (map-side) aggregation, so a
 population of any size is reduced to a few rows per task before shuffling.
 Reports come back in the source's order (NULLs last, as in its engine).
-Their rows are bounded by the label domain (19 bands, 8 mixes x 5 term
-groups, one row per state or product), so the order is a single-partition
+Where the rows are bounded by a fixed label domain (19 bands, 8 mixes x 5
+term groups, 19 term rows, 8 pet counts) the order is a single-partition
 sort of the aggregated rows: no range-partitioning pass, and the
-aggregation before it keeps its full parallelism.
+aggregation before it keeps its full parallelism.  Reports keyed by a
+data value (state, product) use a distributed ``orderBy``.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ def _n(alias: str):
     return F.count(F.lit(1)).alias(alias)
 
 
-def ordered(df: DataFrame, *cols: str) -> DataFrame:
-    """Sort a report with a bounded number of rows (see module doc)."""
-    return df.coalesce(1).sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in cols])
+def ordered(df: DataFrame, *cols: str, bounded: bool = True) -> DataFrame:
+    """Sort a report.  ``bounded``: its rows are bounded by a fixed label
+    domain, so one task sorts them; otherwise a distributed ``orderBy``."""
+    keys = [F.col(c).asc_nulls_last() for c in cols]
+    return df.coalesce(1).sortWithinPartitions(*keys) if bounded else df.orderBy(*keys)
 
 
 def species_by_stage(f1a: DataFrame, f2a: DataFrame, f3: DataFrame) -> DataFrame:
@@ -90,12 +93,12 @@ def mix_by_term(population: DataFrame, term_col: str) -> DataFrame:
 def product_report(population: DataFrame) -> DataFrame:
     """Rows per product, the I250 family on one row."""
     return ordered(population.groupBy(product_group("baseproduct").alias("baseproduct")).agg(_n("tot_pet")),
-                   "baseproduct")
+                   "baseproduct", bounded=False)
 
 
 def state_report(population: DataFrame) -> DataFrame:
     """Rows per state."""
-    return ordered(population.groupBy("insured_state").agg(_n("tot_rows")), "insured_state")
+    return ordered(population.groupBy("insured_state").agg(_n("tot_rows")), "insured_state", bounded=False)
 
 
 def top_states_paid_in_full(population: DataFrame, header: DataFrame, paymentplan: DataFrame,
