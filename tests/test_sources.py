@@ -1,6 +1,8 @@
 """List files in, sample files out, the landed warehouse and the list stream."""
 
 import os
+
+import pytest
 import tempfile
 
 from canvass.sources.fixtures import FixtureWarehouse
@@ -80,3 +82,17 @@ def test_suppression_feed_resolves_emails(spark):
     q = start_suppression_feed(spark, landing, table, kind="email", insured=insured, checkpoint=f"{base}/ckpt")
     q.awaitTermination()
     assert rows(spark.read.parquet(table)) == [("C1", "H"), ("C2", "H")]
+
+
+def test_command_line_run_writes_stages_files_and_reports(spark):
+    from canvass.__main__ import main, run
+    from canvass.config import FIXTURE_CONFIG
+    base = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    FixtureWarehouse(spark, SF_SMALL).land(f"{base}/wh")
+    funnel = run(spark, Warehouse.from_parquet(spark, f"{base}/wh"), FIXTURE_CONFIG, f"{base}/out")
+    assert funnel["nps_f3"] == FIXTURE_CONFIG.n_main
+    assert len(os.listdir(f"{base}/out/reports")) == 18
+    sample = spark.read.option("header", True).csv(f"{base}/out/files/sample_main")
+    assert sample.count() == FIXTURE_CONFIG.n_main
+    with pytest.raises(SystemExit):       # a warehouse source is required
+        main(["--out", base])
