@@ -12,7 +12,7 @@ from canvass.operators.joins import dimension
 
 
 def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
-                     header: DataFrame, insured: DataFrame) -> DataFrame:
+                     header: DataFrame, insured: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """NPS_SCRUBBER after both appends: ``(insured_code, source)``.
 
     * ``base``: the imported list as loaded (codes may be padded);
@@ -20,13 +20,20 @@ def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
       header, distinct;
     * ``by_email``: e-mails matched case-insensitively to policyholders, not
       distinct (one row per match).
+
+    The lists are hand-loaded and usually small: with ``max_broadcast_rows``
+    a list that passes the size check is broadcast, so the header and the
+    policyholder table are scanned once instead of shuffled.
     """
+    def small(df: DataFrame) -> DataFrame:
+        return dimension(df, max_broadcast_rows) if max_broadcast_rows is not None else df
+
     b = base.select("insured_code", "source")
-    p = (by_policy.select(F.trim(F.col("policy_no")).alias("policy_no"), "source")
-         .join(header.select("policy_no", "insured_code"), "policy_no")
+    pl = small(by_policy.select(F.trim(F.col("policy_no")).alias("policy_no"), "source"))
+    p = (header.select("policy_no", "insured_code").join(pl, "policy_no")
          .select("insured_code", "source").distinct())
-    e = (by_email.select(F.lower(F.col("email")).alias("_email"), "source")
-         .join(insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code"), "_email")
+    el = small(by_email.select(F.lower(F.col("email")).alias("_email"), "source"))
+    e = (insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code").join(el, "_email")
          .select("insured_code", "source"))
     return b.unionByName(p).unionByName(e)
 
@@ -37,12 +44,15 @@ def list_validation(scrubber: DataFrame) -> DataFrame:
 
 
 def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFrame, as_of: dt.date) -> DataFrame:
-    """Policyholders with a term of F1A cancelling on or after ``as_of``."""
+    """Policyholders with a term of F1A cancelling on or after ``as_of``.
+
+    Joined from the selective side: the future cancellations first find
+    their terms, and only those terms meet F1A.
+    """
     c = cancel.filter(F.col("effective_date") >= F.lit(as_of)).select("policy_term_dwid")
     pt = policy_term.select("policy_term_dwid", "policy_no", "policy_renew_no")
-    return (f1a.select("insured_code", "policy_no", "policy_renew_no")
-            .join(pt, ["policy_no", "policy_renew_no"])
-            .join(c, "policy_term_dwid")
+    return (c.join(pt, "policy_term_dwid")
+            .join(f1a.select("insured_code", "policy_no", "policy_renew_no"), ["policy_no", "policy_renew_no"])
             .select("insured_code"))
 
 

@@ -170,7 +170,8 @@ class SurveyPull:
     @cached_property
     def nps_scrubber(self) -> DataFrame:
         return suppression_list(self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
-                                self.t["dw_policy_header"], self.t["dw_dim_insured"])
+                                self.t["dw_policy_header"], self.t["dw_dim_insured"],
+                                max_broadcast_rows=self.config.broadcast_max_rows)
 
     @property
     def list_validation(self) -> DataFrame:
@@ -198,7 +199,7 @@ class SurveyPull:
         return self._materialise(random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3")
 
     def nps_f4_plan(self) -> DataFrame:
-        return new_policy_pool(self.nps_f2a, self.nps_f3)
+        return new_policy_pool(self.nps_f2a, self.nps_f3, max_broadcast_rows=self.config.broadcast_max_rows)
 
     @cached_property
     def nps_f4(self) -> DataFrame:
