@@ -19,6 +19,10 @@ def inforce_snapshot(header: DataFrame, inforce: DataFrame, report_date: dt.date
     The date predicate is pushed into the in-force scan, and the fact's
     repeated rows per term are collapsed map-side (``distinct`` before the
     shuffle, whose hash partitioning the semi join then reuses).
+
+    The term number is cast to ``int`` here: a warehouse that stores it as
+    text would otherwise order '10' before '2' in the household min/max.
     """
     period = inforce.filter(F.col("reportperiod") == F.lit(report_date)).select("policyid").distinct()
-    return header.join(period, "policyid", "left_semi").select(*SNAPSHOT_COLUMNS).distinct()
+    h = header.withColumn("policy_renew_no", F.col("policy_renew_no").cast("int"))
+    return h.join(period, "policyid", "left_semi").select(*SNAPSHOT_COLUMNS).distinct()

@@ -1,17 +1,18 @@
 """The survey pull as a graph of memoised Spark stages.
 
-Each stage is a lazily built DataFrame.  Stages read by several later
-stages or reports (the enriched profile, the claim rollups, F1, F2, F2A, F3,
-F4) are materialised once per pull, like the source's CREATE TABLE AS
-SELECT chain; F1A is a filter on F1 and F4A a sample of F4, read in place.  By default each is written
-as a parquet table under the session's ``spark.checkpoint.dir`` (the shared
-folder of the cluster) and read back: the lineage is cut, so a lost executor
-costs no recomputation of earlier stages, later plans stay small (a
-persisted 40-join lineage costs seconds of re-planning per query), and
-readers get column pruning and filter pushdown on the stage.  ``persist``
-and reliable ``checkpoint`` are the alternatives; never a local checkpoint.
+Each stage is a lazily built DataFrame.  Stages read by several later stages
+or reports (the enriched profile, the claim rollups, F1, F2, F2A, F3, F4) are
+materialised once per pull, like the source's CREATE TABLE AS SELECT chain;
+F1A is a filter on F1 and F4A a sample of F4, both read in place.
+
+By default each materialised stage is written as a parquet table under the
+session's ``spark.checkpoint.dir`` (the cluster's shared folder) and read
+back.  The lineage is cut, so a lost executor costs no recomputation of
+earlier stages; later plans stay small (a persisted 40-join lineage costs
+seconds of re-planning per query); readers get column pruning and filter
+pushdown on the stage.  ``persist`` and reliable ``checkpoint`` are the
+alternatives; never a local checkpoint.
 """
-
 from __future__ import annotations
 
 import uuid

@@ -281,3 +281,12 @@ def test_snapshot_semi_join_keeps_header_bag(spark, n):
                                    "policyid bigint, policy_no string, policy_renew_no int, insured_code string, zipcode_id int")
     inforce = spark.createDataFrame([(1, dt.date(2013, 2, 28))] * 3, "policyid bigint, reportperiod date")
     assert inforce_snapshot(header, inforce, dt.date(2013, 2, 28)).count() == 1
+
+
+def test_snapshot_casts_text_term_numbers(spark):
+    header = spark.createDataFrame([(1, "P1", "10", "C1", 5), (2, "P1", "2", "C1", 5)],
+                                   "policyid bigint, policy_no string, policy_renew_no string, insured_code string, zipcode_id int")
+    inforce = spark.createDataFrame([(1, dt.date(2013, 2, 28)), (2, dt.date(2013, 2, 28))], "policyid bigint, reportperiod date")
+    out = inforce_snapshot(header, inforce, dt.date(2013, 2, 28))
+    assert dict(out.dtypes)["policy_renew_no"] == "int"
+    assert out.agg(F.min("policy_renew_no")).first()[0] == 2
