@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from canvass.config import FIXTURE_CONFIG, Config
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
-from canvass.session import ensure_checkpoint_dir
+from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
 
 _PULLS: dict[tuple, SurveyPull] = {}
@@ -26,7 +26,7 @@ def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG)
     """The shared pull over ``sf_dir``; its warehouse is landed once as parquet
     under the session's checkpoint folder (see ``FixtureWarehouse.land``) and
     its shared stages are built once (``SurveyPull.prepare``)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)
+    key = (app_id(spark), sf_dir.rstrip("/"), config)
     if key not in _PULLS:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-warehouse-{uuid.uuid4().hex[:12]}"
         tables = FixtureWarehouse(spark, sf_dir).land(root)
@@ -36,7 +36,7 @@ def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG)
 
 def install_pull(spark: SparkSession, sf_dir: str, pull: SurveyPull, config: Config = FIXTURE_CONFIG) -> None:
     """Register a pull built elsewhere (e.g. over an already landed warehouse)."""
-    _PULLS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)] = pull
+    _PULLS[(app_id(spark), sf_dir.rstrip("/"), config)] = pull
 
 
 def release_all() -> None:

@@ -27,6 +27,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also for sessions without a SparkContext handle)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session
+        return spark.conf.get("spark.app.id", None) or spark.conf.get("spark.app.name", "spark")
+
+
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
@@ -35,15 +51,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch folder; a cluster session without one is an error, since a
     machine-local folder would scatter stage files over the executors' disks.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext handle: the conf is all there is
+        current = None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir and not spark.sparkContext.master.startswith("local"):
+    if not conf_dir and not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
     path = conf_dir or tempfile.mkdtemp(prefix="canvass-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return path
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "canvass") -> SparkSession:
