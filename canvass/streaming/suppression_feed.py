@@ -35,14 +35,16 @@ def resolve(batch: DataFrame, kind: str, header: DataFrame | None = None, insure
     """Map a list batch to ``(insured_code, source)`` rows.
 
     ``insured``: codes as given.  ``policy``: distinct holders of the listed
-    policy numbers.  ``email``: every policyholder whose e-mail matches,
+    policy numbers (on a stream: distinct over all files so far).  ``email``: every policyholder whose e-mail matches,
     case-insensitively (not distinct, as in the source).
     """
     if kind == "insured":
         return batch.select("insured_code", "source")
     if kind == "policy":
-        return (batch.join(header.select("policy_no", "insured_code"), "policy_no")
-                .select("insured_code", "source").distinct())
+        holders = batch.join(header.select("policy_no", "insured_code"), "policy_no").select("insured_code", "source")
+        # A stream cannot aggregate in append mode; dropDuplicates keeps the
+        # (small) set of pairs seen so far as state instead.
+        return holders.dropDuplicates() if holders.isStreaming else holders.distinct()
     if kind == "email":
         return (batch.select(F.lower(F.col("email")).alias("_email"), "source")
                 .join(insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code"), "_email")

@@ -96,3 +96,14 @@ def test_command_line_run_writes_stages_files_and_reports(spark):
     assert sample.count() == FIXTURE_CONFIG.n_main
     with pytest.raises(SystemExit):       # a warehouse source is required
         main(["--out", base])
+
+
+def test_suppression_feed_resolves_policy_numbers(spark):
+    base = tempfile.mkdtemp(prefix="feed-", dir="/tmp")
+    landing, table = f"{base}/in", f"{base}/table"
+    os.makedirs(landing)
+    _write(f"{landing}/G1.csv", "policy_no\n P1 \nP1\nP9\n")
+    header = spark.createDataFrame([("P1", "C1"), ("P1", "C1"), ("P2", "C2")], "policy_no string, insured_code string")
+    q = start_suppression_feed(spark, landing, table, kind="policy", header=header, checkpoint=f"{base}/ckpt")
+    q.awaitTermination()
+    assert rows(spark.read.parquet(table)) == [("C1", "G1")]
