@@ -53,3 +53,15 @@ def test_entry_runs(spark):
     out = E.entry(spark)
     assert out.columns == ["multi_pet", "ph"]
     assert out.count() > 0
+
+
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+                   "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_types_match_oracle(spark, con, key):
+    spark_types = {f.name: f.dataType.simpleString() for f in E.queries()[key](spark, SF_SMALL).schema.fields}
+    rel = con.sql(E.oracle_sql()[key])
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCKDB.get(t, t.upper()) for c, t in spark_types.items()} == oracle_types
