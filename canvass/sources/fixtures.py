@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from canvass.sources.warehouse import DOMAIN_TABLES, Warehouse
 
 RAW_TABLES = ["orders", "lineitem", "customer", "part", "supplier", "nation", "region", "events"]
+# The monthly in-force fact is stored one folder per report period, so the
+# snapshot's date predicate prunes whole partitions.
+PARTITIONED_BY = {"dw_data_inforce": "reportperiod"}
 # Landing waves: every table only reads raw tables or tables of earlier waves.
 LAND_WAVES = [
     ["policy_term_base", "claim_line", "dw_dim_insured", "dw_dim_breed", "dw_wp", "dw_dim_group",
@@ -66,7 +69,10 @@ class FixtureWarehouse(Warehouse):
 
         def write(name: str) -> None:
             path = f"{root}/{name}"
-            self[name].write.mode("overwrite").parquet(path)
+            writer = self[name].write.mode("overwrite")
+            if name in PARTITIONED_BY:
+                writer = writer.partitionBy(PARTITIONED_BY[name])
+            writer.parquet(path)
             self._frames[name] = self.spark.read.parquet(path)
 
         # Independent tables of a wave are written as concurrent Spark jobs.

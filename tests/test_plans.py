@@ -17,9 +17,10 @@ def pull(spark):
     return pull_for(spark, SF_SMALL)
 
 
-def test_report_date_reaches_the_inforce_scan(pull):
-    p = plan(pull.ah_inforce)
-    assert "EqualTo(reportperiod,2013-02-28)" in p
+def test_report_date_prunes_inforce_partitions(pull):
+    # the landed in-force fact is partitioned by report period
+    scan = [line for line in plan(pull.ah_inforce).splitlines() if "reportperiod" in line and "FileScan" in line]
+    assert scan and "PartitionFilters: [isnotnull(reportperiod" in scan[0] and "= 2013-02-28)" in scan[0]
 
 
 def test_reopened_filter_reaches_revision_scan(pull):
