@@ -11,8 +11,9 @@ it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from canvass.functions.rules import REOPENED_STATUS, WELLNESS_COVERAGE
 
@@ -34,10 +35,16 @@ def claim_rollups(header: DataFrame, claim_header: DataFrame, revision: DataFram
     (``<>`` and ``=`` both reject NULL); claims are grouped by
     ``(policy_no, claim_no)`` over all terms of the policy number.
     """
+    # Sum money as exact integers in the amount's minor unit (cents for
+    # scale 2): long arithmetic stays on Spark's fast path, while decimal
+    # sums widen past 18 digits at every level and fall back to BigDecimal.
+    # Values are converted back to decimal(18,2) once, at the end.
+    scale = _money_scale(details)
     cov = (coverage.filter(F.col("coverage_product_type").isNotNull())
            .select(F.col("coverage_id").alias("claim_coverage_id"),
                    (F.col("coverage_product_type") == WELLNESS_COVERAGE).alias("is_well")))
-    per_diagnosis = details.groupBy("claim_diagnosis_id").agg(*[F.sum(a).alias(a) for a in AMOUNTS])
+    per_diagnosis = details.groupBy("claim_diagnosis_id").agg(
+        *[F.sum(_to_minor(F.col(a), scale)).alias(a) for a in AMOUNTS])
     diag = (diagnosis.select("claim_id", "claim_revision_no", "claim_diagnosis_id", "claim_coverage_id")
             .join(cov, "claim_coverage_id")
             .join(per_diagnosis, "claim_diagnosis_id"))
@@ -65,13 +72,33 @@ def claim_rollups(header: DataFrame, claim_header: DataFrame, revision: DataFram
     out = per_group.groupBy("policy_no").agg(
         F.count(F.when(well, F.lit(1))).alias("well_groups"),
         F.count(F.when(well, F.col("claim_no"))).alias("vrcccount"),
-        *[F.sum(F.when(well, F.col(f"w_{a}"))).cast(MONEY).alias(f"well_{a}") for a in AMOUNTS],
+        *[_from_minor(F.sum(F.when(well, F.col(f"w_{a}"))), scale).alias(f"well_{a}") for a in AMOUNTS],
         F.count(F.when(med, F.lit(1))).alias("medcount"),
-        *[F.sum(F.when(med, F.col(f"m_{a}"))).cast(MONEY).alias(f"med_{a}") for a in AMOUNTS],
+        *[_from_minor(F.sum(F.when(med, F.col(f"m_{a}"))), scale).alias(f"med_{a}") for a in AMOUNTS],
     )
     return out
 
 
+def _money_scale(details: DataFrame) -> int:
+    """Decimal scale shared by the amount columns (2 for currency)."""
+    scales = {details.schema[a].dataType.scale for a in AMOUNTS if isinstance(details.schema[a].dataType, DecimalType)}
+    if len(scales) != 1 or len([a for a in AMOUNTS if isinstance(details.schema[a].dataType, DecimalType)]) != 3:
+        raise TypeError("claim amounts must be decimals of one scale")
+    return scales.pop()
+
+
+def _to_minor(amount: Column, scale: int) -> Column:
+    """An amount as an exact integer count of its minor unit."""
+    factor = 10 ** scale
+    # a narrow decimal literal keeps the product within 18 digits (long-backed)
+    return (amount * F.lit(factor).cast(f"decimal({len(str(factor))},0)")).cast("bigint")
+
+
+def _from_minor(units: Column, scale: int) -> Column:
+    """An integer count of minor units back to ``MONEY`` (exact)."""
+    return (units.cast("decimal(20,0)") / F.lit(10 ** scale).cast("decimal(20,0)")).cast(MONEY)
+
+
 def wellness_rollup(rollups: DataFrame) -> DataFrame:
     """INFORCE_WELL_DW: policies with wellness claims."""
     return rollups.filter(F.col("well_groups") > 0).select(
