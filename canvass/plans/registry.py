@@ -8,6 +8,7 @@ materialised once and every later query reuses it.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
 
 _PULLS: dict[tuple, SurveyPull] = {}
+_LOCK = threading.Lock()
 
 
 def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG) -> SurveyPull:
@@ -27,6 +29,11 @@ def pull_for(spark: SparkSession, sf_dir: str, config: Config = FIXTURE_CONFIG)
     under the session's checkpoint folder (see ``FixtureWarehouse.land``) and
     its shared stages are built once (``SurveyPull.prepare``)."""
     key = (app_id(spark), sf_dir.rstrip("/"), config)
+    with _LOCK:
+        return _build(spark, sf_dir, config, key)
+
+
+def _build(spark: SparkSession, sf_dir: str, config: Config, key: tuple) -> SurveyPull:
     if key not in _PULLS:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-warehouse-{uuid.uuid4().hex[:12]}"
         tables = FixtureWarehouse(spark, sf_dir).land(root)
