@@ -1,8 +1,8 @@
 """The survey pull as a graph of memoised Spark stages.
 
 Each stage is a lazily built DataFrame.  Stages read by several later stages
-or reports (the enriched profile, the claim rollups, F1, F2, F2A, F3, F4) are
-materialised once per pull, like the source's CREATE TABLE AS SELECT chain;
+or reports (the enriched profile, the claim rollups, the referral counts, F1,
+F2, F2A, F3, F4) are materialised once per pull, like the source's CREATE TABLE AS SELECT chain;
 F1A is a filter on F1 and F4A a sample of F4, both read in place.
 
 By default each materialised stage is written as a parquet table under the
@@ -86,16 +86,16 @@ class SurveyPull:
     def prepare(self) -> "SurveyPull":
         """Build every shared stage, independent ones as concurrent Spark jobs.
 
-        The enriched profile and the claim rollups do not depend on each
-        other, so they are materialised at the same time; the later stages
-        follow in dependency order.  Idempotent.
+        The enriched profile, the claim rollups and the referral counts do
+        not depend on each other, so they are materialised at the same time;
+        the later stages follow in dependency order.  Idempotent.
         """
         from concurrent.futures import ThreadPoolExecutor
 
         self.dim(DIMENSIONS[0])                  # one size check for all code tables, before the threads
-        with ThreadPoolExecutor(max_workers=3) as pool:
+        with ThreadPoolExecutor(max_workers=4) as pool:
             for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
-                      pool.submit(lambda: self.nps_scrubber)]:
+                      pool.submit(lambda: self.referrals), pool.submit(lambda: self.nps_scrubber)]:
                 f.result()
         for stage in ("nps_f1_full", "nps_f2", "nps_f2a", "nps_f3", "nps_f4"):
             getattr(self, stage)
@@ -151,7 +151,7 @@ class SurveyPull:
 
     @cached_property
     def referrals(self) -> DataFrame:
-        return referral_counts(self.t["vouchers_issued"], self.t["dw_policy_header"])
+        return self._materialise(referral_counts(self.t["vouchers_issued"], self.t["dw_policy_header"]), "referrals")
 
     @cached_property
     def nps_f1_full(self) -> DataFrame:
