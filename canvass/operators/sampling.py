@@ -1,18 +1,21 @@
 """Exact-size, reproducible simple random samples.
 
-The source orders by a random value and keeps the first n rows.  Here the
-random value is ``md5(key || '|' || seed)``: uniform, independent of how the
-input is partitioned, and the same in any SQL engine, so a sample can be
-redrawn and checked.
+The source orders rows by a random value and keeps the first n.  Here the
+order is a pair of hashes: ``md5(key || '|' || seed)``, then
+``md5(key|tiebreak...|seed)`` over the row's identity (term and pet).  Both
+are uniform, independent of how the input is partitioned and the same in any
+SQL engine, so a sample can be redrawn and checked.
 
 ``orderBy(h).limit(n)`` would be one top-n merge in a single task over n rows
 from every partition, which is too much for n in the tens of thousands on
-thousands of partitions.  Instead the hash's leading hex digits cut the key
-space into buckets: one aggregation counts rows per bucket (at most 65,536
-small rows come back to the driver), every bucket wholly below the cut is
-taken by a filter, and only the one bucket that straddles the cut is ranked.
-That bucket is refined digit group by digit group until it is small, so the
-rank step never sees more than ``rank_limit`` rows.
+thousands of partitions.  Instead the hash digits cut the rows into buckets:
+one aggregation counts rows per bucket (at most 65,536 small rows come back
+to the driver), every bucket wholly below the cut is taken by a filter, and
+only the one bucket that straddles the cut is ranked.  That bucket is refined
+digit group by digit group until it holds at most ``rank_limit`` rows.  The
+second hash keeps refining when one key has very many rows (a policy with a
+third of the population stays splittable); only rows with the same identity
+can share all 64 digits.
 """
 
 from __future__ import annotations
@@ -34,19 +37,28 @@ def sample_hash(key: Column | str, seed: int) -> Column:
     return F.md5(F.concat(k.cast("string"), F.lit(f"|{seed}")))
 
 
+def identity_hash(key: str, tiebreak: tuple[str, ...], seed: int) -> Column:
+    """md5 of the row identity: key and tiebreak columns, '|'-joined, NULLs skipped."""
+    parts = [F.col(c).cast("string") for c in (key, *tiebreak)]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+
+
 def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
                   tiebreak: tuple[str, ...] = ("pp_petname", "pp_pet_sex", "pp_date_of_birth"),
                   rank_limit: int = 250_000) -> DataFrame:
-    """The ``n`` rows with the smallest ``md5(key|seed)`` (all rows if fewer).
+    """The ``n`` rows first in ``(md5(key|seed), md5(identity|seed))`` order.
 
-    Rows sharing a key are ordered by ``tiebreak`` (NULLs last).  The result
-    has exactly ``min(n, rows)`` rows and does not depend on partitioning.
+    The result has exactly ``min(n, rows)`` rows and does not depend on
+    partitioning.  Rows that tie on both hashes have the same identity; among
+    them the order falls to the remaining columns.
     """
     if n <= 0:
         return df.limit(0)
     cols = df.columns
-    scored = df.withColumn(HASH, sample_hash(key, seed))
-    order = [F.col(HASH).asc()] + [F.col(c).asc_nulls_last() for c in tiebreak if c in cols]
+    present = tuple(c for c in tiebreak if c in cols)
+    scored = df.withColumn(HASH, F.concat(sample_hash(key, seed), identity_hash(key, present, seed)))
+    order = [F.col(HASH).asc()] + [F.col(c).asc_nulls_last() for c in cols]
+    full = 64
 
     taken: list[DataFrame] = []
     need = n
@@ -55,7 +67,8 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
     while True:
         start = len(prefix) + 1
         bucket = F.substring(F.col(HASH), start, DIGITS_PER_LEVEL)
-        counts = sorted((r["b"], r["n"]) for r in pool.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        counts = sorted((r["b"], r["n"]) for r in
+                        pool.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
         before = 0
         cut = None
         for b, c in counts:
@@ -67,13 +80,12 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
             taken.append(pool)
             break
         b, c = cut
-        below = pool.filter(bucket < F.lit(b))
         if before:
-            taken.append(below)
+            taken.append(pool.filter(bucket < F.lit(b)))
         need -= before
         prefix = prefix + b
         pool = pool.filter(F.substring(F.col(HASH), 1, len(prefix)) == F.lit(prefix))
-        if c <= rank_limit or len(prefix) >= 32:
+        if c <= rank_limit or len(prefix) >= full:
             taken.append(pool.orderBy(*order).limit(need))
             break
     out = taken[0]

@@ -290,3 +290,16 @@ def test_snapshot_casts_text_term_numbers(spark):
     out = inforce_snapshot(header, inforce, dt.date(2013, 2, 28))
     assert dict(out.dtypes)["policy_renew_no"] == "int"
     assert out.agg(F.min("policy_renew_no")).first()[0] == 2
+
+
+def test_sample_splits_a_key_holding_a_third_of_the_rows(spark):
+    # one policy holds a third of the population: the second hash keeps it splittable
+    pop = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("policyid"),
+        F.col("id").cast("string").alias("pp_petname"))
+    h1 = F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|42")))
+    h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
+    for n in (100, 1500, 2500):
+        expected = rows(pop.orderBy(h1, h2).limit(n), "policyid", "pp_petname")
+        got = rows(random_sample(pop, n, 42, rank_limit=50), "policyid", "pp_petname")
+        assert got == expected
