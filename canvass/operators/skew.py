@@ -9,6 +9,8 @@ such hot keys explicitly.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +43,49 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, *, rows_per_key:
         F.sequence(F.lit(0), F.col(_SALTS) - 1))
     k = per_key.join(hot, key, "left").withColumn(SALT, F.explode(salts)).drop(_SALTS)
     return r.join(k, [key, SALT], how).drop(SALT)
+
+
+def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str, *, hot_rows: int,
+                       scratch: str | None = None, partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by key order by order)`` (1-based), safe
+    for a key holding a large share of the rows.
+
+    A window holds each key's rows in one task.  Keys with at most
+    ``hot_rows`` rows keep that plain window.  The rows of hotter keys (a
+    broadcast set bounded by construction, as in :func:`join_per_key`) are
+    range-partitioned on ``key + order`` and written once under ``scratch``
+    (so the range assignment cannot change on recomputation).  They are then
+    numbered within each (key, partition), and each partition is offset by
+    the rows of that key in earlier partitions (a running sum over a small
+    per-partition count table).  Rows that tie on all ``order`` columns are
+    numbered in an arbitrary order, as with the plain window.
+    """
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(*key)
+    w = Window.partitionBy(*key).orderBy(*order)
+    if hot.limit(1).count() == 0:                      # the usual case: no hot key
+        return df.withColumn(out, F.row_number().over(w))
+
+    hot_b = F.broadcast(hot)
+    normal = df.join(hot_b, key, "left_anti").withColumn(out, F.row_number().over(w))
+    if scratch is None:
+        from canvass.session import ensure_checkpoint_dir
+        scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-rank-{uuid.uuid4().hex[:12]}"
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.join(hot_b, key, "left_semi").repartitionByRange(n_parts, *key, *order)
+     .withColumn("_pid", F.spark_partition_id())
+     .write.mode("overwrite").parquet(scratch))
+    ranged = spark.read.parquet(scratch)
+    local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy(*key, "_pid").orderBy(*order)))
+    per_part = ranged.groupBy(*key, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = per_part.withColumn(
+        "_off", F.coalesce(F.sum("_c").over(Window.partitionBy(*key).orderBy("_pid")
+                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # at most partitions x hot keys rows: broadcast
+    hot_ranked = (local.join(F.broadcast(offsets.select(*key, "_pid", "_off")), [*key, "_pid"])
+                  .withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int"))
+                  .select(*df.columns, out))
+    return normal.unionByName(hot_ranked)

@@ -14,9 +14,11 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canvass.operators.skew import row_number_per_key
+
 from canvass.sources.warehouse import DOMAIN_TABLES, Warehouse
 
 RAW_TABLES = ["orders", "lineitem", "customer", "part", "supplier", "nation", "region", "events"]
@@ -46,8 +48,9 @@ def _hh_of_code(code: Column) -> Column:
 class FixtureWarehouse(Warehouse):
     """The domain tables of the pull, derived from ``sf_dir``'s parquet files."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_key_rows: int = 1_000_000):
         self.sf_dir = sf_dir.rstrip("/")
+        self.hot_key_rows = hot_key_rows
         loaders = {name: getattr(self, f"_{name}") for name in DOMAIN_TABLES}
         loaders["policy_term_base"] = self._policy_term_base
         loaders["claim_line"] = self._claim_line
@@ -85,12 +88,12 @@ class FixtureWarehouse(Warehouse):
     def _policy_term_base(self) -> DataFrame:
         o = self["orders"]
         hh = F.col("o_custkey") * 4 + F.col("o_orderkey") % 4
-        w = Window.partitionBy("hh").orderBy("o_orderdate", "o_orderkey")
-        return (o.select("o_orderkey", hh.alias("hh"), "o_custkey",
-                         F.col("o_orderdate").cast("date").alias("effective_date"),
-                         "o_orderdate", "o_orderpriority")
-                .withColumn("rn", (F.row_number().over(w) - 1).cast("int"))
-                .drop("o_orderdate"))
+        base = o.select("o_orderkey", hh.alias("hh"), "o_custkey",
+                        F.col("o_orderdate").cast("date").alias("effective_date"), "o_orderdate", "o_orderpriority")
+        # row_number per household; a household with very many orders is split
+        numbered = row_number_per_key(base, ["hh"], ["o_orderdate", "o_orderkey"], "_rn",
+                                      hot_rows=self.hot_key_rows)
+        return numbered.withColumn("rn", (F.col("_rn") - 1).cast("int")).drop("_rn", "o_orderdate")
 
     def _dw_policy_header(self) -> DataFrame:
         b = self["policy_term_base"]
@@ -218,9 +221,10 @@ class FixtureWarehouse(Warehouse):
 
     # -- claims ------------------------------------------------------------------
     def _claim_line(self) -> DataFrame:
-        li = self["lineitem"]
-        w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_discount", "l_tax")
+        li = row_number_per_key(
+            self["lineitem"], ["l_orderkey", "l_linenumber"],
+            ["l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_discount", "l_tax"],
+            "_rev", hot_rows=self.hot_key_rows)
         ec = F.round(F.col("l_extendedprice") * 100).cast("bigint")
         dc = F.round(F.col("l_discount") * 100).cast("bigint")
 
@@ -230,7 +234,7 @@ class FixtureWarehouse(Warehouse):
         return li.select(
             "l_orderkey", "l_linenumber",
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
-            F.row_number().over(w).cast("int").alias("claim_revision_no"),
+            F.col("_rev").cast("int").alias("claim_revision_no"),
             "l_returnflag", "l_linestatus",
             cents(ec / 80).alias("claimedamount"),
             cents(ec * (100 - dc) / 8000).alias("eligibleamount"),

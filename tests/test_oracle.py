@@ -65,3 +65,13 @@ def test_query_types_match_oracle(spark, con, key):
     rel = con.sql(E.oracle_sql()[key])
     oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {c: SPARK_TO_DUCKDB.get(t, t.upper()) for c, t in spark_types.items()} == oracle_types
+
+
+@pytest.mark.parametrize("name", ["policy_term_base", "claim_line"])
+def test_fixture_numbering_exact_when_every_key_is_hot(spark, con, name):
+    # hot_key_rows=1: every household / line with several rows takes the split path
+    df = FixtureWarehouse(spark, SF_SMALL, hot_key_rows=1)[name]
+    cur = con.execute(f"WITH {FIXTURE_CTES} select * from {name}")
+    ocols = [d[0].lower() for d in cur.description]
+    got = [tuple(r) for r in df.collect()]
+    assert digest(df.columns, got) == digest(ocols, cur.fetchall())

@@ -84,3 +84,20 @@ def test_null_email_group_is_preaggregated(spark, skew_conf):
         F.col("insured_email").contains("@") | F.col("insured_email").contains("."))
     assert out.count() == expect.count()
     assert "partial_min" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_number_per_key_with_a_hot_key(spark):
+    import tempfile
+
+    from pyspark.sql import Window
+
+    from canvass.operators.skew import row_number_per_key
+    df = spark.range(12_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50).alias("k"),
+        (F.col("id") * 7919 % 12_000).alias("o"), F.col("id"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "id")))
+    got = row_number_per_key(df, ["k"], ["o", "id"], "rn", hot_rows=500, partitions=7,
+                             scratch=tempfile.mkdtemp(prefix="rank-", dir="/tmp") + "/r")
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+    plain = row_number_per_key(df, ["k"], ["o", "id"], "rn", hot_rows=1_000_000)
+    assert sorted(plain.collect()) == sorted(want.select(*plain.columns).collect())
