@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES
-from canvass.operators.joins import dimension
+from canvass.operators.joins import dimension, rows_at_most
 
 
 def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
@@ -80,8 +80,9 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
                 .unionByName(cancellations.select("insured_code")))
     bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email"))
     if max_broadcast_rows is not None:
-        excluded = dimension(excluded, max_broadcast_rows)
-        bad = dimension(bad, max_broadcast_rows)
+        small = rows_at_most({"excluded": excluded, "bad": bad}, max_broadcast_rows)   # one job for both
+        excluded = F.broadcast(excluded) if small["excluded"] else excluded
+        bad = F.broadcast(bad) if small["bad"] else bad
     status = (policy_pet.select("policy_no", "policy_status_dwid")
               .join(policy_status.filter(F.col("policy_status_desc").isin(*INFORCE_STATUSES))
                     .select("policy_status_dwid"), "policy_status_dwid")
