@@ -33,8 +33,9 @@ DIGITS_PER_LEVEL = 4  # 16 bits: at most 65,536 bucket counts per level
 
 
 def sample_hash(key: Column | str, seed: int) -> Column:
+    """md5 of ``key || '|' || seed``; a NULL key counts as '' (as SQL ``concat`` does in DuckDB)."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(k.cast("string"), F.lit(f"|{seed}")))
+    return F.md5(F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f"|{seed}")))
 
 
 def identity_hash(key: str, tiebreak: tuple[str, ...], seed: int) -> Column:

@@ -303,3 +303,12 @@ def test_sample_splits_a_key_holding_a_third_of_the_rows(spark):
         expected = rows(pop.orderBy(h1, h2).limit(n), "policyid", "pp_petname")
         got = rows(random_sample(pop, n, 42, rank_limit=50), "policyid", "pp_petname")
         assert got == expected
+
+
+def test_sample_with_null_keys(spark):
+    pop = spark.range(300).select(F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id")).alias("policyid"),
+                                  F.col("id").cast("string").alias("pp_petname"))
+    h1 = F.md5(F.concat(F.coalesce(F.col("policyid").cast("string"), F.lit("")), F.lit("|42")))
+    h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
+    expected = rows(pop.orderBy(h1, h2).limit(120), "policyid", "pp_petname")
+    assert rows(random_sample(pop, 120, 42, rank_limit=5), "policyid", "pp_petname") == expected
