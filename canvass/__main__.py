@@ -54,7 +54,38 @@ def report_frames(p: SurveyPull) -> dict:
     }
 
 
-def run(spark: SparkSession, tables: Warehouse, config: Config, out: str) -> dict:
+# Reports over one population, for re-running against other stages (the
+# script's "change between" notes): name -> report(population).
+PER_POPULATION = {
+    "multipet_households": R.multipet_households,
+    "species_mix": R.species_mix_report,
+    "mix_min_term": lambda pop: R.mix_by_term(pop, "min_term"),
+    "mix_max_term": lambda pop: R.mix_by_term(pop, "max_term"),
+    "product": R.product_report,
+    "state": R.state_report,
+    "band_med_submitted": lambda pop: R.amount_band_report(pop, "medicalclaimamount", "submitted_group",
+                                                           "medicalclaimcount"),
+    "band_med_eligible": lambda pop: R.amount_band_report(pop, "medicaleligibleamount", "eligible_group",
+                                                          "medicalclaimcount"),
+    "band_med_paid": lambda pop: R.amount_band_report(pop, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount"),
+    "band_well_submitted": lambda pop: R.amount_band_report(pop, "welcareclaimamount", "well_submitted_group",
+                                                            "welcareclaimcount"),
+    "band_well_eligible": lambda pop: R.amount_band_report(pop, "welcareeligibleamount", "well_eligible_group",
+                                                           "welcareclaimcount"),
+    "band_well_paid": lambda pop: R.amount_band_report(pop, "welcarepaidamount", "well_reimbursement_grp",
+                                                       "welcareclaimcount", strictly_positive=True),
+    "pets_topcoded": R.pets_topcoded_report,
+}
+POPULATIONS = {"F1A": "nps_f1a", "F2": "nps_f2", "F2A": "nps_f2a", "F3": "nps_f3"}
+
+
+def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
+        populations: tuple[str, ...] = ()) -> dict:
+    """Build the pull and write stages, sample files and reports under ``out``.
+
+    ``populations`` (any of F1A, F2, F2A, F3) additionally writes every
+    single-population report for each of them under ``reports/by_population``.
+    """
     p = SurveyPull(spark, tables, config).prepare()
     out = out.rstrip("/")
     for name in STAGES:
@@ -63,6 +94,10 @@ def run(spark: SparkSession, tables: Warehouse, config: Config, out: str) -> dic
     export_sample(p.nps_f4a, f"{out}/files/sample_new_policies", single_file=True)
     for name, df in report_frames(p).items():
         df.write.mode("overwrite").parquet(f"{out}/reports/{name}")
+    for label in populations:
+        pop = getattr(p, POPULATIONS[label])
+        for name, report in PER_POPULATION.items():
+            report(pop).write.mode("overwrite").parquet(f"{out}/reports/by_population/{label}/{name}")
     return {r["stage"]: r["row_count"] for r in spark.read.parquet(f"{out}/reports/funnel").collect()}
 
 
@@ -77,14 +112,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--n-main", type=int, default=Config.n_main)
     ap.add_argument("--n-new", type=int, default=Config.n_new)
     ap.add_argument("--seed", type=int, default=Config.seed)
+    ap.add_argument("--populations", default="", help="also run every single-population report on these stages, "
+                                                       "e.g. F1A,F2,F3")
     args = ap.parse_args(argv)
+    populations = tuple(x.strip().upper() for x in args.populations.split(",") if x.strip())
+    unknown = [x for x in populations if x not in POPULATIONS]
+    if unknown:
+        ap.error(f"unknown population(s) {unknown}; choose from {sorted(POPULATIONS)}")
 
     spark = SparkSession.builder.appName("canvass").getOrCreate()
     tables = (Warehouse.from_parquet(spark, args.warehouse) if args.warehouse
               else Warehouse.from_catalog(spark, args.database))
     config = Config(report_date=parse_report_date(args.report_date), as_of=parse_report_date(args.as_of),
                     n_main=args.n_main, n_new=args.n_new, seed=args.seed)
-    print(json.dumps(run(spark, tables, config, args.out)))
+    print(json.dumps(run(spark, tables, config, args.out, populations)))
 
 
 if __name__ == "__main__":

@@ -89,9 +89,12 @@ def test_command_line_run_writes_stages_files_and_reports(spark):
     from canvass.config import FIXTURE_CONFIG
     base = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
     FixtureWarehouse(spark, SF_SMALL).land(f"{base}/wh")
-    funnel = run(spark, Warehouse.from_parquet(spark, f"{base}/wh"), FIXTURE_CONFIG, f"{base}/out")
+    funnel = run(spark, Warehouse.from_parquet(spark, f"{base}/wh"), FIXTURE_CONFIG, f"{base}/out",
+                 populations=("F1A", "F2"))
     assert funnel["nps_f3"] == FIXTURE_CONFIG.n_main
-    assert len(os.listdir(f"{base}/out/reports")) == 18
+    assert len(os.listdir(f"{base}/out/reports")) == 19          # 18 reports + by_population
+    assert sorted(os.listdir(f"{base}/out/reports/by_population")) == ["F1A", "F2"]
+    assert len(os.listdir(f"{base}/out/reports/by_population/F2")) == 13
     sample = spark.read.option("header", True).csv(f"{base}/out/files/sample_main")
     assert sample.count() == FIXTURE_CONFIG.n_main
     with pytest.raises(SystemExit):       # a warehouse source is required
