@@ -39,8 +39,9 @@ def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
 
 
 def list_validation(scrubber: DataFrame) -> DataFrame:
-    """Rows per source of the suppression list."""
-    return scrubber.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"))
+    """Rows per source of the suppression list, by source."""
+    return (scrubber.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"))
+            .orderBy(F.col("source").asc_nulls_last()))
 
 
 def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFrame, as_of: dt.date) -> DataFrame:
