@@ -1,4 +1,4 @@
-"""Session helpers: the runtime settings the pipeline relies on."""
+"""Session helpers: the runtime settings the pull relies on."""
 
 from __future__ import annotations
 

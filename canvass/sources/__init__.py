@@ -1,4 +1,4 @@
-"""Where the pipeline's tables come from and where its files go."""
+"""Where the pull's tables come from and where its files go."""
 
 from canvass.sources.fixtures import FixtureWarehouse
 from canvass.sources.lists import export_sample, read_list

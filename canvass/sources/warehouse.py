@@ -1,6 +1,6 @@
 """Named warehouse tables as DataFrames.
 
-A :class:`Warehouse` maps the table names the pipeline uses to DataFrames.
+A :class:`Warehouse` maps the table names the pull uses to DataFrames.
 Tables can come from parquet directories, the session catalog or a JDBC
 source (the remote pet and voucher tables); each is loaded lazily, once.
 """
