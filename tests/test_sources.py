@@ -110,3 +110,16 @@ def test_suppression_feed_resolves_policy_numbers(spark):
     q = start_suppression_feed(spark, landing, table, kind="policy", header=header, checkpoint=f"{base}/ckpt")
     q.awaitTermination()
     assert rows(spark.read.parquet(table)) == [("C1", "G1")]
+
+
+def test_command_line_main(spark, capsys):
+    import json
+
+    from canvass.__main__ import main
+    base = tempfile.mkdtemp(prefix="cli-main-", dir="/tmp")
+    FixtureWarehouse(spark, SF_SMALL).land(f"{base}/wh")
+    main(["--warehouse", f"{base}/wh", "--out", f"{base}/out", "--report-date", "02/28/2013",
+          "--as-of", "03/01/2013", "--n-main", "20", "--n-new", "5", "--populations", "f3"])
+    funnel = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert funnel["nps_f3"] == 20 and funnel["nps_f4a"] == 5
+    assert os.path.isdir(f"{base}/out/reports/by_population/F3/species_mix")
