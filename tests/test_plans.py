@@ -72,3 +72,15 @@ def test_sample_ranks_only_the_straddling_bucket(spark):
     # every row below the cut is taken by a filter; only one bucket is ranked
     assert "TakeOrderedAndProject" in p
     assert "substring(concat(md5" in p
+
+
+def test_size_check_skips_tables_of_many_files(spark):
+    import tempfile
+
+    from canvass.operators.joins import rows_at_most
+    path = tempfile.mkdtemp(prefix="files-", dir="/tmp") + "/t"
+    spark.range(100).repartition(10).write.parquet(path)
+    t = spark.read.parquet(path)
+    assert rows_at_most({"t": t}, 1000, max_files=20) == {"t": True}
+    assert rows_at_most({"t": t}, 1000, max_files=5) == {"t": False}     # decided from metadata
+    assert rows_at_most({"t": t}, 50) == {"t": False}
