@@ -79,17 +79,29 @@ PER_POPULATION = {
 POPULATIONS = {"F1A": "nps_f1a", "F2": "nps_f2", "F2A": "nps_f2a", "F3": "nps_f3"}
 
 
+def save_stages(p: SurveyPull, *, path: str | None = None, database: str | None = None) -> None:
+    """Store every stage, like the source's CREATE TABLE AS SELECT chain:
+    as parquet folders under ``path`` or as catalog tables in ``database``."""
+    for name in STAGES:
+        writer = getattr(p, name).write.mode("overwrite")
+        if database:
+            writer.saveAsTable(f"{database}.{name}")
+        else:
+            writer.parquet(f"{path.rstrip('/')}/{name}")
+
+
 def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
-        populations: tuple[str, ...] = ()) -> dict:
+        populations: tuple[str, ...] = (), database: str | None = None) -> dict:
     """Build the pull and write stages, sample files and reports under ``out``.
 
     ``populations`` (any of F1A, F2, F2A, F3) additionally writes every
     single-population report for each of them under ``reports/by_population``.
+    ``database`` stores the stages as catalog tables there instead of as
+    folders under ``out/stages``.
     """
     p = SurveyPull(spark, tables, config).prepare()
     out = out.rstrip("/")
-    for name in STAGES:
-        getattr(p, name).write.mode("overwrite").parquet(f"{out}/stages/{name}")
+    save_stages(p, path=f"{out}/stages", database=database)
     export_sample(p.nps_f3, f"{out}/files/sample_main", single_file=True)
     export_sample(p.nps_f4a, f"{out}/files/sample_new_policies", single_file=True)
     for name, df in report_frames(p).items():
@@ -112,6 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--n-main", type=int, default=Config.n_main)
     ap.add_argument("--n-new", type=int, default=Config.n_new)
     ap.add_argument("--seed", type=int, default=Config.seed)
+    ap.add_argument("--stage-database", help="store the stages as catalog tables in this database")
     ap.add_argument("--populations", default="", help="also run every single-population report on these stages, "
                                                        "e.g. F1A,F2,F3")
     args = ap.parse_args(argv)
@@ -125,7 +138,7 @@ def main(argv: list[str] | None = None) -> None:
               else Warehouse.from_catalog(spark, args.database))
     config = Config(report_date=parse_report_date(args.report_date), as_of=parse_report_date(args.as_of),
                     n_main=args.n_main, n_new=args.n_new, seed=args.seed)
-    print(json.dumps(run(spark, tables, config, args.out, populations)))
+    print(json.dumps(run(spark, tables, config, args.out, populations, database=args.stage_database)))
 
 
 if __name__ == "__main__":

@@ -68,7 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return path
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "canvass") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "canvass",
+                  conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -78,7 +79,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,7 +15,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, shuffle_partitions=8, app="canvass-tests")
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="canvass-catalog-", dir="/tmp")
+    s = local_session(4, shuffle_partitions=8, app="canvass-tests", conf={"spark.sql.warehouse.dir": warehouse})
     ensure_checkpoint_dir(s)
     yield s
 

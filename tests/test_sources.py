@@ -123,3 +123,14 @@ def test_command_line_main(spark, capsys):
     funnel = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert funnel["nps_f3"] == 20 and funnel["nps_f4a"] == 5
     assert os.path.isdir(f"{base}/out/reports/by_population/F3/species_mix")
+
+
+def test_stages_saved_as_catalog_tables(spark):
+    from canvass.__main__ import STAGES, save_stages
+    from canvass.plans.registry import pull_for
+    loc = tempfile.mkdtemp(prefix="db-", dir="/tmp")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS canvass_stage_test LOCATION '{loc}'")
+    p = pull_for(spark, SF_SMALL)
+    save_stages(p, database="canvass_stage_test")
+    assert spark.table("canvass_stage_test.nps_f3").count() == p.nps_f3.count()
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN canvass_stage_test").collect()} == set(STAGES)
