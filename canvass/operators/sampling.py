@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions.rules import NEW_POLICY_PRODUCT_PREFIXES, new_policy_product
 from canvass.operators.joins import dimension
+from canvass.operators.skew import row_number_per_key
 
 HASH = "_sample_hash"
 DIGITS_PER_LEVEL = 4  # 16 bits: at most 65,536 bucket counts per level
@@ -51,14 +52,15 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
 
     The result has exactly ``min(n, rows)`` rows and does not depend on
     partitioning.  Rows that tie on both hashes have the same identity; among
-    them the order falls to the remaining columns.
+    them the order falls to the remaining columns (ascending, NULLs first),
+    ranked without a single-task merge even when they are very many.
     """
     if n <= 0:
         return df.limit(0)
     cols = df.columns
     present = tuple(c for c in tiebreak if c in cols)
     scored = df.withColumn(HASH, F.concat(sample_hash(key, seed), identity_hash(key, present, seed)))
-    order = [F.col(HASH).asc()] + [F.col(c).asc_nulls_last() for c in cols]
+    order = [F.col(HASH).asc()] + [F.col(c).asc() for c in cols]
     full = 64
 
     taken: list[DataFrame] = []
@@ -86,9 +88,17 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
         need -= before
         prefix = prefix + b
         pool = pool.filter(F.substring(F.col(HASH), 1, len(prefix)) == F.lit(prefix))
-        if c <= rank_limit or len(prefix) >= full:
+        if c <= rank_limit:
             taken.append(pool.orderBy(*order).limit(need))
             break
+        if len(prefix) >= full:
+            # Still large with both hashes used up: copies of one identity.
+            # Rank them with the split-safe row number (range partitions on
+            # the full order) instead of a single top-n merge.
+            ranked = row_number_per_key(pool.withColumn("_bucket", F.lit(0)), ["_bucket"], [HASH, *cols],
+                                        "_rank", hot_rows=rank_limit)
+            taken.append(ranked.filter(F.col("_rank") <= need).drop("_bucket", "_rank"))
+            break
     out = taken[0]
     for part in taken[1:]:
         out = out.unionByName(part)

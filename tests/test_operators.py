@@ -312,3 +312,20 @@ def test_sample_with_null_keys(spark):
     h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
     expected = rows(pop.orderBy(h1, h2).limit(120), "policyid", "pp_petname")
     assert rows(random_sample(pop, 120, 42, rank_limit=5), "policyid", "pp_petname") == expected
+
+
+def test_sample_many_copies_of_one_identity(spark):
+    # a third of the rows are copies of one identity, differing only in another column
+    pop = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("policyid"),
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("pp_petname"),
+        (F.col("id") % 17).alias("v"))
+    h1 = F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|42")))
+    h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
+    key = F.concat(h1, h2)
+    copies = pop.filter(F.col("policyid") == 7).select(key.alias("k")).first()["k"]
+    before = pop.filter(key < F.lit(copies)).count()
+    for n in (50, before + 500):        # the second cut falls inside the copies
+        expected = rows(pop.orderBy(h1, h2, "policyid", "pp_petname", "v").limit(n), "policyid", "pp_petname", "v")
+        got = rows(random_sample(pop, n, 42, rank_limit=40), "policyid", "pp_petname", "v")
+        assert got == expected
