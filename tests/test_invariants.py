@@ -65,3 +65,19 @@ def test_reports_come_back_in_source_order(spark):
     assert bands == sorted(bands, key=lambda b: (b is None, b))
     terms = [r[0] for r in R.term_by_stage(p.nps_f1a, p.nps_f2a, p.nps_f3).collect()]
     assert terms == sorted(terms) and terms[-1] == 18
+
+
+def test_shuffle_join_plans_give_the_same_pull(spark):
+    # automatic broadcast off: the plan shapes of tables too large to broadcast
+    base = _pull(spark)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        p = SurveyPull(spark, base.t, FIXTURE_CONFIG)
+        assert sorted(p.nps_f1.collect()) == sorted(base.nps_f1.collect())
+        assert rows(p.nps_f3, "policyid") == rows(base.nps_f3, "policyid")
+        assert p.nps_f4.count() == base.nps_f4.count()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
