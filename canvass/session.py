@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Coalesce small shuffle partitions to the advisory size rather than
+    # keeping the maximum task count (Spark's advice for busy clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
