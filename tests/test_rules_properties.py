@@ -86,3 +86,20 @@ def test_species_mix_matches_model(spark, values):
                                "i int, dogs bigint, cats bigint, avian bigint, exoticothers bigint")
     got = [r["m"] for r in df.select("i", species_mix().alias("m")).orderBy("i").collect()]
     assert got == [mix_model(*v) for v in values]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(min_value=0, max_value=400), st.integers(min_value=1, max_value=12),
+       st.integers(min_value=2, max_value=30), st.integers(min_value=0, max_value=450),
+       st.integers(min_value=1, max_value=99))
+def test_random_sample_matches_brute_force(spark, rows, keys, names, n, seed):
+    from canvass.operators.sampling import random_sample
+    # duplicate keys and duplicate identities on purpose
+    pop = spark.range(rows).select((F.col("id") % keys).alias("policyid"),
+                                   (F.col("id") % names).cast("string").alias("pp_petname"),
+                                   F.col("id").alias("v"))
+    h1 = F.md5(F.concat(F.col("policyid").cast("string"), F.lit(f"|{seed}")))
+    h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit(str(seed))))
+    want = sorted(tuple(r) for r in pop.orderBy(h1, h2, "policyid", "pp_petname", "v").limit(n).collect())
+    got = sorted(tuple(r) for r in random_sample(pop, n, seed, rank_limit=7).collect())
+    assert got == want
