@@ -3,11 +3,13 @@
 The pull's suppression list grows by hand: files A1 ... D2 are imported,
 then list G1 (policy numbers) and list H (e-mails) are resolved to
 policyholder codes and appended with ``INSERT INTO``.  Here a landing folder
-is read as a Structured Streaming file source: each new file is read once,
-resolved the same way (stream-static joins against the policy header or the
-policyholder table) and appended to a parquet table.  The checkpoint keeps
-exactly-once bookkeeping, so a re-run or a lost executor never appends a file
-twice, which the repeated ``INSERT`` of the source could.
+is read as a Structured Streaming file source.  Each micro-batch (the files
+that arrived) is resolved with batch semantics, so a list, which is small,
+is broadcast behind a size check and the policy header or policyholder
+table is scanned, not shuffled, for every batch.  The batch is written to
+``table/batch_id=N`` with overwrite: with the stream's checkpoint this is
+exactly-once, since a retried batch replaces its own folder and never
+appends twice (the repeated ``INSERT`` of the source could).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from canvass.operators.joins import dimension
 from canvass.session import ensure_checkpoint_dir
 from canvass.sources.lists import EMAIL_LIST, INSURED_LIST, POLICY_LIST
 
@@ -31,23 +34,26 @@ def _clean(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols, source.alias("source"))
 
 
-def resolve(batch: DataFrame, kind: str, header: DataFrame | None = None, insured: DataFrame | None = None) -> DataFrame:
-    """Map a list batch to ``(insured_code, source)`` rows.
+def resolve(batch: DataFrame, kind: str, header: DataFrame | None = None, insured: DataFrame | None = None,
+            max_broadcast_rows: int | None = None) -> DataFrame:
+    """Map one batch of list rows to ``(insured_code, source)`` rows.
 
     ``insured``: codes as given.  ``policy``: distinct holders of the listed
-    policy numbers (on a stream: distinct over all files so far).  ``email``: every policyholder whose e-mail matches,
-    case-insensitively (not distinct, as in the source).
+    policy numbers.  ``email``: every policyholder whose e-mail matches,
+    case-insensitively (not distinct, as in the source).  With
+    ``max_broadcast_rows`` the list side is broadcast behind a size check.
     """
+    def small(df: DataFrame) -> DataFrame:
+        return dimension(df, max_broadcast_rows) if max_broadcast_rows is not None else df
+
     if kind == "insured":
         return batch.select("insured_code", "source")
     if kind == "policy":
-        holders = batch.join(header.select("policy_no", "insured_code"), "policy_no").select("insured_code", "source")
-        # A stream cannot aggregate in append mode; dropDuplicates keeps the
-        # (small) set of pairs seen so far as state instead.
-        return holders.dropDuplicates() if holders.isStreaming else holders.distinct()
+        return (header.select("policy_no", "insured_code").join(small(batch.select("policy_no", "source")), "policy_no")
+                .select("insured_code", "source").distinct())
     if kind == "email":
-        return (batch.select(F.lower(F.col("email")).alias("_email"), "source")
-                .join(insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code"), "_email")
+        listed = small(batch.select(F.lower(F.col("email")).alias("_email"), "source"))
+        return (insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code").join(listed, "_email")
                 .select("insured_code", "source"))
     raise ValueError(f"unknown list kind {kind!r}")
 
@@ -55,7 +61,8 @@ def resolve(batch: DataFrame, kind: str, header: DataFrame | None = None, insure
 def start_suppression_feed(spark: SparkSession, landing_dir: str, table_path: str, kind: str = "insured", *,
                            header: DataFrame | None = None, insured: DataFrame | None = None,
                            checkpoint: str | None = None, available_now: bool = True,
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
+                           max_files_per_trigger: int | None = None,
+                           max_broadcast_rows: int = 500_000) -> StreamingQuery:
     """Start appending list files from ``landing_dir`` to ``table_path``.
 
     ``kind`` is ``insured``, ``policy`` (needs ``header``) or ``email``
@@ -67,10 +74,17 @@ def start_suppression_feed(spark: SparkSession, landing_dir: str, table_path: st
     reader = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = resolve(_clean(reader.csv(landing_dir), schema), kind, header=header, insured=insured)
+    if kind == "policy" and header is None or kind == "email" and insured is None:
+        raise ValueError(f"a {kind!r} list needs the table it is resolved against")
+    stream = _clean(reader.csv(landing_dir), schema)
+    table = table_path.rstrip("/")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = resolve(batch, kind, header=header, insured=insured, max_broadcast_rows=max_broadcast_rows)
+        rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/suppression-feed-{kind}-{uuid.uuid4().hex[:8]}"
-    writer = (rows.writeStream.format("parquet").option("path", table_path)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

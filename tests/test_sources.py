@@ -65,11 +65,11 @@ def test_suppression_feed_appends_each_file_once(spark):
     _write(f"{landing}/A1.csv", "insured_code\nC1 \nC2\n")
     q = start_suppression_feed(spark, landing, table, checkpoint=ckpt)
     q.awaitTermination()
-    assert rows(spark.read.parquet(table)) == [("C1", "A1"), ("C2", "A1")]
+    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "A1"), ("C2", "A1")]
     _write(f"{landing}/H.csv", "insured_code\nC3\n")
     q = start_suppression_feed(spark, landing, table, checkpoint=ckpt)
     q.awaitTermination()
-    assert rows(spark.read.parquet(table)) == [("C1", "A1"), ("C2", "A1"), ("C3", "H")]
+    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "A1"), ("C2", "A1"), ("C3", "H")]
 
 
 def test_suppression_feed_resolves_emails(spark):
@@ -81,7 +81,7 @@ def test_suppression_feed_resolves_emails(spark):
                                     "insured_code string, insured_email string")
     q = start_suppression_feed(spark, landing, table, kind="email", insured=insured, checkpoint=f"{base}/ckpt")
     q.awaitTermination()
-    assert rows(spark.read.parquet(table)) == [("C1", "H"), ("C2", "H")]
+    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "H"), ("C2", "H")]
 
 
 def test_command_line_run_writes_stages_files_and_reports(spark):
@@ -109,7 +109,7 @@ def test_suppression_feed_resolves_policy_numbers(spark):
     header = spark.createDataFrame([("P1", "C1"), ("P1", "C1"), ("P2", "C2")], "policy_no string, insured_code string")
     q = start_suppression_feed(spark, landing, table, kind="policy", header=header, checkpoint=f"{base}/ckpt")
     q.awaitTermination()
-    assert rows(spark.read.parquet(table)) == [("C1", "G1")]
+    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "G1")]
 
 
 def test_command_line_main(spark, capsys):
