@@ -1,16 +1,18 @@
 """Summarise the physical plan of every stage and registered query.
 
-Usage: python tools/explain_plans.py [sf_dir] [--at-scale] [--dump DIR]
+Usage: python tools/explain_plans.py [sf_dir] [--at-scale] [--dump DIR] [--markdown FILE]
 
 ``--at-scale`` turns off Spark's automatic size-based broadcast, so only the
 tables that pass the pull's own size check are broadcast, as on warehouse
 tables too large for the automatic threshold.  ``--dump`` writes each
-``explain("formatted")`` to DIR.
+``explain("formatted")`` to DIR; ``--markdown`` writes the plan trees of the
+main stages to one markdown file (docs/plans.md).
 """
 
 from __future__ import annotations
 
 import contextlib
+import io
 import os
 import re
 import sys
@@ -31,6 +33,27 @@ def summary(df) -> dict:
     return out
 
 
+def plan_tree(df) -> str:
+    """The operator tree of ``explain("formatted")`` (without the node details)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    tree = text.split("\n\n\n")[0] if "\n\n\n" in text else text.split("\n(1)")[0]
+    return tree.strip()
+
+
+def write_markdown(path: str, stages: dict, extra: dict, sf_dir: str) -> None:
+    parts = ["# Physical plans at scale\n",
+             f"Generated by `python tools/explain_plans.py {sf_dir} --at-scale --markdown {path}`: Spark's "
+             "automatic size-based broadcast is off, so only size-checked tables are broadcast, as on 100 TB "
+             "tables. Operator trees of `explain(\"formatted\")` before AQE re-planning.\n"]
+    for name, df in list(stages.items()) + list(extra.items()):
+        parts.append(f"## {name}\n\n```\n{plan_tree(df)}\n```\n")
+    with open(path, "w") as fh:
+        fh.write("\n".join(parts))
+
+
 def main() -> None:
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     sf_dir = args[0] if args else "/root/testdata/sf0.1"
@@ -43,13 +66,18 @@ def main() -> None:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     p = pull_for(spark, sf_dir)
+    from canvass.operators.referrals import referral_counts
     stages = {"ah_inforce": p.ah_inforce, "inforce_quarterly": p._inforce_quarterly(),
-              "claim_rollups": p.claim_rollups_plan(), "referrals": p.referrals,
+              "claim_rollups": p.claim_rollups_plan(),
+              "referrals": referral_counts(p.t["vouchers_issued"], p.t["dw_policy_header"]),
               "nps_f2": p.nps_f2_plan(), "nps_f2a": p.nps_f2a, "nps_f3": p.nps_f3, "nps_f4": p.nps_f4_plan()}
     from canvass.operators.household import household_profile
     stages["nps_f1"] = household_profile(p.inforce_quarterly, p.claim_rollups, p.dim("dw_dim_zipcode"),
                                          p.dim("dw_dim_group"), referrals=p.referrals,
                                          hot_key_rows=p.config.hot_key_rows)
+    if "--markdown" in sys.argv:
+        write_markdown(sys.argv[sys.argv.index("--markdown") + 1], stages,
+                       {"q24_top_states_pif": QUERIES["q24_top_states_pif"](spark, sf_dir)}, sf_dir)
     for name, df in list(stages.items()) + [(k, fn(spark, sf_dir)) for k, fn in QUERIES.items()]:
         print(f"{name:26s} {summary(df)}")
         if dump:
