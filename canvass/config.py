@@ -33,6 +33,14 @@ class Config:
     # executor memory/disk with the lineage; "none" recomputes.
     materialize: str = "table"
 
+    def __post_init__(self) -> None:
+        if self.n_main < 0 or self.n_new < 0:
+            raise ValueError("sample sizes must be non-negative")
+        if self.broadcast_max_rows < 0 or self.hot_key_rows < 1:
+            raise ValueError("broadcast_max_rows must be >= 0 and hot_key_rows >= 1")
+        if self.materialize not in ("table", "checkpoint", "persist", "none"):
+            raise ValueError(f"unknown materialize mode {self.materialize!r}")
+
     @classmethod
     def from_text(cls, report_date: str, as_of: str, **kw) -> "Config":
         """Dates written month/day/year, e.g. ``Config.from_text("02/28/2013", "03/01/2013")``."""

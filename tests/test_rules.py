@@ -84,3 +84,12 @@ def test_report_date_month_first(spark):
     assert Config.from_text("02/28/2013", "03/01/2013").as_of == dt.date(2013, 3, 1)
     got = _apply(spark, ["02/28/2013", "13/40/2013", None], "string", to_report_date)
     assert got == [dt.date(2013, 2, 28), None, None]
+
+
+def test_config_rejects_bad_values():
+    import pytest
+
+    from canvass.config import Config
+    for bad in ({"n_main": -1}, {"materialize": "local"}, {"hot_key_rows": 0}):
+        with pytest.raises(ValueError):
+            Config(**bad)
