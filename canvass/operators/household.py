@@ -33,7 +33,7 @@ def _zero(c: str, typ: str) -> F.Column:
 
 def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame, group: DataFrame,
                       referrals: DataFrame | None = None, hot_key_rows: int = 1_000_000,
-                      max_salts: int = 256) -> DataFrame:
+                      max_salts: int = 65_536) -> DataFrame:
     """AH_INFORCE_NPS plus the hidden column ``_min_policy_no``.
 
     With ``referrals`` (D6's ``vi_insured, policy_referred_count``) the

@@ -26,10 +26,12 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, *, rows_per_key:
     with more than ``hot_rows`` rows is hot: its rows get a salt
     ``pmod(xxhash64(salt_by), n)`` with ``n = min(ceil(count / hot_rows),
     max_salts)``, and its ``per_key`` row is repeated once per salt, so the
-    join on ``(key, salt)`` spreads it over ``n`` tasks.  Other keys join
-    unchanged (salt 0).  The hot-key table is broadcast: every hot key has
-    more than ``hot_rows`` rows, so there are fewer than
-    ``total_rows / hot_rows`` of them, a bound that holds by construction.
+    join on ``(key, salt)`` spreads it over ``n`` tasks of about
+    ``hot_rows`` rows each.  Other keys join unchanged (salt 0).  The
+    hot-key table is broadcast: every hot key has more than ``hot_rows``
+    rows, so there are fewer than ``total_rows / hot_rows`` of them, and the
+    repeated ``per_key`` rows number at most about ``total_rows / hot_rows``
+    too: both bounds hold by construction.
     The result equals the plain join on ``key``, which is what runs when
     no key is hot (checked first, in one small job).
     """
