@@ -61,7 +61,8 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
     broadcast set bounded by construction, as in :func:`join_per_key`) are
     range-partitioned on ``key + order`` and written once under ``scratch``
     (so the range assignment cannot change on recomputation).  They are then
-    numbered within each (key, partition), and each partition is offset by
+    numbered within each (key, partition), about ``hot_rows`` rows per
+    partition however large the key, and each partition is offset by
     the rows of that key in earlier partitions (a running sum over a small
     per-partition count table).  Rows that tie on all ``order`` columns are
     numbered in an arbitrary order, as with the plain window.
@@ -72,7 +73,8 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(*key)
     w = Window.partitionBy(*key).orderBy(*order)
-    if hot.limit(1).count() == 0:                      # the usual case: no hot key
+    hot_total = counts.filter(F.col("_n") > hot_rows).agg(F.sum("_n").alias("t")).first()["t"] or 0
+    if hot_total == 0:                                 # the usual case: no hot key
         return df.withColumn(out, F.row_number().over(w))
 
     hot_b = F.broadcast(hot)
@@ -80,7 +82,8 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
     if scratch is None:
         from canvass.session import ensure_checkpoint_dir
         scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-rank-{uuid.uuid4().hex[:12]}"
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # about hot_rows rows per range partition, however large the hot keys are
+    n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // hot_rows))
     (df.join(hot_b, key, "left_semi").repartitionByRange(n_parts, *key, *order)
      .withColumn("_pid", F.spark_partition_id())
      .write.mode("overwrite").parquet(scratch))
