@@ -12,7 +12,8 @@ thousands of partitions.  Instead the hash digits cut the rows into buckets:
 one aggregation counts rows per bucket (at most 65,536 small rows come back
 to the driver), every bucket wholly below the cut is taken by a filter, and
 only the one bucket that straddles the cut is ranked.  That bucket is refined
-digit group by digit group until it holds at most ``rank_limit`` rows.  The
+digit group by digit group until it holds at most ``rank_limit`` rows; when
+it must be refined, it is stored once so the next levels read only its rows.  The
 second hash keeps refining when one key has very many rows (a policy with a
 third of the population stays splittable); only rows with the same identity
 can share all 64 digits.
@@ -20,6 +21,7 @@ can share all 64 digits.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from canvass.functions.rules import NEW_POLICY_PRODUCT_PREFIXES, new_policy_product
 from canvass.operators.joins import dimension
 from canvass.operators.skew import row_number_per_key
+from canvass.session import ensure_checkpoint_dir
 
 HASH = "_sample_hash"
 DIGITS_PER_LEVEL = 4  # 16 bits: at most 65,536 bucket counts per level
@@ -64,6 +67,7 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
     full = 64
 
     taken: list[DataFrame] = []
+    scratch: str | None = None
     need = n
     prefix = ""          # hash prefix of the straddling bucket so far
     pool = scored        # rows inside that bucket
@@ -88,6 +92,13 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
         need -= before
         prefix = prefix + b
         pool = pool.filter(F.substring(F.col(HASH), 1, len(prefix)) == F.lit(prefix))
+        if c > rank_limit and len(prefix) < full:
+            # More levels follow: store the straddling bucket once, so they
+            # read only its rows instead of rescanning the whole input.
+            if scratch is None:
+                scratch = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/canvass-sample-{uuid.uuid4().hex[:12]}"
+            pool.write.mode("overwrite").parquet(f"{scratch}/{prefix}")
+            pool = df.sparkSession.read.parquet(f"{scratch}/{prefix}")
         if c <= rank_limit:
             taken.append(pool.orderBy(*order).limit(need))
             break
