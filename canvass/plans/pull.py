@@ -1,8 +1,9 @@
 """The survey pull as a graph of memoised Spark stages.
 
 Each stage is a lazily built DataFrame.  Stages read by several later stages
-or reports (the enriched profile, the claim rollups, the referral counts, F1,
-F2, F2A, F3, F4) are materialised once per pull, like the source's CREATE TABLE AS SELECT chain;
+or reports (AH_INFORCE, the enriched profile, the claim rollups, the referral
+counts, the suppression list, F1, F2, F2A, F3, F4) are materialised once per
+pull, like the source's CREATE TABLE AS SELECT chain;
 F1A is a filter on F1 and F4A a sample of F4, both read in place.
 
 By default each materialised stage is written as a parquet table under the
@@ -108,9 +109,13 @@ class SurveyPull:
         self._materialised.clear()
 
     # -- population build (F1A) ------------------------------------------------
+    def ah_inforce_plan(self) -> DataFrame:
+        """The snapshot query itself (not the materialised copy)."""
+        return inforce_snapshot(self.t["dw_policy_header"], self.t["dw_data_inforce"], self.config.report_date)
+
     @cached_property
     def ah_inforce(self) -> DataFrame:
-        return inforce_snapshot(self.t["dw_policy_header"], self.t["dw_data_inforce"], self.config.report_date)
+        return self._materialise(self.ah_inforce_plan(), "ah_inforce")
 
     @cached_property
     def inforce_quarterly(self) -> DataFrame:
@@ -170,9 +175,12 @@ class SurveyPull:
     # -- suppression and sampling ------------------------------------------------
     @cached_property
     def nps_scrubber(self) -> DataFrame:
-        return suppression_list(self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
-                                self.t["dw_policy_header"], self.t["dw_dim_insured"],
-                                max_broadcast_rows=self.config.broadcast_max_rows)
+        # small, but resolving it scans the header and policyholder tables:
+        # stored once instead of re-resolved by every reader
+        return self._materialise(suppression_list(
+            self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
+            self.t["dw_policy_header"], self.t["dw_dim_insured"],
+            max_broadcast_rows=self.config.broadcast_max_rows), "nps_scrubber")
 
     @property
     def list_validation(self) -> DataFrame:

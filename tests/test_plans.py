@@ -19,7 +19,7 @@ def pull(spark):
 
 def test_report_date_prunes_inforce_partitions(pull):
     # the landed in-force fact is partitioned by report period
-    scan = [line for line in plan(pull.ah_inforce).splitlines() if "reportperiod" in line and "FileScan" in line]
+    scan = [line for line in plan(pull.ah_inforce_plan()).splitlines() if "reportperiod" in line and "FileScan" in line]
     assert scan and "PartitionFilters: [isnotnull(reportperiod" in scan[0] and "= 2013-02-28)" in scan[0]
 
 

@@ -67,9 +67,13 @@ def main() -> None:
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     p = pull_for(spark, sf_dir)
     from canvass.operators.referrals import referral_counts
-    stages = {"ah_inforce": p.ah_inforce, "inforce_quarterly": p._inforce_quarterly(),
+    from canvass.operators.suppression import suppression_list
+    stages = {"ah_inforce": p.ah_inforce_plan(), "inforce_quarterly": p._inforce_quarterly(),
               "claim_rollups": p.claim_rollups_plan(),
               "referrals": referral_counts(p.t["vouchers_issued"], p.t["dw_policy_header"]),
+              "nps_scrubber": suppression_list(p.t["nps_scrubber0"], p.t["nps_scrubber_policy"], p.t["nps_scrubber_dnc"],
+                                               p.t["dw_policy_header"], p.t["dw_dim_insured"],
+                                               max_broadcast_rows=p.config.broadcast_max_rows),
               "nps_f2": p.nps_f2_plan(), "nps_f2a": p.nps_f2a, "nps_f3": p.nps_f3, "nps_f4": p.nps_f4_plan()}
     from canvass.operators.household import household_profile
     stages["nps_f1"] = household_profile(p.inforce_quarterly, p.claim_rollups, p.dim("dw_dim_zipcode"),
