@@ -87,9 +87,10 @@ class SurveyPull:
     def prepare(self) -> "SurveyPull":
         """Build every shared stage, independent ones as concurrent Spark jobs.
 
-        The enriched profile, the claim rollups and the referral counts do
-        not depend on each other, so they are materialised at the same time;
-        the later stages follow in dependency order.  Idempotent.
+        The enriched profile, the claim rollups, the referral counts and the
+        suppression list do not depend on each other, so they are
+        materialised at the same time; the later stages follow in dependency
+        order.  Idempotent.
         """
         from concurrent.futures import ThreadPoolExecutor
 
