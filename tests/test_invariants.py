@@ -81,3 +81,14 @@ def test_shuffle_join_plans_give_the_same_pull(spark):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_stages_live_in_the_checkpoint_folder(spark):
+    p = _pull(spark)
+    from urllib.parse import urlparse
+    root = urlparse(spark.sparkContext.getCheckpointDir()).path
+    for stage in (p.ah_inforce, p.inforce_quarterly, p.nps_f1_full, p.nps_f2a, p.nps_f3):
+        files = stage.inputFiles()
+        assert files and all(urlparse(f).path.startswith(root) for f in files)
+    again = p.prepare()                       # idempotent: the same stage objects
+    assert again is p and again.nps_f3 is p.nps_f3
