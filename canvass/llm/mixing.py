@@ -185,5 +185,19 @@ def _settle(drawn: DataFrame, max_copies: int) -> DataFrame:
     return m.withColumn("copies", (F.col("copies") + moved).cast("int"))
 
 
+def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES,
+             doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``docs`` (all columns), each row as many times as the mix takes it."""
+    taken = mix(docs, weights, share, max_copies, doc_id, text, source).groupBy("doc_id", "source", "th").agg(
+        F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0")
+    taken = stored(taken.withColumnsRenamed({"doc_id": "__id", "source": "__source", "th": "__of"}), "taken")
+    rows = docs.withColumn("__th", F.xxhash64(text))
+    # Equal rows share their copies, so one of them carries all.
+    once = F.row_number().over(Window.partitionBy(doc_id, "__th", source).orderBy(F.lit(0)))
+    met = rows.join(taken, rows[doc_id].eqNullSafe(taken["__id"]) & (rows["__th"] == taken["__of"]) & rows[source].eqNullSafe(taken["__source"]))
+    met = met.withColumn("__once", once).filter(F.col("__once") == 1)
+    return met.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import read_table
 
 #: The classifier is fitted on at most so many labelled documents.
 MAX_ROWS = 20_000
@@ -70,19 +70,6 @@ def text_features(text: bytes | None) -> tuple[float, ...]:
     )
 
 
-def feature_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and one float column per feature."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = pd.DataFrame([text_features(t) for t in b["text"]], columns=list(FEATURES), dtype=np.float32)
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out
-
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    out = named.mapInPandas(run, "doc_id string, " + ", ".join(f"{f} float" for f in FEATURES))
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     """The third of the ids whose labels are never learnt from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -185,29 +172,48 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return model
 
 
-def train(features: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id: str = "doc_id",
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality") -> AdditiveModel:
     """Fit on the bounded sample of labelled documents that are not held out."""
-    known = labels.filter(F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(F.col(doc_id).alias("lid")).agg(
-        (F.avg(label) >= 0.5).cast("int").alias("y"))
-    rows = features.join(known, features["doc_id"] == known["lid"]).withColumn("h", F.xxhash64("doc_id"))
-    rows = rows.orderBy("h", "doc_id", *FEATURES).limit(max_rows).select(*FEATURES, "y").toPandas()
+    known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).groupBy(
+        F.col(doc_id).cast("long").alias("lid")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
+    known = known.orderBy(F.xxhash64("lid"), "lid").limit(max_rows)  # bounded, so it may be broadcast
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = pd.DataFrame([text_features(t) for t in b["text"]], columns=list(FEATURES), dtype=np.float64)
+            yield pd.concat([b[["lid", "y"]].reset_index(drop=True), out], axis=1)
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    rows = texts.join(F.broadcast(known), F.col("id") == F.col("lid")).select("lid", "y", "text").mapInPandas(
+        run, "lid long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
+    rows = rows.orderBy(F.xxhash64("lid"), "lid", *FEATURES).limit(max_rows).select(*FEATURES, "y").toPandas()
     return fit(rows[list(FEATURES)].to_numpy(np.float64), rows["y"].to_numpy(np.float64))
 
 
+def scorer(model: AdditiveModel):
+    """The model as a function of a text column (UTF-8 bytes)."""
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield pd.Series(model.score(np.array([text_features(t) for t in s], np.float64).reshape(-1, len(FEATURES))))
+
+    return lambda text: score(text.cast("binary"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
                    max_rows: int = MAX_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted``, one row per document."""
-    features = stored(feature_table(docs, doc_id, text), "features")
-    model = train(features, labels, max_rows, doc_id, label)
+    score = scorer(train(docs, labels, max_rows, doc_id, text, label))
+    out = docs.select(F.col(doc_id).alias("doc_id"), score(F.col(text)).alias("score"))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": model.score(b[list(FEATURES)].to_numpy(np.float64))})
 
-    named = features.withColumn("doc_id", F.col("doc_id").cast("string"))
-    out = named.mapInPandas(run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+def quality_filter(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+                   least: float = 0.5) -> DataFrame:
+    """``docs`` (all columns) without the documents that score below ``least``."""
+    score = scorer(train(docs, labels, doc_id=doc_id, text=text, label=label))
+    return docs.filter(score(F.col(text)) >= least)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

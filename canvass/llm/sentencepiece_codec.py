@@ -139,14 +139,20 @@ def codec(model: str) -> PieceCodec:
     return _CODECS[model]
 
 
-def encode_documents(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """``docs`` with an array of ids of the whole text in column ``into``."""
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` (all columns) with ``token_ids``, ``n_tokens`` and ``decodes_back``: whether
+    the library's decoding of the ids gives the text again."""
+    @F.pandas_udf("token_ids array<int>, n_tokens long, decodes_back boolean")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(model)
-        for s in batches:
-            yield pd.Series([c.encode(t or "")[0] for t in s])
+        for s in texts:
+            rows = []
+            for t in s:
+                ids = c.encode(t or "")[0]
+                rows.append((ids, len(ids), c.decode(ids) == (t or "")))
+            yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decodes_back"])
 
-    return docs.withColumn(into, F.pandas_udf(run, "array<int>")(F.col(text)))
+    return docs.withColumn("__encoded", run(F.col(text))).select(*docs.columns, "__encoded.*")
 
 
 def encoding_digest(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read_table, stored
@@ -60,16 +60,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` (a long), one row per document."""
+    """``doc_id, th, fp``: id, hash of the text and fingerprint (a long), one row per document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in b["text"]), np.int64, len(b))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "fp": fps})
 
     # doc_id goes through Python as text, so that nulls and large ids stay exact.
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    out = named.mapInPandas(run, "doc_id string, fp long")
-    return out.select(F.col("doc_id").cast("long"), "fp")
+    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
+    out = named.mapInPandas(run, "doc_id string, th long, fp long")
+    return out.select(F.col("doc_id").cast("long"), "th", "fp")
 
 
 def _path(fp, depth):
@@ -169,19 +169,40 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> DataFra
     return met.mapInPandas(run, "a long, b long")
 
 
-def simhash_near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
-                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id``, one row per document."""
+def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
+                          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, th, fp, label, component_id`` per document; label is the component's smallest fingerprint."""
     prints = stored(fingerprints(docs, shingle, doc_id, text), "prints")
     fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
     # Fingerprints without a link are their own component and stay out of the walk over labels.
     labels = components(links(fps.select("fp"), max_bits, leaf))
     named = fps.join(labels, fps["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    named = stored(named, "named")
     heads = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_fp = named.join(heads, "label").select(F.col("fp").alias("of"), "component_id")
-    out = prints.join(by_fp, F.col("fp") == F.col("of"))
+    by_fp = named.join(heads, "label").select(F.col("fp").alias("of"), "label", "component_id")
+    return prints.join(by_fp, F.col("fp") == F.col("of")).select("doc_id", "th", "fp", "label", "component_id")
+
+
+def simhash_near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
+                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, fingerprint, component_id``, one row per document."""
+    out = near_duplicate_groups(docs, shingle, max_bits, leaf, doc_id, text)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
+                         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` (all columns) with one document of each component: the smallest id, null last."""
+    groups = near_duplicate_groups(docs, shingle, max_bits, leaf, doc_id, text)
+    first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "th"))
+    keep = groups.withColumn("r", first).filter("r = 1").select(F.col("doc_id").alias("__keep"), F.col("th").alias("__keep_th"))
+    keep = stored(keep, "keep")
+    rows = docs.withColumn("__th", F.xxhash64(text))
+    stay = rows.join(keep, rows[doc_id].eqNullSafe(keep["__keep"]) & (rows["__th"] == keep["__keep_th"]), "left_semi")
+    # Rows that repeat both id and text are one document.
+    once = F.row_number().over(Window.partitionBy(doc_id, "__th").orderBy(F.lit(0)))
+    return stay.withColumn("__once", once).filter(F.col("__once") == 1).select(*docs.columns)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(read_table(spark, sf_dir, "documents"))
