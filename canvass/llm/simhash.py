@@ -94,7 +94,8 @@ def leaf_pairs(nodes: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) ->
     level = lambda d, side: nodes.filter(F.col("depth") == d).select(
         F.col("path").alias(side), F.col("n").alias(f"n{side}"), F.shiftrightunsigned("path", STEP).alias(f"up{side}"))
     # Root pair: all children of the root against each other (16 nodes at most).
-    pairs = level(STEP, "a").withColumn("up", F.lit(0)).join(level(STEP, "b").withColumn("up", F.lit(0)), "up")
+    top, other = level(STEP, "a"), level(STEP, "b")
+    pairs = top.join(other, top["upa"] == other["upb"])
     pairs = _near(pairs.filter("a <= b").withColumn("bits", F.bit_count(F.col("a").bitwiseXOR(F.col("b")))), max_bits)
     depth = STEP
     while True:
