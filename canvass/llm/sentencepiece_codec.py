@@ -21,10 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -38,14 +38,13 @@ from .common import read_table
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Parts remembered per worker, and the longest part that is remembered.
-MEMO_PARTS = 800_000
+MEMO_PARTS = 500_000
 MEMO_LENGTH = 64
 #: Characters of the texts whose new parts are learnt together.
 LOT = 1_000_000
 NONE = np.int64(2**62)
 #: Symbols from here on stand for characters outside the vocabulary.
 OUTSIDE = 2**24
-_IDS, _TEXT = itemgetter(0), itemgetter(1)
 
 
 class PieceCodec:
@@ -69,7 +68,7 @@ class PieceCodec:
             self.cut = re.compile(f"{MARK}*[^{MARK}{solo}]+|{MARK}+" + (f"|[{solo}]" if solo else ""))
             if "\n" in solo:  # put before a part without a mark, it keeps the library's own mark off
                 self.before = self.lib.encode("\n", num_threads=1)
-        self.memo: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.memo: dict[str, bytes] = {}
         self.differences = 0
         self._tables()
 
@@ -174,12 +173,12 @@ class PieceCodec:
             out += [self.ids[piece]] if piece in self.ids else self.outside(piece)
         return out
 
-    def learn(self, parts: list[str]) -> dict[str, tuple[tuple[int, ...], str]]:
-        """Encode parts by the agenda and check each against the library."""
+    def learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Encode parts by the agenda and check each against the library; ids as packed 32-bit numbers."""
         short = [p for p in parts if len(p) <= MEMO_LENGTH]
         found = dict(zip(short, self.merge_many(short), strict=True)) if short else {}
         checks = self.lib.encode([self._probe(p) for p in parts], num_threads=1) if self.cut else ()
-        out, decimal = {}, self.decimal
+        out = {}
         for k, p in enumerate(parts):
             ids = found[p] if p in found else self.merge(p)
             if self.cut:
@@ -189,7 +188,7 @@ class PieceCodec:
                 if ids != right and p != MARK:
                     self.differences += 1
                     ids = right
-            out[p] = (tuple(ids), ",".join([decimal[i] for i in ids]))
+            out[p] = array("i", ids).tobytes()
         return out
 
     def _probe(self, part: str) -> str:
@@ -223,12 +222,11 @@ class PieceCodec:
             old = []
         known.update(fresh)
         for t, x in zip(texts, parts, strict=True):
-            got = list(map(known.__getitem__, x))
-            ids, joined = list(chain.from_iterable(map(_IDS, got))), ",".join(map(_TEXT, got))
+            ids = np.frombuffer(b"".join(map(known.__getitem__, x)), np.int32).tolist()
             if not cut and ids != (lib_ids := self.lib.encode(t, num_threads=1)):
                 self.differences += 1
-                ids, joined = lib_ids, ",".join(map(str, lib_ids))
-            yield ids, joined
+                ids = lib_ids
+            yield ids, ",".join(map(self.decimal.__getitem__, ids))
         for p in old:
             del known[p]
         for p in fresh:
