@@ -255,7 +255,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
         c = codec(model)
         for s in texts:
             texts = [t or "" for t in s]
-            rows = [(ids, len(ids), c.decode(ids) == t) for t, (ids, _) in zip(texts, c.encode_many(texts), strict=True)]
+            rows = [(np.array(ids, np.int32), len(ids), c.decode(ids) == t) for t, (ids, _) in zip(texts, c.encode_many(texts), strict=True)]
             yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decodes_back"])
 
     return docs.withColumn("__encoded", run(F.col(text))).select(*docs.columns, "__encoded.*")
