@@ -36,6 +36,20 @@ def word_count(text: Column) -> Column:
     return F.size(words_of_spaced(spaced(text))).cast("long")
 
 
+#: Whole texts that reach Python in one Arrow batch, at most.
+TEXTS_PER_BATCH = 1024
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches kept small: texts take kilobytes each,
+    and a batch is held several times over (Arrow, Python, results)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key, "10000"))
+    if now <= 0 or now > TEXTS_PER_BATCH:
+        df.sparkSession.conf.set(key, str(TEXTS_PER_BATCH))
+    return df
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, text_batches
 
 #: The classifier is fitted on at most so many labelled documents.
 MAX_ROWS = 20_000
@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id:
             out = pd.DataFrame([text_features(t) for t in b["text"]], columns=list(FEATURES), dtype=np.float64)
             yield pd.concat([b[["lid", "y"]].reset_index(drop=True), out], axis=1)
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    texts = text_batches(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     rows = texts.join(F.broadcast(known), F.col("id") == F.col("lid")).select("lid", "y", "text").mapInPandas(
         run, "lid long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
     rows = rows.orderBy(F.xxhash64("lid"), "lid", *FEATURES).limit(max_rows).select(*FEATURES, "y").toPandas()

@@ -33,7 +33,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, text_batches
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -258,7 +258,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
             rows = [(np.array(ids, np.int32), len(ids), c.decode(ids) == t) for t, (ids, _) in zip(texts, c.encode_many(texts), strict=True)]
             yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decodes_back"])
 
-    return docs.withColumn("__encoded", run(F.col(text))).select(*docs.columns, "__encoded.*")
+    return text_batches(docs).withColumn("__encoded", run(F.col(text))).select(*docs.columns, "__encoded.*")
 
 
 def encoding_digest(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,7 +271,7 @@ def encoding_digest(docs: DataFrame, model: str, doc_id: str = "doc_id", text: s
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield out
 
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    named = text_batches(docs).select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     out = named.mapInPandas(run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import read_table, stored, text_batches
 from .graph import components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id"
             yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "fp": fps})
 
     # doc_id goes through Python as text, so that nulls and large ids stay exact.
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
+    named = text_batches(docs).select(F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
     out = named.mapInPandas(run, "doc_id string, th long, fp long")
     return out.select(F.col("doc_id").cast("long"), "th", "fp")
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import read_table
+from .common import read_table, text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -214,7 +214,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield out
 
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    named = text_batches(docs).select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     out = named.mapInPandas(run, "doc_id string, n_bytes long, n_tokens long, cut_bytes long")
     return out.select(F.col("doc_id").cast("long"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cut_bytes")
 
