@@ -36,6 +36,15 @@ def word_count(text: Column) -> Column:
     return F.size(words_of_spaced(spaced(text))).cast("long")
 
 
+#: A row's identity as plain equality keys (a null id is a value of its own), so that joins
+#: and windows on it share one shuffle.
+ROW_KEY = ["__id", "__no_id", "__text"]
+
+
+def row_key(doc_id: str, text_hash: Column) -> list[Column]:
+    return [F.coalesce(F.col(doc_id), F.lit(0)).alias("__id"), F.col(doc_id).isNull().alias("__no_id"), text_hash.alias("__text")]
+
+
 #: Whole texts that reach Python in one Arrow batch, at most.
 TEXTS_PER_BATCH = 1024
 

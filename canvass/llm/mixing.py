@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, read_table, scratch_path, stored, word_count
+from .common import ROW_KEY, discard, read_table, row_key, scratch_path, stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -188,14 +188,14 @@ def _settle(drawn: DataFrame, max_copies: int) -> DataFrame:
 def take_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES,
              doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` (all columns), each row as many times as the mix takes it."""
-    taken = mix(docs, weights, share, max_copies, doc_id, text, source).groupBy("doc_id", "source", "th").agg(
-        F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0")
-    taken = stored(taken.withColumnsRenamed({"doc_id": "__id", "source": "__source", "th": "__of"}), "taken")
-    rows = docs.withColumn("__th", F.xxhash64(text))
-    # Equal rows share their copies, so one of them carries all.
-    once = F.row_number().over(Window.partitionBy(doc_id, "__th", source).orderBy(F.lit(0)))
-    met = rows.join(taken, rows[doc_id].eqNullSafe(taken["__id"]) & (rows["__th"] == taken["__of"]) & rows[source].eqNullSafe(taken["__source"]))
-    met = met.withColumn("__once", once).filter(F.col("__once") == 1)
+    site = lambda c: [F.coalesce(c, F.lit("")).alias("__site"), c.isNull().alias("__no_site")]
+    key = [*ROW_KEY, "__site", "__no_site"]
+    taken = mix(docs, weights, share, max_copies, doc_id, text, source).select("copies", *row_key("doc_id", F.col("th")), *site(F.col("source")))
+    taken = stored(taken.groupBy(*key).agg(F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0"), "taken")
+    rows = docs.select("*", *row_key(doc_id, F.xxhash64(text)), *site(F.col(source)))
+    # Equal rows share their copies, so one of them carries all; the window needs no other shuffle than the join's.
+    once = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    met = rows.join(taken, key).withColumn("__once", once).filter(F.col("__once") == 1)
     return met.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 

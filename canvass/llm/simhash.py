@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, stored, text_batches
+from .common import ROW_KEY, read_table, row_key, stored, text_batches
 from .graph import components
 
 SHINGLE = 3
@@ -196,13 +196,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     """``docs`` (all columns) with one document of each component: the smallest id, null last."""
     groups = near_duplicate_groups(docs, shingle, max_bits, leaf, doc_id, text)
     first = F.row_number().over(Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "th"))
-    keep = groups.withColumn("r", first).filter("r = 1").select(F.col("doc_id").alias("__keep"), F.col("th").alias("__keep_th"))
-    keep = stored(keep, "keep")
-    rows = docs.withColumn("__th", F.xxhash64(text))
-    stay = rows.join(keep, rows[doc_id].eqNullSafe(keep["__keep"]) & (rows["__th"] == keep["__keep_th"]), "left_semi")
-    # Rows that repeat both id and text are one document.
-    once = F.row_number().over(Window.partitionBy(doc_id, "__th").orderBy(F.lit(0)))
-    return stay.withColumn("__once", once).filter(F.col("__once") == 1).select(*docs.columns)
+    keep = stored(groups.withColumn("r", first).filter("r = 1").select(*row_key("doc_id", F.col("th"))), "keep")
+    rows = docs.select("*", *row_key(doc_id, F.xxhash64(text)))
+    # Rows that repeat both id and text are one document; the window needs no other shuffle than the join's.
+    once = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(F.lit(0)))
+    return rows.join(keep, ROW_KEY, "left_semi").withColumn("__once", once).filter(F.col("__once") == 1).select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
