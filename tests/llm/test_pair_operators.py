@@ -1,0 +1,224 @@
+"""SimHash, passages, neighbours, mixing, components and the pipeline on small tables."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from canvass.llm import mixing as M
+from canvass.llm import neighbours as N
+from canvass.llm import simhash as H
+from canvass.llm import substring_dedup as P
+from canvass.llm.graph import components
+
+from .test_text_operators import clashing, documents
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def plain_fingerprint(text):
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = [x for x in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in w).split(" ") if x]
+    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [" ".join(w)] if w else []
+    hs = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum((2 * sum(h >> b & 1 for h in hs) > len(hs)) << b for b in range(64)) if hs else 0
+
+
+def groups(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 256])
+def test_simhash_equals_brute_force(spark, leaf):
+    rng = random.Random(1)
+    rows = []
+    for i in range(60):
+        base = [rng.choice(WORDS) for _ in range(rng.choice([1, 2, 3, 60, 200]))]
+        for c in range(rng.choice([1, 1, 4, 9])):
+            v = list(base)
+            if c > 1:
+                v[rng.randrange(len(v))] = rng.choice(WORDS)
+            rows.append((10 * i + c, " ".join(v).title() if c % 2 else " ".join(v), "s"))
+    rows += [(700, None, None), (701, "", "s"), (702, "  ", "s"), rows[0], (None, rows[5][1], "s"), (800, "Éx é À", "s")]
+    fps = {(i, t): plain_fingerprint(t) for i, t, _ in rows}
+    nodes = sorted(set(fps.values()))
+    root = groups([(a, b) for a in nodes for b in nodes if a < b and (a ^ b).bit_count() <= 2], nodes)
+    name = {}
+    for (i, _), f in fps.items():
+        if i is not None:
+            name[root[f]] = min(i, name.get(root[f], i))
+    got = H.simhash_near_dedup(clashing(documents(spark, rows)), leaf=leaf).collect()
+    want = [(i, f"{fps[i, t]:016x}", name[root[fps[i, t]]]) for i, t, _ in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_simhash_empty_table_and_one_document_of_each_group(spark):
+    docs = documents(spark, [(5, "a b c d", "s"), (3, "a b c d", "t"), (3, "a b c d", "t"), (None, "a b c d", "t"), (9, "other words stay here", "s"), (None, None, None)])
+    assert H.simhash_near_dedup(docs.limit(0)).count() == 0
+    kept = H.drop_near_duplicates(clashing(docs)).collect()
+    assert sorted((r.doc_id or -1) for r in kept) == [-1, 3, 9]
+    assert H.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + k) for k in range(1, 400)] + [(5000, 5001), (5001, 5000), (6, 6)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert all(got[i] == 0 for i in range(301)) and all(got[1000 + k] == 1000 for k in range(400)) and got[5001] == 5000
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_passages_are_found_and_clean_documents_left_alone(spark):
+    rng = random.Random(4)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    exact, fuzzy, short = fresh(60), fresh(120), fresh(30)
+    changed = list(fuzzy)
+    for k in range(7, 120, 15):
+        changed[k] = "edit"
+    del changed[50]
+    changed[80:80] = ["two", "more"]
+    rows = [(i, " ".join(fresh(40) + exact + fresh(rng.randrange(80))), "s") for i in range(40)]
+    rows += [(100, " ".join(fresh(30) + fuzzy + fresh(10)), "s"), (101, " ".join(fresh(5) + changed), "s")]
+    rows += [(200 + i, " ".join(fresh(50) + short), "s") for i in range(5)] + [(300 + i, " ".join(fresh(300)), "s") for i in range(5)]
+    rows += [(400, " ".join(exact).upper(), "s"), (401, None, None), (402, "", "s"), (403, "be " * 40, "s"), (404, "be " * 40, "s"), rows[-1], (None, " ".join(exact), "s")]
+    out = P.repeated_passages(clashing(documents(spark, rows)))
+    got = [tuple(r) for r in out.collect()]
+    assert {r[0] for r in got} == {*range(40), 100, 101, 400}
+    assert {(r[3], r[0]) for r in got} == {(r[0], r[3]) for r in got}
+    text = {i: (t or "").lower().split() for i, t, _ in rows if i is not None}
+    for a, s, n, b, s2, n2, same in got:
+        assert n >= 50 and n2 >= 50 and same >= 0.8 * max(n, n2)
+        if {a, b} != {100, 101}:
+            assert text[a][s : s + n] == text[b][s2 : s2 + n2] == [x.lower() for x in exact]
+    assert any({r[0], r[3]} == {100, 101} and r[2] >= 110 for r in got)
+    assert P.repeated_passages(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_every_exact_passage_of_real_documents_is_covered(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    first, repeated = {}, set()
+    for r in docs.orderBy("doc_id").collect():
+        w = r.text.lower().split()
+        for k in range(len(w) - 49):
+            other = first.setdefault(tuple(w[k : k + 50]), r.doc_id)
+            if other != r.doc_id:
+                repeated |= {other, r.doc_id}
+    got = {r.doc_id for r in P.repeated_passages(docs).select("doc_id").collect()}
+    assert repeated and repeated <= got
+
+
+def vectors(seed, n, dim=16):
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim)).astype(np.float32)
+    x[n // 2 : n // 2 + 60] = x[0]                      # one vector many times: ties
+    x[n // 2 + 60 : n // 2 + 90] = x[1] + 0.01 * x[n // 2 + 60 : n // 2 + 90]
+    return [(i, v.tolist()) for i, v in enumerate(x)]
+
+
+def brute(rows, k):
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float32).astype(np.float64)
+    out = {}
+    for n in np.nonzero(ids % 20 == 0)[0]:
+        s, m = N.inner(x, x[n]), ids != ids[n]
+        out[int(ids[n])] = [(int(i), float(v)) for i, v in sorted(zip(ids[m], s[m], strict=True), key=lambda p: (-p[1], p[0]))[:k]]
+    return out
+
+
+def test_neighbours_recall_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 256)  # several cells and blocks
+    rows = vectors(1, 3000)
+    df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = {}
+    for r in N.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    want = brute(rows, 20)
+    assert got.keys() == want.keys()
+    hits = sum(len({i for i, _ in got[q].values()} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * 20 * len(want)
+    assert [got[0][r][0] for r in range(1, 21)] == [i for i, _ in want[0]]  # exact ties go to the smaller id
+    assert all([got[q][r + 1] for r in range(20)] == sorted(got[q].values(), key=lambda p: (-p[1], p[0])) for q in got)
+
+
+def test_neighbours_leave_out_what_has_no_direction(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [1.0, float("nan")]),
+            (7, [float("inf"), 1.0]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1, [2.0, 1.0]), (20, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, N.nearest(df, F.col("vec_id") % 20 == 0).collect()))
+    assert got == [(0, 1, 1, 2.0), (0, 2, 20, -1.0), (20, 1, 0, -1.0), (20, 2, 1, -2.0)]
+    assert N.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def plain_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, capped = share * sum(sizes.values()), set()
+    while True:
+        free = [s for s in names if s not in capped]
+        if not free:
+            return {s: most * sizes[s] for s in names}
+        level = (total - sum(most * sizes[s] for s in capped)) / sum(w[s] for s in free)
+        over = {s for s in free if w[s] * level > most * sizes[s]}
+        if not over:
+            return {s: most * sizes[s] if s in capped else w[s] * level for s in names}
+        capped |= over
+
+
+def test_mixing_meets_its_targets(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40, 400, 3000])), rng.choice(["a"] * 8 + ["b", "c", "d", "e", None])) for i in range(900)]
+    rows += [(1, rows[1][1], rows[1][2])] * 3 + [(2000, None, "z")]
+    docs = clashing(documents(spark, rows))
+    got = M.mix(docs).toPandas()
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    want = plain_targets(sizes)
+    assert len(got) == len(rows) and (got.taken <= 2 * got["size"]).all() and (got.taken % got["size"].clip(lower=1) == 0).all()
+    for s, t in want.items():
+        of = got[got.source.isna()] if s is None else got[got.source == s]
+        assert abs(of.target.iloc[0] - t) <= 1e-6 * max(t, 1) and abs(of.taken.sum() - t) <= max(2, 0.01 * t)
+    again = M.mix(docs.repartition(7)).toPandas()
+    key = ["doc_id", "size", "taken"]
+    assert got[key].sort_values(key).values.tolist() == again[key].sort_values(key).values.tolist()
+    taken = M.take_mix(docs)
+    assert taken.columns == docs.columns and taken.agg(F.sum(F.size(F.filter(F.split("text", " "), lambda w: w != "")))).first()[0] == got.taken.sum()
+
+
+def test_mixing_odd_tables(spark):
+    empty = documents(spark, [(1, None, None), (2, "", "a")])
+    assert [(r.size, r.taken) for r in M.mix(empty).collect()] == [(0, 0), (0, 0)]
+    assert M.mix(empty.limit(0)).count() == 0 and M.take_mix(empty.limit(0)).count() == 0
+    one = M.mix(documents(spark, [(1, "a b c", None)])).collect()
+    assert one[0].target == 4.5 and one[0].taken in (3, 6)
+
+
+def test_pipeline_stages(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.stored(stage(spark, docs, sf), name)
+        assert docs.columns[:5] == before.columns[:5]
+        counts.append(docs.count())
+        if name == "quality_classifier":
+            kept = {r.doc_id for r in docs.collect()}
+            assert all((i in kept) == bool(q) for i, q in labels.items())
+        if name == "simhash_near_dedup":
+            assert H.simhash_near_dedup(docs).groupBy("component_id").count().filter("count > 1").count() == 0
+    assert docs.filter("decodes_back").count() == counts[-1] == counts[-2]
+    assert corpus_pipeline.STAGES[0][1](spark, before.limit(0), sf).count() == 0
