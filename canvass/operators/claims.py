@@ -84,7 +84,10 @@ def _money_scale(details: DataFrame) -> int:
     scales = {details.schema[a].dataType.scale for a in AMOUNTS if isinstance(details.schema[a].dataType, DecimalType)}
     if len(scales) != 1 or len([a for a in AMOUNTS if isinstance(details.schema[a].dataType, DecimalType)]) != 3:
         raise TypeError("claim amounts must be decimals of one scale")
-    return scales.pop()
+    scale = scales.pop()
+    if scale > 2:  # the rollups carry two decimals; a finer amount would be rounded
+        raise TypeError(f"claim amounts of scale {scale}: the rollups hold two decimals")
+    return scale
 
 
 def _to_minor(amount: Column, scale: int) -> Column:

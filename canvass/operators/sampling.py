@@ -51,10 +51,11 @@ def identity_hash(key: str, tiebreak: tuple[str, ...], seed: int) -> Column:
 def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
                   tiebreak: tuple[str, ...] = ("pp_petname", "pp_pet_sex", "pp_date_of_birth"),
                   rank_limit: int = 250_000) -> DataFrame:
-    """The ``n`` rows first in ``(md5(key|seed), md5(identity|seed))`` order.
+    """The ``n`` rows first in ``md5(identity|seed)`` order: rows are drawn one by one,
+    so several pets of a policy are taken independently.
 
     The result has exactly ``min(n, rows)`` rows and does not depend on
-    partitioning.  Rows that tie on both hashes have the same identity; among
+    partitioning.  Rows that tie on the hash have the same identity; among
     them the order falls to the remaining columns (ascending, NULLs first),
     ranked without a single-task merge even when they are very many.
     """
@@ -62,9 +63,9 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
         return df.limit(0)
     cols = df.columns
     present = tuple(c for c in tiebreak if c in cols)
-    scored = df.withColumn(HASH, F.concat(sample_hash(key, seed), identity_hash(key, present, seed)))
+    scored = df.withColumn(HASH, identity_hash(key, present, seed))
     order = [F.col(HASH).asc()] + [F.col(c).asc() for c in cols]
-    full = 64
+    full = 32
 
     taken: list[DataFrame] = []
     scratch: str | None = None
@@ -103,7 +104,7 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
             taken.append(pool.orderBy(*order).limit(need))
             break
         if len(prefix) >= full:
-            # Still large with both hashes used up: copies of one identity.
+            # Still large with the hash used up: copies of one identity.
             # Rank them with the split-safe row number (range partitions on
             # the full order) instead of a single top-n merge.
             ranked = row_number_per_key(pool.withColumn("_bucket", F.lit(0)), ["_bucket"], [HASH, *cols],

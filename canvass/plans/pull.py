@@ -99,7 +99,7 @@ class SurveyPull:
             for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
                       pool.submit(lambda: self.referrals), pool.submit(lambda: self.nps_scrubber)]:
                 f.result()
-        for stage in ("nps_f1_full", "nps_f2", "nps_f2a", "nps_f3", "nps_f4"):
+        for stage in ("nps_f1_full", "nps_f1a", "nps_f2", "nps_f2a", "nps_f3", "nps_f4", "nps_f4a"):
             getattr(self, stage)
         return self
 
@@ -171,7 +171,7 @@ class SurveyPull:
 
     @cached_property
     def nps_f1a(self) -> DataFrame:
-        return first_policy_per_holder(self.nps_f1_full)
+        return self._materialise(first_policy_per_holder(self.nps_f1_full), "nps_f1a")
 
     # -- suppression and sampling ------------------------------------------------
     @cached_property
@@ -217,7 +217,7 @@ class SurveyPull:
 
     @cached_property
     def nps_f4a(self) -> DataFrame:
-        return random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1)
+        return self._materialise(random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a")
 
     # -- funnel ------------------------------------------------------------------
     def funnel(self) -> DataFrame:

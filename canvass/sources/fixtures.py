@@ -37,12 +37,16 @@ LAND_WAVES = [
 
 
 def _code(prefix: str, n: Column) -> Column:
-    """prefix || lpad(n, 7, '0') — insured codes and policy-number stems."""
-    return F.concat(F.lit(prefix), F.lpad(n.cast("string"), 7, "0"))
+    """prefix || n padded to seven digits, longer numbers whole — insured codes and policy-number stems."""
+    return F.concat(F.lit(prefix), _padded(n.cast("string")))
+
+
+def _padded(digits: Column) -> Column:
+    return F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), F.lit("0"))
 
 
 def _hh_of_code(code: Column) -> Column:
-    return F.substring(code, 2, 7).cast("int")
+    return F.substr(code, F.lit(2)).cast("long")
 
 
 class FixtureWarehouse(Warehouse):
@@ -160,7 +164,7 @@ class FixtureWarehouse(Warehouse):
             F.lit(None).cast("string").alias("insured_address2"),
             F.concat(F.lit("City"), F.col("c_nationkey").cast("string")).alias("insured_city"),
             F.col("n_name").alias("insured_state"),
-            F.concat(F.lit("555-"), F.lpad(hs, 7, "0")).alias("insured_hometel"),
+            F.concat(F.lit("555-"), _padded(hs)).alias("insured_hometel"),
             F.lit(None).cast("string").alias("insured_bustel"),
             (hh % 4 + 1).cast("int").alias("policy_inforce_cnt"),
             F.when(hh % 3 == 1, F.lit("Y")).otherwise(F.lit("N")).alias("portal_user_flag"),

@@ -49,6 +49,6 @@ def export_sample(df: DataFrame, path: str, *, single_file: bool = False, sep: s
     The write is distributed; ``single_file=True`` first merges to one
     partition, which only suits a sample of bounded size (it is n rows).
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return os.path.abspath(path) if "://" not in path else path

@@ -230,19 +230,24 @@ def _population(spark, n):
     return spark.range(n).select(F.col("id").alias("policyid"), (F.col("id") % 7).cast("string").alias("pp_petname"))
 
 
+def _row_hash(pop, seed):
+    names = [c for c in ("policyid", "pp_petname", "pp_pet_sex", "pp_date_of_birth") if c in pop.columns]
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in names], F.lit(str(seed))))
+
+
 def test_sample_exact_size_and_deterministic(spark):
     pop = _population(spark, 5000)
     a = rows(random_sample(pop, 300, 42), "policyid")
     b = rows(random_sample(pop.repartition(13), 300, 42), "policyid")
     assert len(a) == 300 and a == b
-    expected = rows(pop.orderBy(F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|42")))).limit(300), "policyid")
+    expected = rows(pop.orderBy(_row_hash(pop, 42)).limit(300), "policyid")
     assert a == expected
     assert rows(random_sample(pop, 300, 7), "policyid") != a
 
 
 def test_sample_refines_large_buckets(spark):
     pop = _population(spark, 20000)
-    expected = rows(pop.orderBy(F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|5")))).limit(777), "policyid")
+    expected = rows(pop.orderBy(_row_hash(pop, 5)).limit(777), "policyid")
     assert rows(random_sample(pop, 777, 5, rank_limit=3), "policyid") == expected
 
 
@@ -297,20 +302,30 @@ def test_sample_splits_a_key_holding_a_third_of_the_rows(spark):
     pop = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("policyid"),
         F.col("id").cast("string").alias("pp_petname"))
-    h1 = F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|42")))
     h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
     for n in (100, 1500, 2500):
-        expected = rows(pop.orderBy(h1, h2).limit(n), "policyid", "pp_petname")
+        expected = rows(pop.orderBy(h2).limit(n), "policyid", "pp_petname")
         got = rows(random_sample(pop, n, 42, rank_limit=50), "policyid", "pp_petname")
         assert got == expected
 
 
+def test_sample_draws_rows_not_whole_policies(spark):
+    pop = spark.range(10_000).select((F.col("id") / 10).cast("long").alias("policyid"), F.col("id").cast("string").alias("pp_petname"))
+    assert random_sample(pop, 100, 42).select("policyid").distinct().count() > 85
+
+
+def test_household_codes_keep_every_digit(spark):
+    from canvass.sources.fixtures import _code, _hh_of_code
+    n = [5, 1234567, 12345678, 123456789, 12345678901]
+    got = spark.createDataFrame([(x,) for x in n], "n long").select(_code("C", F.col("n")).alias("c")).select("c", _hh_of_code(F.col("c")).alias("n"))
+    assert sorted(r.n for r in got.collect()) == n and got.select("c").distinct().count() == len(n)
+
+
 def test_sample_with_null_keys(spark):
     pop = spark.range(300).select(F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id")).alias("policyid"),
                                   F.col("id").cast("string").alias("pp_petname"))
-    h1 = F.md5(F.concat(F.coalesce(F.col("policyid").cast("string"), F.lit("")), F.lit("|42")))
     h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
-    expected = rows(pop.orderBy(h1, h2).limit(120), "policyid", "pp_petname")
+    expected = rows(pop.orderBy(h2).limit(120), "policyid", "pp_petname")
     assert rows(random_sample(pop, 120, 42, rank_limit=5), "policyid", "pp_petname") == expected
 
 
@@ -320,12 +335,11 @@ def test_sample_many_copies_of_one_identity(spark):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("policyid"),
         F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("pp_petname"),
         (F.col("id") % 17).alias("v"))
-    h1 = F.md5(F.concat(F.col("policyid").cast("string"), F.lit("|42")))
     h2 = F.md5(F.concat_ws("|", F.col("policyid").cast("string"), F.col("pp_petname"), F.lit("42")))
-    key = F.concat(h1, h2)
+    key = h2
     copies = pop.filter(F.col("policyid") == 7).select(key.alias("k")).first()["k"]
     before = pop.filter(key < F.lit(copies)).count()
     for n in (50, before + 500):        # the second cut falls inside the copies
-        expected = rows(pop.orderBy(h1, h2, "policyid", "pp_petname", "v").limit(n), "policyid", "pp_petname", "v")
+        expected = rows(pop.orderBy(h2, "policyid", "pp_petname", "v").limit(n), "policyid", "pp_petname", "v")
         got = rows(random_sample(pop, n, 42, rank_limit=40), "policyid", "pp_petname", "v")
         assert got == expected

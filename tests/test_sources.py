@@ -8,7 +8,6 @@ import tempfile
 from canvass.sources.fixtures import FixtureWarehouse
 from canvass.sources.lists import INSURED_LIST, export_sample, read_list
 from canvass.sources.warehouse import DOMAIN_TABLES, Warehouse, read_jdbc
-from canvass.streaming import start_suppression_feed
 from tests.conftest import SF_SMALL, rows
 
 
@@ -58,32 +57,6 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
         read_jdbc(spark, "jdbc:none://x", "t", partition_column="id")
 
 
-def test_suppression_feed_appends_each_file_once(spark):
-    base = tempfile.mkdtemp(prefix="feed-", dir="/tmp")
-    landing, table, ckpt = f"{base}/in", f"{base}/table", f"{base}/ckpt"
-    os.makedirs(landing)
-    _write(f"{landing}/A1.csv", "insured_code\nC1 \nC2\n")
-    q = start_suppression_feed(spark, landing, table, checkpoint=ckpt)
-    q.awaitTermination()
-    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "A1"), ("C2", "A1")]
-    _write(f"{landing}/H.csv", "insured_code\nC3\n")
-    q = start_suppression_feed(spark, landing, table, checkpoint=ckpt)
-    q.awaitTermination()
-    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "A1"), ("C2", "A1"), ("C3", "H")]
-
-
-def test_suppression_feed_resolves_emails(spark):
-    base = tempfile.mkdtemp(prefix="feed-", dir="/tmp")
-    landing, table = f"{base}/in", f"{base}/table"
-    os.makedirs(landing)
-    _write(f"{landing}/H.csv", "email\nA@X.COM\nnobody@y\n")
-    insured = spark.createDataFrame([("C1", "a@x.com"), ("C2", "A@x.Com"), ("C3", "b@x.com")],
-                                    "insured_code string, insured_email string")
-    q = start_suppression_feed(spark, landing, table, kind="email", insured=insured, checkpoint=f"{base}/ckpt")
-    q.awaitTermination()
-    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "H"), ("C2", "H")]
-
-
 def test_command_line_run_writes_stages_files_and_reports(spark):
     from canvass.__main__ import main, run
     from canvass.config import FIXTURE_CONFIG
@@ -101,17 +74,6 @@ def test_command_line_run_writes_stages_files_and_reports(spark):
         main(["--out", base])
 
 
-def test_suppression_feed_resolves_policy_numbers(spark):
-    base = tempfile.mkdtemp(prefix="feed-", dir="/tmp")
-    landing, table = f"{base}/in", f"{base}/table"
-    os.makedirs(landing)
-    _write(f"{landing}/G1.csv", "policy_no\n P1 \nP1\nP9\n")
-    header = spark.createDataFrame([("P1", "C1"), ("P1", "C1"), ("P2", "C2")], "policy_no string, insured_code string")
-    q = start_suppression_feed(spark, landing, table, kind="policy", header=header, checkpoint=f"{base}/ckpt")
-    q.awaitTermination()
-    assert rows(spark.read.parquet(table), "insured_code", "source") == [("C1", "G1")]
-
-
 def test_command_line_main(spark, capsys):
     import json
 
