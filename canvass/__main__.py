@@ -40,7 +40,7 @@ def report_frames(p: SurveyPull) -> dict:
         "state": R.state_report(f3),
         "top_states_pif": R.top_states_paid_in_full(f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"),
                                                     p.dim("dw_dim_payment_type"),
-                                                    max_broadcast_rows=p.config.broadcast_max_rows),
+                                                    max_broadcast_bytes=p.config.broadcast_max_bytes),
         "band_med_submitted": R.amount_band_report(f1a, "medicalclaimamount", "submitted_group", "medicalclaimcount"),
         "band_med_eligible": R.amount_band_report(f1a, "medicaleligibleamount", "eligible_group", "medicalclaimcount"),
         "band_med_paid": R.amount_band_report(f3, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount"),

@@ -21,9 +21,9 @@ class Config:
     n_main: int = 80_000
     n_new: int = 60_000
     seed: int = 42
-    # Dimension tables with at most this many rows are broadcast; larger
+    # Tables of at most this many bytes (as stored) are broadcast; larger
     # ones are joined by shuffle (see operators.joins.dimension).
-    broadcast_max_rows: int = 500_000
+    broadcast_max_bytes: int = 64 << 20
     # A key (policyholder) with more rows than this is split over several
     # tasks when its per-key aggregate is joined back (operators.skew).
     hot_key_rows: int = 1_000_000
@@ -36,8 +36,8 @@ class Config:
     def __post_init__(self) -> None:
         if self.n_main < 0 or self.n_new < 0:
             raise ValueError("sample sizes must be non-negative")
-        if self.broadcast_max_rows < 0 or self.hot_key_rows < 1:
-            raise ValueError("broadcast_max_rows must be >= 0 and hot_key_rows >= 1")
+        if self.broadcast_max_bytes < 0 or self.hot_key_rows < 1:
+            raise ValueError("broadcast_max_bytes must be >= 0 and hot_key_rows >= 1")
         if self.materialize not in ("table", "checkpoint", "persist", "none"):
             raise ValueError(f"unknown materialize mode {self.materialize!r}")
 

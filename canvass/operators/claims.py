@@ -2,11 +2,11 @@
 
 The source runs the same six-table claim join twice, once per coverage
 class.  Here one pass tags each diagnosis as wellness or medical and both
-rollups come out of it.  Amounts are summed at the finest grain first
-(per diagnosis, then per claim) so every later shuffle carries one row per
-claim rather than one per detail line, and every aggregate is partial
-(map-side) so a policy with a huge number of claims is pre-combined before
-it is shuffled.
+rollups come out of it.  Diagnoses of unknown coverage and of reopened
+revisions drop out before the details are joined; amounts are then summed
+per claim, so every later shuffle carries one row per claim rather than one
+per detail line.  Every aggregate is partial (map-side), so a policy with a
+huge number of claims is pre-combined before it is shuffled.
 """
 
 from __future__ import annotations
@@ -43,14 +43,14 @@ def claim_rollups(header: DataFrame, claim_header: DataFrame, revision: DataFram
     cov = (coverage.filter(F.col("coverage_product_type").isNotNull())
            .select(F.col("coverage_id").alias("claim_coverage_id"),
                    (F.col("coverage_product_type") == WELLNESS_COVERAGE).alias("is_well")))
-    per_diagnosis = details.groupBy("claim_diagnosis_id").agg(
-        *[F.sum(_to_minor(F.col(a), scale)).alias(a) for a in AMOUNTS])
-    diag = (diagnosis.select("claim_id", "claim_revision_no", "claim_diagnosis_id", "claim_coverage_id")
-            .join(cov, "claim_coverage_id")
-            .join(per_diagnosis, "claim_diagnosis_id"))
     live = (revision.filter(F.col("claim_revision_status") != REOPENED_STATUS)
             .select("claim_id", "claim_revision_no"))
-    lines = diag.join(live, ["claim_id", "claim_revision_no"])
+    kept = (diagnosis.select("claim_id", "claim_revision_no", "claim_diagnosis_id", "claim_coverage_id")
+            .join(cov, "claim_coverage_id")
+            .join(live, ["claim_id", "claim_revision_no"])
+            .select("claim_diagnosis_id", "claim_id", "is_well"))
+    lines = details.select("claim_diagnosis_id", *[_to_minor(F.col(a), scale).alias(a) for a in AMOUNTS]).join(
+        kept, "claim_diagnosis_id")
 
     def split(a: str) -> list:
         return [F.sum(F.when(F.col("is_well"), F.col(a))).alias(f"w_{a}"),

@@ -31,15 +31,49 @@ def _zero(c: str, typ: str) -> F.Column:
     return F.coalesce(F.col(c), F.lit(0).cast(typ))
 
 
+def household_stats(profile: DataFrame, group: DataFrame, referrals: DataFrame | None = None) -> DataFrame:
+    """The household columns, one narrow row per policyholder.
+
+    ``total_pets`` counts profile rows with a policy number.  Min and max
+    term, the first policy number and the species counts follow; the counts
+    weigh each row by the number of group rows that its group code matches.
+    With ``referrals`` (D6's ``vi_insured, policy_referred_count``) the
+    referral count rides along.  ``_rows`` is the household's profile rows.
+    """
+    group_mult = group.groupBy("group_code").agg(F.count(F.lit(1)).alias("_mult"))
+    species = F.col("speciescode")
+    mult = F.coalesce(F.col("_mult"), F.lit(1))
+
+    def weighted(cond) -> F.Column:
+        return F.sum(F.when(cond, mult).otherwise(F.lit(0))).cast("bigint")
+
+    stats = (profile.select("insured_code", "policy_no", "policy_renew_no", "speciescode", "group_code")
+             .join(group_mult, "group_code", "left")
+             .groupBy("insured_code")
+             .agg(F.count("policy_no").alias("total_pets"),
+                  F.min("policy_renew_no").alias("min_term"),
+                  F.max("policy_renew_no").alias("max_term"),
+                  weighted(species == SPECIES_DOG).alias("dogs"),
+                  weighted(species == SPECIES_CAT).alias("cats"),
+                  weighted(species == SPECIES_AVIAN).alias("avian"),
+                  weighted(species.isin(*SPECIES_EXOTIC)).alias("exoticothers"),
+                  F.min("policy_no").alias(MIN_POLICY),
+                  F.count(F.lit(1)).alias("_rows")))
+    if referrals is not None:
+        r = referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count")
+        stats = stats.join(r, "insured_code", "left")
+    return stats
+
+
 def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame, group: DataFrame,
-                      referrals: DataFrame | None = None, hot_key_rows: int = 1_000_000,
-                      max_salts: int = 65_536) -> DataFrame:
+                      stats: DataFrame | None = None, hot_key_rows: int = 1_000_000) -> DataFrame:
     """AH_INFORCE_NPS plus the hidden column ``_min_policy_no``.
 
-    With ``referrals`` (D6's ``vi_insured, policy_referred_count``) the
-    result is NPS_F1: the referral count is per policyholder, so it is joined
-    to the narrow per-household aggregate and rides along with it, instead of
-    a second join of the wide rows.
+    ``stats`` is :func:`household_stats` of the same profile and groups, best
+    a stored copy, as the salted join reads it more than once (default: built
+    here).  With the referral count in it the result is NPS_F1: the count is
+    per policyholder and comes with the narrow row, without a second join of
+    the wide ones.
 
     * claim counts and amounts by ``policy_no``, zero when there are none;
     * income of the 5-digit zip code (``substr(trim(zip), 1, 5)``);
@@ -75,34 +109,11 @@ def household_profile(profile: DataFrame, rollups: DataFrame, zipcode: DataFrame
         "incomeperhousehold",
     )
 
-    group_mult = group.groupBy("group_code").agg(F.count(F.lit(1)).alias("_mult"))
-    species = F.col("speciescode")
-    mult = F.coalesce(F.col("_mult"), F.lit(1))
-
-    def weighted(cond) -> F.Column:
-        return F.sum(F.when(cond, mult).otherwise(F.lit(0))).cast("bigint")
-
-    # The household aggregate needs only profile columns: it reads the profile
-    # directly, not the profile joined to claims and zip codes.
-    stats = (profile.select("insured_code", "policy_no", "policy_renew_no", "speciescode", "group_code")
-             .join(group_mult, "group_code", "left")
-             .groupBy("insured_code")
-             .agg(F.count("policy_no").alias("total_pets"),
-                  F.min("policy_renew_no").alias("min_term"),
-                  F.max("policy_renew_no").alias("max_term"),
-                  weighted(species == SPECIES_DOG).alias("dogs"),
-                  weighted(species == SPECIES_CAT).alias("cats"),
-                  weighted(species == SPECIES_AVIAN).alias("avian"),
-                  weighted(species.isin(*SPECIES_EXOTIC)).alias("exoticothers"),
-                  F.min("policy_no").alias(MIN_POLICY),
-                  F.count(F.lit(1)).alias("_rows")))
-    extra = []
-    if referrals is not None:
-        r = referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count")
-        stats = stats.join(r, "insured_code", "left")
-        extra = ["policy_referred_count"]
+    if stats is None:
+        stats = household_stats(profile, group)
+    extra = ["policy_referred_count"] if "policy_referred_count" in stats.columns else []
     g = group.select("group_code", "group_name")
     joined = join_per_key(t, stats, "insured_code", rows_per_key="_rows", hot_rows=hot_key_rows,
-                          max_salts=max_salts, salt_by=["policyid", "policy_no", "pp_petname"])
+                          salt_by=PROFILE_COLUMNS)
     return (joined.join(g, "group_code", "left")
             .select(*NPS_COLUMNS, *extra, MIN_POLICY))

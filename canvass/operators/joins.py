@@ -1,47 +1,31 @@
-"""Join helpers: size-checked broadcast of small tables."""
+"""Join helpers: broadcast of small tables behind a check of their size in bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A table read from more files than this is not treated as small, without
-# running anything: a size check reads up to the row bound from every input
-# partition, which only stays cheap for tables of few files.
-MAX_FILES_FOR_CHECK = 64
 
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``'s rows, from metadata alone: no job runs.
 
-def rows_at_most(frames: dict[str, DataFrame], max_rows: int, max_files: int = MAX_FILES_FOR_CHECK) -> dict[str, bool]:
-    """For each table, whether it has at most ``max_rows`` rows, in one Spark job.
-
-    A table spread over more than ``max_files`` input files counts as large
-    at once (metadata only).  The others are counted with
-    ``limit(max_rows + 1)``, which stops each partition once the bound is
-    passed and decodes no columns.
+    For a stored table this is the bytes of its files, scaled to the columns
+    read; a filter keeps its input's size, a union adds its inputs, and a join
+    multiplies them, so an unstored join counts as large.
     """
-    result = {name: False for name, df in frames.items() if len(df.inputFiles()) > max_files}
-    todo = {name: df for name, df in frames.items() if name not in result}
-    if todo:
-        parts = [df.select(F.lit(name).alias("_table")).limit(max_rows + 1) for name, df in todo.items()]
-        union = parts[0]
-        for part in parts[1:]:
-            union = union.unionByName(part)
-        counts = {r["_table"]: r["n"] for r in union.groupBy("_table").agg(F.count(F.lit(1)).alias("n")).collect()}
-        result.update({name: counts.get(name, 0) <= max_rows for name in todo})
-    return result
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (see :func:`rows_at_most`)."""
-    return rows_at_most({"t": df}, max_rows)["t"]
+def bytes_at_most(df: DataFrame, max_bytes: int) -> bool:
+    return size_in_bytes(df) <= max_bytes
 
 
-def dimension(df: DataFrame, max_rows: int) -> DataFrame:
+def dimension(df: DataFrame, max_bytes: int) -> DataFrame:
     """Broadcast a small table only behind a checked size bound.
 
-    A table of at most ``max_rows`` rows (checked by :func:`rows_at_most`)
-    is hinted for a broadcast hash join: no shuffle of the large side.  A
-    larger one is returned unhinted, so the planner picks a shuffle join,
-    which AQE may still turn into a broadcast from the real shuffle size.
+    A table of at most ``max_bytes`` (:func:`size_in_bytes`) is hinted for a
+    broadcast hash join: no shuffle of the large side.  A larger one is
+    returned unhinted, so the planner picks a shuffle join, which AQE may
+    still turn into a broadcast from the real shuffle size.
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if bytes_at_most(df, max_bytes) else df

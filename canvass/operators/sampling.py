@@ -117,23 +117,23 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str = "policyid",
     return out.select(*cols)
 
 
-def new_policy_pool(f2a: DataFrame, exclude: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def new_policy_pool(f2a: DataFrame, exclude: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """NPS_F4: single-pet holders on term 0 or 1 with a new-business product,
     minus the rows already drawn (set difference: distinct, NULL-safe).
 
-    The drawn sample has at most n rows; with ``max_broadcast_rows`` it is
+    The drawn sample has at most n rows; with ``max_broadcast_bytes`` it is
     broadcast behind a size check, so the pool is not shuffled for the
     anti join (only once, for the distinct).
     """
     pool = f2a.filter((F.col("total_pets") == 1) & F.col("policy_renew_no").isin(0, 1)
                       & new_policy_product("baseproduct"))
     drawn = exclude.select(*f2a.columns)
-    if max_broadcast_rows is None:
+    if max_broadcast_bytes is None:
         return pool.subtract(drawn)
     # EXCEPT DISTINCT written out (Catalyst's own rewrite: a null-safe anti
     # join plus distinct) so the broadcast hint lands on the join; Catalyst
     # drops hints under a set operation before rewriting it.
-    drawn = dimension(drawn, max_broadcast_rows)
+    drawn = dimension(drawn, max_broadcast_bytes)
     same = reduce(lambda a, b: a & b, [pool[c].eqNullSafe(drawn[c]) for c in f2a.columns])
     return pool.join(drawn, same, "left_anti").distinct()
 

@@ -16,29 +16,37 @@ from pyspark.sql import functions as F
 
 SALT = "_salt"
 _SALTS = "_salts"
+#: Fewer keys than this are ever hot, whatever the input's size, so the hot-key table can be broadcast.
+MAX_HOT_KEYS = 10_000
+
+
+def hot_limit(total_rows: int, hot_rows: int) -> int:
+    """Rows above which a key is hot: ``hot_rows``, or a ten-thousandth of all
+    rows if that is more, so fewer than :data:`MAX_HOT_KEYS` keys can be hot."""
+    return max(hot_rows, -(-total_rows // MAX_HOT_KEYS))
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, *, rows_per_key: str, hot_rows: int,
-                 max_salts: int, salt_by: list[str], how: str = "left") -> DataFrame:
+                 salt_by: list[str], how: str = "left") -> DataFrame:
     """Join ``per_key`` (one row per key) onto ``rows``, splitting hot keys.
 
     ``per_key[rows_per_key]`` is the number of ``rows`` with that key.  A key
-    with more than ``hot_rows`` rows is hot: its rows get a salt
-    ``pmod(xxhash64(salt_by), n)`` with ``n = min(ceil(count / hot_rows),
-    max_salts)``, and its ``per_key`` row is repeated once per salt, so the
-    join on ``(key, salt)`` spreads it over ``n`` tasks of about
-    ``hot_rows`` rows each.  Other keys join unchanged (salt 0).  The
-    hot-key table is broadcast: every hot key has more than ``hot_rows``
-    rows, so there are fewer than ``total_rows / hot_rows`` of them, and the
-    repeated ``per_key`` rows number at most about ``total_rows / hot_rows``
-    too: both bounds hold by construction.
-    The result equals the plain join on ``key``, which is what runs when
-    no key is hot (checked first, in one small job).
+    with more rows than :func:`hot_limit` is hot: its rows get a salt
+    ``pmod(xxhash64(salt_by), n)`` with ``n = ceil(count / limit)``, and its
+    ``per_key`` row is repeated once per salt, so the join on ``(key, salt)``
+    spreads it over ``n`` tasks of about ``limit`` rows each (``salt_by``
+    should tell the key's rows apart).  Other keys join unchanged (salt 0).
+    The hot-key table is broadcast: it holds fewer than :data:`MAX_HOT_KEYS`
+    rows at every size, and the repeated ``per_key`` rows fewer than twice that.
+    ``per_key`` is read more than once: pass a stored copy.  The result
+    equals the plain join on ``key``, which is what runs when no key is hot.
     """
-    hot_keys = per_key.filter(F.col(rows_per_key) > hot_rows)
-    if hot_keys.limit(1).count() == 0:                 # the usual case: a plain join
+    sums = per_key.agg(F.sum(rows_per_key).alias("t"), F.max(rows_per_key).alias("m")).first()
+    limit = hot_limit(sums["t"] or 0, hot_rows)
+    if (sums["m"] or 0) <= limit:                      # the usual case: a plain join
         return rows.join(per_key, key, how)
-    n = F.least(F.ceil(F.col(rows_per_key) / F.lit(hot_rows)), F.lit(max_salts)).cast("int")
+    hot_keys = per_key.filter(F.col(rows_per_key) > limit)
+    n = F.ceil(F.col(rows_per_key) / F.lit(limit)).cast("int")
     hot = F.broadcast(hot_keys.select(key, n.alias(_SALTS)))
 
     salt_rows: Column = F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(
@@ -57,11 +65,11 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
     for a key holding a large share of the rows.
 
     A window holds each key's rows in one task.  Keys with at most
-    ``hot_rows`` rows keep that plain window.  The rows of hotter keys (a
-    broadcast set bounded by construction, as in :func:`join_per_key`) are
+    ``hot_rows`` rows keep that plain window.  The rows of hotter keys (above
+    :func:`hot_limit`, a broadcast set of bounded size) are
     range-partitioned on ``key + order`` and written once under ``scratch``
     (so the range assignment cannot change on recomputation).  They are then
-    numbered within each (key, partition), about ``hot_rows`` rows per
+    numbered within each (key, partition), about that limit of rows per
     partition however large the key, and each partition is offset by
     the rows of that key in earlier partitions (a running sum over a small
     per-partition count table).  Rows that tie on all ``order`` columns are
@@ -71,19 +79,20 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
 
     spark = df.sparkSession
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(*key)
     w = Window.partitionBy(*key).orderBy(*order)
-    hot_total = counts.filter(F.col("_n") > hot_rows).agg(F.sum("_n").alias("t")).first()["t"] or 0
-    if hot_total == 0:                                 # the usual case: no hot key
+    sums = counts.agg(F.sum("_n").alias("t"), F.max("_n").alias("m")).first()
+    limit = hot_limit(sums["t"] or 0, hot_rows)
+    if (sums["m"] or 0) <= limit:                                 # the usual case: no hot key
         return df.withColumn(out, F.row_number().over(w))
 
-    hot_b = F.broadcast(hot)
+    hot_total = counts.filter(F.col("_n") > limit).agg(F.sum("_n").alias("t")).first()["t"]
+    hot_b = F.broadcast(counts.filter(F.col("_n") > limit).select(*key))
     normal = df.join(hot_b, key, "left_anti").withColumn(out, F.row_number().over(w))
     if scratch is None:
         from canvass.session import ensure_checkpoint_dir
         scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canvass-rank-{uuid.uuid4().hex[:12]}"
-    # about hot_rows rows per range partition, however large the hot keys are
-    n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // hot_rows))
+    # about limit rows per range partition, however large the hot keys are
+    n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // limit))
     (df.join(hot_b, key, "left_semi").repartitionByRange(n_parts, *key, *order)
      .withColumn("_pid", F.spark_partition_id())
      .write.mode("overwrite").parquet(scratch))
@@ -93,7 +102,7 @@ def row_number_per_key(df: DataFrame, key: list[str], order: list[str], out: str
     offsets = per_part.withColumn(
         "_off", F.coalesce(F.sum("_c").over(Window.partitionBy(*key).orderBy("_pid")
                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # at most partitions x hot keys rows: broadcast
+    # ranges follow the key order, so there are at most partitions + hot keys rows: broadcast
     hot_ranked = (local.join(F.broadcast(offsets.select(*key, "_pid", "_off")), [*key, "_pid"])
                   .withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int"))
                   .select(*df.columns, out))

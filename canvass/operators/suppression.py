@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES
-from canvass.operators.joins import dimension, rows_at_most
+from canvass.operators.joins import dimension
 
 
 def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
-                     header: DataFrame, insured: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+                     header: DataFrame, insured: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """NPS_SCRUBBER after both appends: ``(insured_code, source)``.
 
     * ``base``: the imported list as loaded (codes may be padded);
@@ -21,12 +21,12 @@ def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
     * ``by_email``: e-mails matched case-insensitively to policyholders, not
       distinct (one row per match).
 
-    The lists are hand-loaded and usually small: with ``max_broadcast_rows``
+    The lists are hand-loaded and usually small: with ``max_broadcast_bytes``
     a list that passes the size check is broadcast, so the header and the
     policyholder table are scanned once instead of shuffled.
     """
     def small(df: DataFrame) -> DataFrame:
-        return dimension(df, max_broadcast_rows) if max_broadcast_rows is not None else df
+        return dimension(df, max_broadcast_bytes) if max_broadcast_bytes is not None else df
 
     b = base.select("insured_code", "source")
     pl = small(by_policy.select(F.trim(F.col("policy_no")).alias("policy_no"), "source"))
@@ -58,7 +58,7 @@ def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFra
 
 
 def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_pet: DataFrame,
-             policy_status: DataFrame, cancellations: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+             policy_status: DataFrame, cancellations: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """NPS_F2: F1A without suppressed, bad-e-mail, staff and cancelling holders.
 
     The source writes its three exclusions as ``LEFT JOIN ... WHERE key IS
@@ -71,8 +71,9 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
 
     The suppressed and the cancelling policyholders are one exclusion set,
     so a single anti join on the policyholder code removes both.  With
-    ``max_broadcast_rows``, an exclusion set that passes that size check is
-    broadcast and the population is not shuffled for it.
+    ``max_broadcast_bytes``, an exclusion set of at most that size (stored
+    tables, so known without a job) is broadcast and the population is not
+    shuffled for it.
     """
     # No distinct on the exclusion sets: duplicates do not change an anti
     # join, and a plain shuffle on each side lets AQE split a skewed key
@@ -80,10 +81,8 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
     excluded = (scrubber.select(F.trim(F.col("insured_code")).alias("insured_code"))
                 .unionByName(cancellations.select("insured_code")))
     bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email"))
-    if max_broadcast_rows is not None:
-        small = rows_at_most({"excluded": excluded, "bad": bad}, max_broadcast_rows)   # one job for both
-        excluded = F.broadcast(excluded) if small["excluded"] else excluded
-        bad = F.broadcast(bad) if small["bad"] else bad
+    if max_broadcast_bytes is not None:
+        excluded, bad = dimension(excluded, max_broadcast_bytes), dimension(bad, max_broadcast_bytes)
     status = (policy_pet.select("policy_no", "policy_status_dwid")
               .join(policy_status.filter(F.col("policy_status_desc").isin(*INFORCE_STATUSES))
                     .select("policy_status_dwid"), "policy_status_dwid")

@@ -2,9 +2,9 @@
 
 Each stage is a lazily built DataFrame.  Stages read by several later stages
 or reports (AH_INFORCE, the enriched profile, the claim rollups, the referral
-counts, the suppression list, F1, F2, F2A, F3, F4) are materialised once per
-pull, like the source's CREATE TABLE AS SELECT chain;
-F1A is a filter on F1 and F4A a sample of F4, both read in place.
+counts, the household columns, the suppression list, the cancellations, F1,
+F1A, F2, F2A, F3, F4, F4A) are materialised once per pull, like the source's
+CREATE TABLE AS SELECT chain.
 
 By default each materialised stage is written as a parquet table under the
 session's ``spark.checkpoint.dir`` (the cluster's shared folder) and read
@@ -27,8 +27,8 @@ from canvass.config import Config
 from canvass.operators.claims import claim_rollups, medical_rollup, wellness_rollup
 from canvass.operators.dedupe import contactable, first_policy_per_holder
 from canvass.operators.enrich import enrich
-from canvass.operators.household import MIN_POLICY, household_profile
-from canvass.operators.joins import rows_at_most
+from canvass.operators.household import MIN_POLICY, household_profile, household_stats
+from canvass.operators.joins import dimension
 from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
@@ -36,9 +36,8 @@ from canvass.operators.suppression import eligible, future_cancellations, list_v
 from canvass.session import configure, ensure_checkpoint_dir
 from canvass.sources.warehouse import Warehouse
 
-# Small code tables, broadcast when their size check passes.
-DIMENSIONS = ["dw_dim_group", "dw_dim_provider", "dw_dim_origin", "dw_dim_paymentplan", "dw_dim_payment_type",
-              "dw_dim_source", "dw_dim_zipcode", "dw_dim_coverage", "dw_dim_policy_status", "dw_dim_breed"]
+# Rows per file of a stage whose size the sample sizes bound.
+SAMPLE_ROWS_PER_FILE = 50_000
 
 
 class SurveyPull:
@@ -54,20 +53,17 @@ class SurveyPull:
 
     # -- helpers -------------------------------------------------------------
     def dim(self, name: str) -> DataFrame:
-        """A code table, hinted for broadcast when its size check passes.
-
-        The first call checks every table of :data:`DIMENSIONS` in one job.
-        """
+        """A code table, hinted for broadcast when its size check passes."""
         if name not in self._dims:
-            names = [n for n in DIMENSIONS if n not in self._dims and n in self.t] if name in DIMENSIONS else [name]
-            small = rows_at_most({n: self.t[n] for n in names}, self.config.broadcast_max_rows)
-            for n in names:
-                df = self.t[n]
-                self._dims[n] = F.broadcast(df) if small[n] else df
+            self._dims[name] = dimension(self.t[name], self.config.broadcast_max_bytes)
         return self._dims[name]
 
-    def _materialise(self, df: DataFrame, name: str) -> DataFrame:
+    def _materialise(self, df: DataFrame, name: str, max_rows: int | None = None) -> DataFrame:
+        """Store ``df``; a stage known to hold at most ``max_rows`` goes to a few
+        files instead of one per input split."""
         how = self.config.materialize
+        if max_rows is not None:
+            df = df.repartition(1 + max_rows // SAMPLE_ROWS_PER_FILE)
         if how == "none":
             return df
         if how == "table":
@@ -94,7 +90,6 @@ class SurveyPull:
         """
         from concurrent.futures import ThreadPoolExecutor
 
-        self.dim(DIMENSIONS[0])                  # one size check for all code tables, before the threads
         with ThreadPoolExecutor(max_workers=4) as pool:
             for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
                       pool.submit(lambda: self.referrals), pool.submit(lambda: self.nps_scrubber)]:
@@ -145,10 +140,10 @@ class SurveyPull:
         return medical_rollup(self.claim_rollups)
 
     @cached_property
-    def ah_inforce_nps_full(self) -> DataFrame:
-        """AH_INFORCE_NPS with the hidden first-policy column."""
-        return household_profile(self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"),
-                                 self.dim("dw_dim_group"), hot_key_rows=self.config.hot_key_rows)
+    def households(self) -> DataFrame:
+        """One narrow row per household, read by the salt decision and by F1."""
+        return self._materialise(household_stats(self.inforce_quarterly, self.dim("dw_dim_group"), self.referrals),
+                                 "households")
 
     @property
     def ah_inforce_nps(self) -> DataFrame:
@@ -163,7 +158,7 @@ class SurveyPull:
     def nps_f1_full(self) -> DataFrame:
         return self._materialise(household_profile(
             self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"), self.dim("dw_dim_group"),
-            referrals=self.referrals, hot_key_rows=self.config.hot_key_rows), "nps_f1")
+            stats=self.households, hot_key_rows=self.config.hot_key_rows), "nps_f1")
 
     @property
     def nps_f1(self) -> DataFrame:
@@ -181,7 +176,7 @@ class SurveyPull:
         return self._materialise(suppression_list(
             self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
             self.t["dw_policy_header"], self.t["dw_dim_insured"],
-            max_broadcast_rows=self.config.broadcast_max_rows), "nps_scrubber")
+            max_broadcast_bytes=self.config.broadcast_max_bytes), "nps_scrubber")
 
     @property
     def list_validation(self) -> DataFrame:
@@ -189,12 +184,13 @@ class SurveyPull:
 
     @cached_property
     def cancellations(self) -> DataFrame:
-        return future_cancellations(self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"], self.config.as_of)
+        return self._materialise(future_cancellations(self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"],
+                                                      self.config.as_of), "cancellations")
 
     def nps_f2_plan(self) -> DataFrame:
         return eligible(self.nps_f1a, self.nps_scrubber, self.t["bad_email"], self.t["dw_policy_pet"],
                         self.dim("dw_dim_policy_status"), self.cancellations,
-                        max_broadcast_rows=self.config.broadcast_max_rows)
+                        max_broadcast_bytes=self.config.broadcast_max_bytes)
 
     @cached_property
     def nps_f2(self) -> DataFrame:
@@ -206,10 +202,11 @@ class SurveyPull:
 
     @cached_property
     def nps_f3(self) -> DataFrame:
-        return self._materialise(random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3")
+        return self._materialise(random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3",
+                                 max_rows=self.config.n_main)
 
     def nps_f4_plan(self) -> DataFrame:
-        return new_policy_pool(self.nps_f2a, self.nps_f3, max_broadcast_rows=self.config.broadcast_max_rows)
+        return new_policy_pool(self.nps_f2a, self.nps_f3, max_broadcast_bytes=self.config.broadcast_max_bytes)
 
     @cached_property
     def nps_f4(self) -> DataFrame:
@@ -217,7 +214,8 @@ class SurveyPull:
 
     @cached_property
     def nps_f4a(self) -> DataFrame:
-        return self._materialise(random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a")
+        return self._materialise(random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a",
+                                 max_rows=self.config.n_new)
 
     # -- funnel ------------------------------------------------------------------
     def funnel(self) -> DataFrame:

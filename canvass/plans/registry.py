@@ -82,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q23_state": _q(lambda p: R.state_report(p.nps_f3)),
     "q24_top_states_pif": _q(lambda p: R.top_states_paid_in_full(
         p.nps_f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"), p.dim("dw_dim_payment_type"),
-        max_broadcast_rows=p.config.broadcast_max_rows)),
+        max_broadcast_bytes=p.config.broadcast_max_bytes)),
     "q25_band_med_submitted": _q(lambda p: R.amount_band_report(
         p.nps_f1a, "medicalclaimamount", "submitted_group", "medicalclaimcount")),
     "q26_band_med_eligible": _q(lambda p: R.amount_band_report(

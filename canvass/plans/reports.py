@@ -103,19 +103,19 @@ def state_report(population: DataFrame) -> DataFrame:
 
 
 def top_states_paid_in_full(population: DataFrame, header: DataFrame, paymentplan: DataFrame,
-                            payment_type: DataFrame, k: int = 10, max_broadcast_rows: int | None = None) -> DataFrame:
+                            payment_type: DataFrame, k: int = 10, max_broadcast_bytes: int | None = None) -> DataFrame:
     """The ``k`` states with most paid-in-full rows (ties by state name).
 
     The payment type is found through the policy header, as in the source.
-    With ``max_broadcast_rows``, a population that passes that size check (a
+    With ``max_broadcast_bytes``, a population that passes that size check (a
     sample has at most n rows) is broadcast, so the header is scanned, not
     shuffled.  The top-k is a per-partition bounded heap plus one small merge.
     """
     plan = paymentplan.select("paymentplan_id", F.col("paymentplantypeid").alias("paymentplantype_id"))
     pif = payment_type.filter(F.col("paymentplantype") == "PIF").select("paymentplantype_id")
     pop = population.select("policyid", "insured_state")
-    if max_broadcast_rows is not None:
-        pop = dimension(pop, max_broadcast_rows)
+    if max_broadcast_bytes is not None:
+        pop = dimension(pop, max_broadcast_bytes)
     # each small side joins the rows directly, so each broadcast hint applies
     rows = (header.select("policyid", "paymentplan_id").join(pop, "policyid")
             .join(plan, "paymentplan_id")

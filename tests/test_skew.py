@@ -67,7 +67,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
         (F.col("id") % 100).cast("string")).alias("k"), F.col("id"))
     per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("mx"))
-    salted = join_per_key(rows, per_key, "k", rows_per_key="n", hot_rows=500, max_salts=8, salt_by=["id"])
+    salted = join_per_key(rows, per_key, "k", rows_per_key="n", hot_rows=500, salt_by=["id"])
     plain = rows.join(per_key, "k", "left")
     assert sorted(salted.collect()) == sorted(plain.select(*salted.columns).collect())
     # the hot key's rows now spread over several salts

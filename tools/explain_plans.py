@@ -73,11 +73,11 @@ def main() -> None:
               "referrals": referral_counts(p.t["vouchers_issued"], p.t["dw_policy_header"]),
               "nps_scrubber": suppression_list(p.t["nps_scrubber0"], p.t["nps_scrubber_policy"], p.t["nps_scrubber_dnc"],
                                                p.t["dw_policy_header"], p.t["dw_dim_insured"],
-                                               max_broadcast_rows=p.config.broadcast_max_rows),
+                                               max_broadcast_bytes=p.config.broadcast_max_bytes),
               "nps_f2": p.nps_f2_plan(), "nps_f2a": p.nps_f2a, "nps_f3": p.nps_f3, "nps_f4": p.nps_f4_plan()}
     from canvass.operators.household import household_profile
     stages["nps_f1"] = household_profile(p.inforce_quarterly, p.claim_rollups, p.dim("dw_dim_zipcode"),
-                                         p.dim("dw_dim_group"), referrals=p.referrals,
+                                         p.dim("dw_dim_group"), stats=p.households,
                                          hot_key_rows=p.config.hot_key_rows)
     if "--markdown" in sys.argv:
         write_markdown(sys.argv[sys.argv.index("--markdown") + 1], stages,
