@@ -45,6 +45,10 @@ def _padded(digits: Column) -> Column:
     return F.lpad(digits, F.greatest(F.lit(7), F.length(digits)), F.lit("0"))
 
 
+def _diagnosis_id() -> Column:
+    return F.concat_ws("-", F.col("claim_id"), F.col("claim_revision_no").cast("string"))
+
+
 def _hh_of_code(code: Column) -> Column:
     return F.substr(code, F.lit(2)).cast("long")
 
@@ -97,7 +101,11 @@ class FixtureWarehouse(Warehouse):
         # row_number per household; a household with very many orders is split
         numbered = row_number_per_key(base, ["hh"], ["o_orderdate", "o_orderkey"], "_rn",
                                       hot_rows=self.hot_key_rows)
-        return numbered.withColumn("rn", (F.col("_rn") - 1).cast("int")).drop("_rn", "o_orderdate")
+        lines = self["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+            F.min("l_partkey").alias("first_part"), F.min("l_suppkey").alias("first_supp"),
+            F.max("l_suppkey").alias("last_supp"))
+        return (numbered.withColumn("rn", (F.col("_rn") - 1).cast("int")).drop("_rn", "o_orderdate")
+                .join(lines, "o_orderkey", "left"))
 
     def _dw_policy_header(self) -> DataFrame:
         b = self["policy_term_base"]
@@ -110,12 +118,13 @@ class FixtureWarehouse(Warehouse):
             _code("C", hh).alias("insured_code"),
             (F.col("o_custkey") % 25).cast("int").alias("zipcode_id"),
             "effective_date",
-            F.when(key % 4 == 0, F.lit(None)).otherwise(key % 13).alias("group_id"),
-            (key % 200).alias("breed_id"),
+            # no group, a group code unknown to the group table, or the first supplier
+            F.when(key % 4 == 0, F.lit(None)).when(key % 13 >= 10, F.lit(-1)).otherwise(F.col("first_supp")).alias("group_id"),
+            F.col("first_part").alias("breed_id"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("source_id"),
             (key % 25).alias("origin_id"),
             (key % 5).alias("paymentplan_id"),
-            (key % 12).alias("provider_id"),
+            F.when(key % 12 >= 8, F.lit(-1)).otherwise(F.col("last_supp")).alias("provider_id"),
         )
 
     def _dw_data_inforce(self) -> DataFrame:
@@ -149,7 +158,8 @@ class FixtureWarehouse(Warehouse):
         b = self._insured_base()
         hh = F.col("hh")
         hs = hh.cast("string")
-        zip5 = (F.lit(90000) + F.col("c_nationkey")).cast("string")
+        # some households live in a zip code that the zip table does not know
+        zip5 = (F.when(hh % 25 >= 22, F.lit(10000)).otherwise(F.lit(90000)) + F.col("c_nationkey")).cast("string")
         email = (F.when(hh % 10 == 0, F.lit(None).cast("string"))
                  .when(hh % 10 == 1, F.concat(F.lit("noemail"), hs))
                  .when(hh % 10 == 2, F.concat(F.lit("user."), hs))
@@ -190,14 +200,12 @@ class FixtureWarehouse(Warehouse):
                                      (k % 2).cast("int").alias("cancer"), product.otherwise("Z9").alias("baseproduct"))
 
     def _dw_dim_group(self) -> DataFrame:
-        s = self["supplier"].filter(F.col("s_suppkey") < 10)
-        return s.select(F.col("s_suppkey").alias("group_id"),
-                        F.concat(F.lit("G"), F.col("s_suppkey").cast("string")).alias("group_code"),
-                        F.col("s_name").alias("group_name"))
+        return self["supplier"].select(F.col("s_suppkey").alias("group_id"),
+                                       F.concat(F.lit("G"), F.col("s_suppkey").cast("string")).alias("group_code"),
+                                       F.col("s_name").alias("group_name"))
 
     def _dw_dim_provider(self) -> DataFrame:
-        s = self["supplier"].filter(F.col("s_suppkey") < 8)
-        return s.select(F.col("s_suppkey").alias("provider_id"), F.col("s_name").alias("provider_name"))
+        return self["supplier"].select(F.col("s_suppkey").alias("provider_id"), F.col("s_name").alias("provider_name"))
 
     def _dw_dim_origin(self) -> DataFrame:
         k = F.col("n_nationkey")
@@ -211,7 +219,7 @@ class FixtureWarehouse(Warehouse):
 
     def _dw_dim_payment_type(self) -> DataFrame:
         k = F.col("r_regionkey")
-        return self["region"].filter(k < 2).select(
+        return self["region"].select(
             k.alias("paymentplantype_id"), F.when(k == 0, F.lit("PIF")).otherwise(F.lit("MONTHLY")).alias("paymentplantype"))
 
     def _dw_dim_source(self) -> DataFrame:
@@ -220,8 +228,8 @@ class FixtureWarehouse(Warehouse):
 
     def _dw_dim_zipcode(self) -> DataFrame:
         k = F.col("n_nationkey")
-        return self["nation"].filter(k < 22).select((F.lit(90000) + k).cast("string").alias("zipcode"),
-                                                    (F.lit(40000) + F.lit(1000) * k).cast("int").alias("incomeperhousehold"))
+        return self["nation"].select((F.lit(90000) + k).cast("string").alias("zipcode"),
+                                     (F.lit(40000) + F.lit(1000) * k).cast("int").alias("incomeperhousehold"))
 
     # -- claims ------------------------------------------------------------------
     def _claim_line(self) -> DataFrame:
@@ -237,7 +245,7 @@ class FixtureWarehouse(Warehouse):
 
         return li.select(
             "l_orderkey", "l_linenumber",
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("claim_id"),
             F.col("_rev").cast("int").alias("claim_revision_no"),
             "l_returnflag", "l_linestatus",
             cents(ec / 80).alias("claimedamount"),
@@ -247,7 +255,7 @@ class FixtureWarehouse(Warehouse):
 
     def _dw_claim_header(self) -> DataFrame:
         return self["claim_line"].select(F.col("l_orderkey").alias("policyid"), "claim_id",
-                                         F.concat(F.lit("CL"), F.col("claim_id").cast("string")).alias("claim_no")).distinct()
+                                         F.concat(F.lit("CL"), "claim_id").alias("claim_no")).distinct()
 
     def _dw_claim_revision(self) -> DataFrame:
         reopened = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
@@ -258,16 +266,16 @@ class FixtureWarehouse(Warehouse):
         flag = F.col("l_returnflag")
         return self["claim_line"].select(
             "claim_id", "claim_revision_no",
-            (F.col("claim_id") * 100 + F.col("claim_revision_no")).alias("claim_diagnosis_id"),
+            _diagnosis_id().alias("claim_diagnosis_id"),
             F.when(flag == "R", 1).when(flag == "A", 2).otherwise(3).alias("claim_coverage_id"))
 
     def _dw_claim_details(self) -> DataFrame:
-        return self["claim_line"].select((F.col("claim_id") * 100 + F.col("claim_revision_no")).alias("claim_diagnosis_id"),
+        return self["claim_line"].select(_diagnosis_id().alias("claim_diagnosis_id"),
                                          "claimedamount", "eligibleamount", "paidamount")
 
     def _dw_dim_coverage(self) -> DataFrame:
         k = F.col("r_regionkey")
-        return self["region"].filter(k < 3).select(
+        return self["region"].select(
             (k + 1).cast("int").alias("coverage_id"),
             F.when(k == 0, F.lit("Wellcare")).when(k == 1, F.lit("Base")).otherwise(F.lit("Cancer")).alias("coverage_product_type"))
 
@@ -310,7 +318,7 @@ class FixtureWarehouse(Warehouse):
     def _dw_dim_policy_status(self) -> DataFrame:
         k = F.col("n_nationkey")
         desc = F.when(k < 7, F.lit("Inforce")).when(k < 9, F.lit("Inforce (Undernotice)")).otherwise(F.lit("Cancelled"))
-        return self["nation"].filter(k < 10).select(k.cast("int").alias("policy_status_dwid"), desc.alias("policy_status_desc"))
+        return self["nation"].select(k.cast("int").alias("policy_status_dwid"), desc.alias("policy_status_desc"))
 
     def _dw_policy_term(self) -> DataFrame:
         return self["dw_policy_header"].select(F.col("policyid").alias("policy_term_dwid"), "policy_no", "policy_renew_no")
