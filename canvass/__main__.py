@@ -32,53 +32,13 @@ def report_frames(p: SurveyPull) -> dict:
         "list_validation": p.list_validation,
         "species_by_stage": R.species_by_stage(f1a, f2a, f3),
         "term_by_stage": R.term_by_stage(f1a, f2a, f3),
-        "multipet_households": R.multipet_households(f3),
-        "species_mix": R.species_mix_report(f3),
-        "mix_min_term": R.mix_by_term(f1a, "min_term"),
-        "mix_max_term": R.mix_by_term(f3, "max_term"),
-        "product": R.product_report(f3),
-        "state": R.state_report(f3),
         "top_states_pif": R.top_states_paid_in_full(f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"),
                                                     p.dim("dw_dim_payment_type"),
                                                     max_broadcast_bytes=p.config.broadcast_max_bytes),
-        "band_med_submitted": R.amount_band_report(f1a, "medicalclaimamount", "submitted_group", "medicalclaimcount"),
-        "band_med_eligible": R.amount_band_report(f1a, "medicaleligibleamount", "eligible_group", "medicalclaimcount"),
-        "band_med_paid": R.amount_band_report(f3, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount"),
-        "band_well_submitted": R.amount_band_report(f3, "welcareclaimamount", "well_submitted_group",
-                                                    "welcareclaimcount"),
-        "band_well_eligible": R.amount_band_report(f3, "welcareeligibleamount", "well_eligible_group",
-                                                   "welcareclaimcount"),
-        "band_well_paid": R.amount_band_report(f1a, "welcarepaidamount", "well_reimbursement_grp",
-                                               "welcareclaimcount", strictly_positive=True),
-        "pets_topcoded": R.pets_topcoded_report(f1a),
+        **{name: report(getattr(p, R.POPULATIONS[pop])) for name, (report, pop) in R.REPORTS.items()},
     }
 
 
-# Reports over one population, for re-running against other stages (the
-# script's "change between" notes): name -> report(population).
-PER_POPULATION = {
-    "multipet_households": R.multipet_households,
-    "species_mix": R.species_mix_report,
-    "mix_min_term": lambda pop: R.mix_by_term(pop, "min_term"),
-    "mix_max_term": lambda pop: R.mix_by_term(pop, "max_term"),
-    "product": R.product_report,
-    "state": R.state_report,
-    "band_med_submitted": lambda pop: R.amount_band_report(pop, "medicalclaimamount", "submitted_group",
-                                                           "medicalclaimcount"),
-    "band_med_eligible": lambda pop: R.amount_band_report(pop, "medicaleligibleamount", "eligible_group",
-                                                          "medicalclaimcount"),
-    "band_med_paid": lambda pop: R.amount_band_report(pop, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount"),
-    "band_well_submitted": lambda pop: R.amount_band_report(pop, "welcareclaimamount", "well_submitted_group",
-                                                            "welcareclaimcount"),
-    "band_well_eligible": lambda pop: R.amount_band_report(pop, "welcareeligibleamount", "well_eligible_group",
-                                                           "welcareclaimcount"),
-    "band_well_paid": lambda pop: R.amount_band_report(pop, "welcarepaidamount", "well_reimbursement_grp",
-                                                       "welcareclaimcount", strictly_positive=True),
-    "pets_topcoded": R.pets_topcoded_report,
-}
-POPULATIONS = {"F1A": "nps_f1a", "F2": "nps_f2", "F2A": "nps_f2a", "F3": "nps_f3"}
-
-
 def save_stages(p: SurveyPull, *, path: str | None = None, database: str | None = None) -> None:
     """Store every stage, like the source's CREATE TABLE AS SELECT chain:
     as parquet folders under ``path`` or as catalog tables in ``database``."""
@@ -107,8 +67,8 @@ def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
     for name, df in report_frames(p).items():
         df.write.mode("overwrite").parquet(f"{out}/reports/{name}")
     for label in populations:
-        pop = getattr(p, POPULATIONS[label])
-        for name, report in PER_POPULATION.items():
+        pop = getattr(p, R.POPULATIONS[label])
+        for name, (report, _) in R.REPORTS.items():
             report(pop).write.mode("overwrite").parquet(f"{out}/reports/by_population/{label}/{name}")
     return {r["stage"]: r["row_count"] for r in spark.read.parquet(f"{out}/reports/funnel").collect()}
 
@@ -129,9 +89,9 @@ def main(argv: list[str] | None = None) -> None:
                                                        "e.g. F1A,F2,F3")
     args = ap.parse_args(argv)
     populations = tuple(x.strip().upper() for x in args.populations.split(",") if x.strip())
-    unknown = [x for x in populations if x not in POPULATIONS]
+    unknown = [x for x in populations if x not in R.POPULATIONS]
     if unknown:
-        ap.error(f"unknown population(s) {unknown}; choose from {sorted(POPULATIONS)}")
+        ap.error(f"unknown population(s) {unknown}; choose from {sorted(R.POPULATIONS)}")
 
     spark = SparkSession.builder.appName("canvass").getOrCreate()
     tables = (Warehouse.from_parquet(spark, args.warehouse) if args.warehouse

@@ -13,12 +13,15 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from canvass.config import FIXTURE_CONFIG, Config
+from canvass.functions.dates import to_report_date
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
 from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
+from canvass.sources.lists import INSURED_LIST, export_sample, read_list
 
 _PULLS: dict[tuple, SurveyPull] = {}
 _LOCK = threading.Lock()
@@ -56,6 +59,33 @@ def _q(fn: Callable[[SurveyPull], DataFrame]) -> Callable[[SparkSession, str], D
     return lambda spark, sf_dir: fn(pull_for(spark, sf_dir))
 
 
+def _folder(p: SurveyPull, name: str) -> str:
+    return f"{ensure_checkpoint_dir(p.spark).rstrip('/')}/canvass-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def imported_lists(p: SurveyPull) -> DataFrame:
+    """The suppression lists written as one delimited file set per source and imported again (S3)."""
+    root = _folder(p, "lists")
+    lists = p.t["nps_scrubber0"]
+    for row in lists.select("source").distinct().orderBy("source").collect():     # one row per list
+        (lists.filter(F.col("source") == row["source"]).select("insured_code")
+         .write.option("header", True).csv(f"{root}/{row['source']}.csv"))
+    return read_list(p.spark, f"{root}/*.csv", INSURED_LIST)
+
+
+def exported_sample(p: SurveyPull) -> DataFrame:
+    """The main sample exported as a delimited file and read back."""
+    path = export_sample(p.nps_f3, _folder(p, "export"), single_file=True)
+    return p.spark.read.schema(p.nps_f3.schema).option("header", True).csv(path)
+
+
+def report_dates(p: SurveyPull) -> DataFrame:
+    """In-force rows per report period, the period read from its month/day/year text (F1)."""
+    text = p.t["dw_data_inforce"].select(F.date_format("reportperiod", "MM/dd/yyyy").alias("report_date"))
+    return (text.groupBy("report_date").agg(F.count(F.lit(1)).alias("row_count"))
+            .select("report_date", to_report_date("report_date").alias("reportperiod"), "row_count"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_inforce_snapshot": _q(lambda p: p.ah_inforce),
     "q02_policy_enrichment": _q(lambda p: p.inforce_quarterly),
@@ -74,26 +104,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q15_funnel": _q(lambda p: p.funnel()),
     "q16_species_by_stage": _q(lambda p: R.species_by_stage(p.nps_f1a, p.nps_f2a, p.nps_f3)),
     "q17_term_by_stage": _q(lambda p: R.term_by_stage(p.nps_f1a, p.nps_f2a, p.nps_f3)),
-    "q18_multipet_households": _q(lambda p: R.multipet_households(p.nps_f3)),
-    "q19_species_mix": _q(lambda p: R.species_mix_report(p.nps_f3)),
-    "q20_mix_min_term": _q(lambda p: R.mix_by_term(p.nps_f1a, "min_term")),
-    "q21_mix_max_term": _q(lambda p: R.mix_by_term(p.nps_f3, "max_term")),
-    "q22_product": _q(lambda p: R.product_report(p.nps_f3)),
-    "q23_state": _q(lambda p: R.state_report(p.nps_f3)),
     "q24_top_states_pif": _q(lambda p: R.top_states_paid_in_full(
         p.nps_f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"), p.dim("dw_dim_payment_type"),
         max_broadcast_bytes=p.config.broadcast_max_bytes)),
-    "q25_band_med_submitted": _q(lambda p: R.amount_band_report(
-        p.nps_f1a, "medicalclaimamount", "submitted_group", "medicalclaimcount")),
-    "q26_band_med_eligible": _q(lambda p: R.amount_band_report(
-        p.nps_f1a, "medicaleligibleamount", "eligible_group", "medicalclaimcount")),
-    "q27_band_med_paid": _q(lambda p: R.amount_band_report(
-        p.nps_f3, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount")),
-    "q28_band_well_submitted": _q(lambda p: R.amount_band_report(
-        p.nps_f3, "welcareclaimamount", "well_submitted_group", "welcareclaimcount")),
-    "q29_band_well_eligible": _q(lambda p: R.amount_band_report(
-        p.nps_f3, "welcareeligibleamount", "well_eligible_group", "welcareclaimcount")),
-    "q30_band_well_paid": _q(lambda p: R.amount_band_report(
-        p.nps_f1a, "welcarepaidamount", "well_reimbursement_grp", "welcareclaimcount", strictly_positive=True)),
-    "q31_pets_topcoded": _q(lambda p: R.pets_topcoded_report(p.nps_f1a)),
+    "q32_nps_f1": _q(lambda p: p.nps_f1),
+    "q33_list_import": _q(lambda p: imported_lists(p)),
+    "q34_sample_export": _q(lambda p: exported_sample(p)),
+    "q35_report_dates": _q(lambda p: report_dates(p)),
 }
+#: The single-population reports (R3 to R16 but R9) in the source's order, on the population the source names.
+_REPORT_KEYS = {
+    "q18_multipet_households": "multipet_households", "q19_species_mix": "species_mix", "q20_mix_min_term": "mix_min_term",
+    "q21_mix_max_term": "mix_max_term", "q22_product": "product", "q23_state": "state",
+    "q25_band_med_submitted": "band_med_submitted", "q26_band_med_eligible": "band_med_eligible",
+    "q27_band_med_paid": "band_med_paid", "q28_band_well_submitted": "band_well_submitted",
+    "q29_band_well_eligible": "band_well_eligible", "q30_band_well_paid": "band_well_paid",
+    "q31_pets_topcoded": "pets_topcoded",
+}
+
+
+def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    report, population = R.REPORTS[name]
+    return _q(lambda p: report(getattr(p, R.POPULATIONS[population])))
+
+
+def _by_population(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return _q(lambda p: R.by_population(R.REPORTS[name][0], {k: getattr(p, v) for k, v in R.POPULATIONS.items()}))
+
+
+QUERIES |= {key: _report(name) for key, name in _REPORT_KEYS.items()}
+# The same reports over every population (the source changes the table name by hand).
+QUERIES |= {f"q{36 + i}_{name}_by_population": _by_population(name) for i, name in enumerate(R.REPORTS)}
+QUERIES = dict(sorted(QUERIES.items()))

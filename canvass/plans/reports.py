@@ -14,6 +14,8 @@ data value (state, product) use a distributed ``orderBy``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,3 +143,35 @@ def pets_topcoded_report(population: DataFrame) -> DataFrame:
     """Rows per household pet count, 7 and above on one row, NULL kept."""
     return ordered(population.groupBy(pets_topcoded("total_pets").alias("total_pets")).agg(_n("ph_count")),
                    "total_pets")
+
+
+#: Reports over one population: name -> (report, the population the source names).
+REPORTS = {
+    "multipet_households": (multipet_households, "F3"),
+    "species_mix": (species_mix_report, "F3"),
+    "mix_min_term": (lambda pop: mix_by_term(pop, "min_term"), "F1A"),
+    "mix_max_term": (lambda pop: mix_by_term(pop, "max_term"), "F3"),
+    "product": (product_report, "F3"),
+    "state": (state_report, "F3"),
+    "band_med_submitted": (lambda pop: amount_band_report(
+        pop, "medicalclaimamount", "submitted_group", "medicalclaimcount"), "F1A"),
+    "band_med_eligible": (lambda pop: amount_band_report(
+        pop, "medicaleligibleamount", "eligible_group", "medicalclaimcount"), "F1A"),
+    "band_med_paid": (lambda pop: amount_band_report(
+        pop, "medicalpaidamount", "reimbursement_grp", "medicalclaimcount"), "F3"),
+    "band_well_submitted": (lambda pop: amount_band_report(
+        pop, "welcareclaimamount", "well_submitted_group", "welcareclaimcount"), "F3"),
+    "band_well_eligible": (lambda pop: amount_band_report(
+        pop, "welcareeligibleamount", "well_eligible_group", "welcareclaimcount"), "F3"),
+    "band_well_paid": (lambda pop: amount_band_report(
+        pop, "welcarepaidamount", "well_reimbursement_grp", "welcareclaimcount", strictly_positive=True), "F1A"),
+    "pets_topcoded": (pets_topcoded_report, "F1A"),
+}
+#: The stages a report can be run on.
+POPULATIONS = {"F1A": "nps_f1a", "F2": "nps_f2", "F2A": "nps_f2a", "F3": "nps_f3"}
+
+
+def by_population(report, populations: dict[str, DataFrame]) -> DataFrame:
+    """``report`` over each population, its rows tagged with the population's name."""
+    parts = [report(df).select(F.lit(name).alias("population"), "*") for name, df in populations.items()]
+    return reduce(DataFrame.unionByName, parts)

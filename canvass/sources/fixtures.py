@@ -25,6 +25,8 @@ RAW_TABLES = ["orders", "lineitem", "customer", "part", "supplier", "nation", "r
 # The monthly in-force fact is stored one folder per report period, so the
 # snapshot's date predicate prunes whole partitions.
 PARTITIONED_BY = {"dw_data_inforce": "reportperiod"}
+# The lists imported as they are, one file each.
+LIST_SOURCES = ["A1", "A2", "B1", "B2", "C1", "C2", "D1", "D2"]
 # Landing waves: every table only reads raw tables or tables of earlier waves.
 LAND_WAVES = [
     ["policy_term_base", "claim_line", "dw_dim_insured", "dw_dim_breed", "dw_wp", "dw_dim_group",
@@ -303,8 +305,11 @@ class FixtureWarehouse(Warehouse):
 
     def _nps_scrubber0(self) -> DataFrame:
         i = self["dw_dim_insured"]
-        return i.filter(_hh_of_code(F.col("insured_code")) % 29 == 0).select(
-            F.concat(F.col("insured_code"), F.lit(" ")).alias("insured_code"), F.lit("A1").alias("source"))
+        hh = _hh_of_code(F.col("insured_code"))
+        lists = F.array(*[F.lit(name) for name in LIST_SOURCES])
+        return i.filter(hh % 29 == 0).select(
+            F.concat(F.col("insured_code"), F.lit(" ")).alias("insured_code"),
+            F.get(lists, F.floor(hh / 29).cast("int") % len(LIST_SOURCES)).alias("source"))
 
     def _bad_email(self) -> DataFrame:
         i = self["dw_dim_insured"]

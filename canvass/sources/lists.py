@@ -27,7 +27,7 @@ def read_list(spark: SparkSession, paths: str | list[str], schema: StructType, *
 
     ``source`` given: every row gets it.  Otherwise, when the schema has no
     ``source`` column, the source is the file's base name without extension
-    (``A1.csv`` -> ``A1``).  Text fields are trimmed and empty strings become
+    (``A1.csv`` -> ``A1``); for a list of several part files, the folder's.  Text fields are trimmed and empty strings become
     NULL, as the warehouse's importer stores them.
     """
     reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "FAILFAST")
@@ -39,7 +39,7 @@ def read_list(spark: SparkSession, paths: str | list[str], schema: StructType, *
         return df.select(*cleaned, F.lit(source).alias("source"))
     if "source" in names:
         return df.select(*cleaned)
-    base = F.element_at(F.split(F.col("_metadata.file_name"), r"\."), 1)
+    base = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^/]*)?(/part-[^/]*)?$", 1)
     return df.select(*cleaned, base.alias("source"))
 
 
@@ -50,5 +50,6 @@ def export_sample(df: DataFrame, path: str, *, single_file: bool = False, sep: s
     partition, which only suits a sample of bounded size (it is n rows).
     """
     out = df.repartition(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-    return os.path.abspath(path) if "://" not in path else path
+    (out.write.mode("overwrite").option("header", True).option("sep", sep)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path if ":" in path else os.path.abspath(path)   # a URI stays as it is
