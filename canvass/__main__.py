@@ -18,7 +18,7 @@ from canvass.config import Config
 from canvass.functions.dates import parse_report_date
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
-from canvass.sources.lists import export_sample
+from canvass.sources.lists import BAD_EMAIL_LIST, EMAIL_LIST, INSURED_LIST, POLICY_LIST, export_sample, read_list
 from canvass.sources.warehouse import Warehouse
 
 STAGES = ["ah_inforce", "inforce_quarterly", "inforce_well_dw", "inforce_med_dw", "nps_f1", "nps_f1a",
@@ -39,6 +39,18 @@ def report_frames(p: SurveyPull) -> dict:
     }
 
 
+LIST_FOLDERS = {"insured": ("nps_scrubber0", INSURED_LIST), "policy": ("nps_scrubber_policy", POLICY_LIST),
+                "email": ("nps_scrubber_dnc", EMAIL_LIST), "bad_email": ("bad_email", BAD_EMAIL_LIST)}
+
+
+def with_lists(spark: SparkSession, tables: Warehouse, root: str) -> Warehouse:
+    """``tables`` with the hand-loaded lists imported from the folders of ``root``
+    (:data:`LIST_FOLDERS`, all four); the source is the file's name."""
+    for folder, (table, schema) in LIST_FOLDERS.items():
+        tables = tables.with_table(table, read_list(spark, f"{root.rstrip('/')}/{folder}/*", schema))
+    return tables
+
+
 def save_stages(p: SurveyPull, *, path: str | None = None, database: str | None = None) -> None:
     """Store every stage, like the source's CREATE TABLE AS SELECT chain:
     as parquet folders under ``path`` or as catalog tables in ``database``."""
@@ -78,6 +90,8 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--warehouse", help="parquet root with one folder per table")
     src.add_argument("--database", help="catalog database holding the tables")
+    ap.add_argument("--lists", help="folder with the lists as delimited files, read instead of the warehouse's: "
+                                    "insured/, policy/, email/, bad_email/ with one file per source (A1.csv, G1.csv, H.csv)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--report-date", default="02/28/2013", help="month/day/year")
     ap.add_argument("--as-of", default="03/01/2013", help="month/day/year")
@@ -96,6 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("canvass").getOrCreate()
     tables = (Warehouse.from_parquet(spark, args.warehouse) if args.warehouse
               else Warehouse.from_catalog(spark, args.database))
+    if args.lists:
+        tables = with_lists(spark, tables, args.lists)
     config = Config(report_date=parse_report_date(args.report_date), as_of=parse_report_date(args.as_of),
                     n_main=args.n_main, n_new=args.n_new, seed=args.seed)
     print(json.dumps(run(spark, tables, config, args.out, populations, database=args.stage_database)))

@@ -114,6 +114,11 @@ def pets_topcoded(total_pets: Column | str) -> Column:
     return F.when(n >= MULTIPET_TOP, F.lit(MULTIPET_TOP).cast("bigint")).otherwise(n)
 
 
+def term_number(col: str) -> Column:
+    """A term number as ``int``, text or not; text that is no number is NULL and meets nothing."""
+    return F.col(col).try_cast("int")
+
+
 def product_group(baseproduct: Column | str) -> Column:
     """Fold the I250 product family into one label."""
     p = _c(baseproduct)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.rules import cancer_flag, wellcare_type
+from canvass.functions.rules import cancer_flag, term_number, wellcare_type
 
 INSURED_COLUMNS = ["insured_fname", "insured_lname", "insured_address1", "insured_address2", "insured_city",
                    "insured_state", "insured_zipcode", "insured_hometel", "insured_bustel", "insured_email",
@@ -34,7 +34,7 @@ def enrich(snapshot: DataFrame, pets: DataFrame, header: DataFrame, insured: Dat
     h = header.select("policyid", "insured_code", "effective_date", "group_id", "breed_id", "source_id",
                       "origin_id", "paymentplan_id", "provider_id")
     wp = written_premium.select("policyid", "baseproduct", "vrcc", "cancer")
-    p = pets.select(F.col("pp_policy_no").alias("policy_no"), F.col("pp_policy_renew_no").alias("policy_renew_no"),
+    p = pets.select(F.col("pp_policy_no").alias("policy_no"), term_number("pp_policy_renew_no").alias("policy_renew_no"),
                     "pp_petname", "pp_pet_sex", "pp_date_of_birth")
     em = insured.select("insured_code", *INSURED_COLUMNS)
     br = breed.select("breed_id", "breed_code", "breed_desc", "speciescode")

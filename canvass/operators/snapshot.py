@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions.rules import term_number
+
 SNAPSHOT_COLUMNS = ["policyid", "policy_no", "policy_renew_no", "insured_code", "zipcode_id"]
 
 
@@ -24,5 +26,5 @@ def inforce_snapshot(header: DataFrame, inforce: DataFrame, report_date: dt.date
     text would otherwise order '10' before '2' in the household min/max.
     """
     period = inforce.filter(F.col("reportperiod") == F.lit(report_date)).select("policyid").distinct()
-    h = header.withColumn("policy_renew_no", F.col("policy_renew_no").cast("int"))
+    h = header.withColumn("policy_renew_no", term_number("policy_renew_no"))
     return h.join(period, "policyid", "left_semi").select(*SNAPSHOT_COLUMNS).distinct()

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES
+from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES, term_number
 from canvass.operators.joins import dimension
 
 
@@ -51,7 +51,7 @@ def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFra
     their terms, and only those terms meet F1A.
     """
     c = cancel.filter(F.col("effective_date") >= F.lit(as_of)).select("policy_term_dwid")
-    pt = policy_term.select("policy_term_dwid", "policy_no", "policy_renew_no")
+    pt = policy_term.select("policy_term_dwid", "policy_no", term_number("policy_renew_no").alias("policy_renew_no"))
     return (c.join(pt, "policy_term_dwid")
             .join(f1a.select("insured_code", "policy_no", "policy_renew_no"), ["policy_no", "policy_renew_no"])
             .select("insured_code"))

@@ -16,6 +16,7 @@ alternatives; never a local checkpoint.
 """
 from __future__ import annotations
 
+import time
 import uuid
 from functools import cached_property
 
@@ -49,6 +50,8 @@ class SurveyPull:
         self.config = config
         self._dims: dict[str, DataFrame] = {}
         self._materialised: list[DataFrame] = []
+        #: Seconds each stored stage took to build (concurrent stages overlap).
+        self.build_sec: dict[str, float] = {}
         self._run_id = uuid.uuid4().hex[:12]
 
     # -- helpers -------------------------------------------------------------
@@ -67,8 +70,10 @@ class SurveyPull:
         if how == "none":
             return df
         if how == "table":
+            start = time.perf_counter()
             path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/canvass-{self._run_id}/{name}"
             df.write.mode("overwrite").parquet(path)
+            self.build_sec[name] = round(time.perf_counter() - start, 3)
             return self.spark.read.parquet(path)
         if how == "checkpoint":
             ensure_checkpoint_dir(self.spark)

@@ -343,3 +343,16 @@ def test_sample_many_copies_of_one_identity(spark):
         expected = rows(pop.orderBy(h2, "policyid", "pp_petname", "v").limit(n), "policyid", "pp_petname", "v")
         got = rows(random_sample(pop, n, 42, rank_limit=40), "policyid", "pp_petname", "v")
         assert got == expected
+
+
+def test_text_term_numbers_meet_ints_and_dirty_ones_meet_nothing(spark):
+    from canvass.operators.referrals import referral_counts
+    from canvass.operators.suppression import future_cancellations
+    vouchers = spark.createDataFrame([("C1", "P1", "01", "Y"), ("C1", "P2", "x", "Y")],
+                                     "vi_insured string, vi_ref_policy_no string, vi_ref_policy_renew_no string, vi_redeemed_yn string")
+    header = spark.createDataFrame([("P1", 1, "C2"), ("P2", 2, "C2")], "policy_no string, policy_renew_no int, insured_code string")
+    assert rows(referral_counts(vouchers, header)) == [("C1", 1)]
+    f1a = spark.createDataFrame([("C2", "P1", 1)], "insured_code string, policy_no string, policy_renew_no int")
+    terms = spark.createDataFrame([(7, "P1", " 1"), (8, "P1", "?")], "policy_term_dwid bigint, policy_no string, policy_renew_no string")
+    cancel = spark.createDataFrame([(7, dt.date(2013, 4, 1)), (8, dt.date(2013, 4, 1))], "policy_term_dwid bigint, effective_date date")
+    assert rows(future_cancellations(f1a, terms, cancel, dt.date(2013, 3, 1))) == [("C2",)]

@@ -1,4 +1,4 @@
-"""List files in, sample files out, the landed warehouse and the list stream."""
+"""List files in, sample files out, the landed warehouse."""
 
 import os
 
@@ -97,3 +97,24 @@ def test_stages_saved_as_catalog_tables(spark):
     assert spark.table("canvass_stage_test.nps_f3").count() == p.nps_f3.count()
     saved = {r.tableName for r in spark.sql("SHOW TABLES IN canvass_stage_test").collect() if not r.isTemporary}
     assert saved == set(STAGES)
+
+
+def test_lists_of_a_folder_replace_the_warehouse_lists(spark, tmp_path):
+    from canvass.__main__ import with_lists
+    for folder, name, text in [("insured", "A1", "insured_code\nC1 \n C2\n"), ("insured", "D2", "insured_code\nC3\n"),
+                               ("policy", "G1", "policy_no\n P9 \n"), ("email", "H", "email\nA@b.c\n\n"),
+                               ("bad_email", "bad", "bad_email\nx@y.z\n")]:
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / f"{name}.csv").write_text(text)
+    got = with_lists(spark, Warehouse(spark, {}), f"file:{tmp_path}")
+    assert rows(got["nps_scrubber0"], "insured_code", "source") == [("C1", "A1"), ("C2", "A1"), ("C3", "D2")]
+    assert rows(got["nps_scrubber_policy"], "policy_no", "source") == [("P9", "G1")]
+    assert rows(got["nps_scrubber_dnc"], "email", "source") == [("A@b.c", "H")]
+    assert rows(got["bad_email"], "bad_email") == [("x@y.z",)]
+
+
+def test_export_keeps_blanks_and_uris(spark, tmp_path):
+    df = spark.createDataFrame([(1, "  90001-1234"), (2, "x "), (3, None)], "id int, zip string")
+    path = export_sample(df, f"file:{tmp_path}/out", single_file=True)
+    assert path == f"file:{tmp_path}/out"
+    assert rows(spark.read.schema(df.schema).option("header", True).csv(path)) == rows(df)
