@@ -108,6 +108,34 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
     assert P.repeated_passages(documents(spark, rows).limit(0)).count() == 0
 
 
+def whole_passages(agree, **limits):
+    at = np.nonzero(agree)[0]
+    return [(i, n) for i, n, *_ in P.passages(at, at, **limits)]
+
+
+def test_passages_whose_best_sum_is_short_are_found():
+    same = lambda *runs: np.concatenate([np.full(n, k % 2 == 0) for k, n in enumerate(runs)])
+    assert whole_passages(same(45, 5, 10)) == [(0, 60)]
+    assert whole_passages(same(49, 3, 8)) == [(0, 60)]
+    assert whole_passages(same(40, 10, 40)) == [(0, 90)]
+    assert whole_passages(same(39, 10, 1)) == [(0, 50)]
+    assert whole_passages(same(45, 40, 45)) == [] and whole_passages(same(38, 11, 1)) == []
+    late = np.ones(117, bool)
+    late[45:57] = late[60:117:7] = False
+    assert sum(n for _, n in whole_passages(late)) >= 60
+
+
+def test_passages_equal_brute_force_on_random_changes():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        agree = rng.random(60) < rng.choice([0.75, 0.8, 0.85, 0.9])
+        c = np.concatenate([[0], np.cumsum(agree)])
+        exists = any(agree[i] and agree[j - 1] and c[j] - c[i] >= 0.8 * (j - i) - 1e-9 for i in range(11) for j in range(i + 50, 61))
+        got = whole_passages(agree)
+        assert bool(got) == exists
+        assert all(c[i + n] - c[i] >= 0.8 * n - 1e-9 for i, n in got)
+
+
 def test_every_exact_passage_of_real_documents_is_covered(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, repeated = {}, set()
