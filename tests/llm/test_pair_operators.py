@@ -136,6 +136,16 @@ def test_passages_equal_brute_force_on_random_changes():
         assert all(c[i + n] - c[i] >= 0.8 * n - 1e-9 for i, n in got)
 
 
+def test_an_exact_passage_among_edited_versions_is_linked(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    passage = fresh(60)
+    edited = lambda: [w if rng.random() < 0.6 else f"e{rng.randrange(10**9)}" for w in passage]
+    rows = [(i, " ".join(fresh(20) + (passage if i in (500, 501) else edited()) + fresh(20)), "s") for i in range(1000)]
+    got = {(r[0], r[3]) for r in P.repeated_passages(documents(spark, rows)).collect()}
+    assert {(500, 501), (501, 500)} <= got
+
+
 def test_every_exact_passage_of_real_documents_is_covered(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, repeated = {}, set()
