@@ -146,6 +146,17 @@ def test_an_exact_passage_among_edited_versions_is_linked(spark):
     assert {(500, 501), (501, 500)} <= got
 
 
+def test_every_place_of_a_repeated_passage_is_found(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    twice, late = fresh(60), fresh(60)
+    scattered = [w for k in range(0, 60, 15) for w in [*late[k : k + 15], *fresh(100)]]
+    rows = [(1, " ".join(fresh(10) + twice + fresh(90) + twice + fresh(10)), "s"), (2, " ".join(fresh(7) + twice), "s"),
+            (3, " ".join(scattered + late + fresh(5)), "s"), (4, " ".join(fresh(3) + late), "s")]
+    got = {(r[0], r[1], r[2], r[3], r[4]) for r in P.repeated_passages(documents(spark, rows)).collect()}
+    assert {(1, 10, 60, 2, 7), (1, 160, 60, 2, 7), (3, 460, 60, 4, 3)} <= got
+
+
 def test_every_exact_passage_of_real_documents_is_covered(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, repeated = {}, set()
