@@ -157,6 +157,22 @@ def test_every_place_of_a_repeated_passage_is_found(spark):
     assert {(1, 10, 60, 2, 7), (1, 160, 60, 2, 7), (3, 460, 60, 4, 3)} <= got
 
 
+def test_passages_of_low_identity_and_of_few_words_are_found(spark):
+    rng = random.Random(10)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    rows, few = [], [["ja", "nein"] * 40, ["da"] * 70]
+    for k in range(100):
+        passage = fresh(50)
+        changed = list(passage)
+        for at in rng.sample(range(1, 49), 9):  # 82 % of 50 words
+            changed[at] = f"e{rng.randrange(10**9)}"
+        rows += [(2 * k, " ".join(fresh(40) + passage + fresh(40)), "s"), (2 * k + 1, " ".join(fresh(25) + changed + fresh(60)), "s")]
+    rows += [(1000 + 2 * k + j, " ".join(fresh(9) + w + fresh(30)), "s") for k, w in enumerate(few) for j in range(2)]
+    got = {(r[0], r[3]) for r in P.repeated_passages(documents(spark, rows)).collect()}
+    assert sum((2 * k, 2 * k + 1) in got for k in range(100)) >= 98
+    assert {(1000, 1001), (1002, 1003)} <= got
+
+
 def test_every_exact_passage_of_real_documents_is_covered(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, repeated = {}, set()
