@@ -41,11 +41,15 @@ def _long_enough(min_words: int) -> str:
 
 
 def line_rows(docs: DataFrame, doc_id: str, text: str, site: str, min_words: int) -> DataFrame:
-    """One narrow row per line: its two hashes, its site's hash, the document and the place."""
+    """One narrow row per line: its two hashes, its site's hash, the document and the place.
+
+    Spark's hash of several columns takes each one's hash as the seed of the next: the line comes last in
+    the second hash, so that its text is hashed from another seed.
+    """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(site).alias("site"),
                     F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     bare = d.filter(F.col("line").rlike(_long_enough(min_words))).withColumn("line", _bare(F.col("line")))
-    return bare.select("doc_id", "th", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
+    return bare.select("doc_id", "th", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, sketch_k: int = SKETCH_K) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -72,6 +73,15 @@ def test_rules_do_not_condemn_a_host_for_one_document(spark):
     assert not got[5000].kept and got[5001].kept and not got[5000].host_rejected
 
 
+def test_line_hashes_are_of_the_text_from_two_seeds(spark):
+    line = "one line of words"
+    row = L.line_rows(documents(spark, [(1, line, "s")]), "doc_id", "text", "source", 3).first()
+    signed = lambda data, seed: int(np.uint64(xxhash.xxh64_intdigest(data, seed % 2**64)).astype(np.int64))
+    one = (1).to_bytes(4, "little")
+    assert row.h1 == signed(line, 42) and row.h2 == signed(line, signed(one, 42))
+    assert row.h2 != signed(one, row.h1)  # a function of the first hash tells nothing more
+
+
 def test_line_dedup_equals_exact_counts(spark):
     random.seed(5)
     lines = [f"this is the common line number {i} indeed" for i in range(14)]
