@@ -186,6 +186,37 @@ def test_every_exact_passage_of_real_documents_is_covered(spark):
     assert repeated and repeated <= got
 
 
+def test_every_exact_window_and_link_of_real_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    windows = {}
+    for r in docs.select("doc_id", "text").distinct().collect():
+        w = (r.text or "").lower().split()
+        for k in range(len(w) - 49):
+            windows.setdefault(tuple(w[k : k + 50]), []).append((r.doc_id, k))
+    covered, links = {}, set()
+    for r in P.repeated_passages(docs).collect():
+        covered.setdefault((r.doc_id, r.other_doc_id), set()).update(range(r.start_word, r.start_word + r.n_words))
+        links.add((r.doc_id, r.other_doc_id))
+    partners = {}
+    for a, b in links:
+        partners.setdefault(a, set()).add(b)
+    checked, places, apart = 0, [], []
+    for words, at in windows.items():
+        ids = {i for i, _ in at}
+        if len(ids) < 2:
+            continue
+        checked += 1
+        for i, k in at:
+            seen = set().union(*(covered[i, j] for j in partners.get(i, set()) & ids))
+            # Open: the middle of long runs of very few different words (README).
+            if len(set(words)) >= 10 and not seen.issuperset(range(k, k + 50)):
+                places.append((i, k))
+        root = groups([(a, b) for a in ids for b in partners.get(a, set()) & ids], ids)
+        if len(set(root.values())) > 1:
+            apart.append(sorted(ids))
+    assert checked and not places and not apart
+
+
 def vectors(seed, n, dim=16):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, dim)).astype(np.float32)
