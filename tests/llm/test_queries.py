@@ -17,7 +17,7 @@ from .test_pair_operators import groups
 @pytest.mark.parametrize("key", sorted(registry.ORACLE_SQL))
 def test_query_matches_its_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_MID}/{t}.parquet')")
     df = E.queries()[key](spark, SF_MID)
     cur = con.execute(E.oracle_sql()[key])
@@ -28,7 +28,7 @@ def test_query_matches_its_sql(spark, key):
 
 def test_entry_registers_every_operator_and_the_pipeline():
     names = E.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in names} and "pipeline" in names
     assert set(registry.ORACLE_SQL) <= set(E.oracle_sql()) <= set(names)
 
 
