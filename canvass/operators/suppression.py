@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.rules import INFORCE_STATUSES, STAFF_ORIGIN_CODES, term_number
+from canvass.operators.exclusion import exclude
 from canvass.operators.joins import dimension
 
 
@@ -58,7 +59,8 @@ def future_cancellations(f1a: DataFrame, policy_term: DataFrame, cancel: DataFra
 
 
 def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_pet: DataFrame,
-             policy_status: DataFrame, cancellations: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+             policy_status: DataFrame, cancellations: DataFrame, max_broadcast_bytes: int | None = None,
+             max_list_bytes: int | None = None) -> DataFrame:
     """NPS_F2: F1A without suppressed, bad-e-mail, staff and cancelling holders.
 
     The source writes its three exclusions as ``LEFT JOIN ... WHERE key IS
@@ -72,8 +74,9 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
     The suppressed and the cancelling policyholders are one exclusion set,
     so a single anti join on the policyholder code removes both.  With
     ``max_broadcast_bytes``, an exclusion set of at most that size (stored
-    tables, so known without a job) is broadcast and the population is not
-    shuffled for it.
+    tables, so known without a job) is broadcast; of a larger one a filter
+    within that size is, and only rows that it lets through are shuffled
+    (:mod:`canvass.operators.exclusion`).
     """
     # No distinct on the exclusion sets: duplicates do not change an anti
     # join, and a plain shuffle on each side lets AQE split a skewed key
@@ -81,16 +84,11 @@ def eligible(f1a: DataFrame, scrubber: DataFrame, bad_email: DataFrame, policy_p
     excluded = (scrubber.select(F.trim(F.col("insured_code")).alias("insured_code"))
                 .unionByName(cancellations.select("insured_code")))
     bad = bad_email.select(F.upper(F.col("bad_email")).alias("_email"))
-    if max_broadcast_bytes is not None:
-        excluded, bad = dimension(excluded, max_broadcast_bytes), dimension(bad, max_broadcast_bytes)
     status = (policy_pet.select("policy_no", "policy_status_dwid")
               .join(policy_status.filter(F.col("policy_status_desc").isin(*INFORCE_STATUSES))
                     .select("policy_status_dwid"), "policy_status_dwid")
               .select("policy_no"))
     cols = f1a.columns
-    return (f1a.filter(~F.col("origin_code").isin(*STAFF_ORIGIN_CODES))
-            .join(excluded, "insured_code", "left_anti")
-            .withColumn("_email", F.upper(F.col("insured_email")))
-            .join(bad, "_email", "left_anti")
-            .join(status, "policy_no")
-            .select(*cols))
+    named = f1a.filter(~F.col("origin_code").isin(*STAFF_ORIGIN_CODES)).withColumn("_email", F.upper(F.col("insured_email")))
+    kept = exclude(named, {"insured_code": excluded, "_email": bad}, max_broadcast_bytes, max_list_bytes)
+    return kept.join(status, "policy_no").select(*cols)

@@ -192,10 +192,12 @@ class SurveyPull:
         return self._materialise(future_cancellations(self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"],
                                                       self.config.as_of), "cancellations")
 
-    def nps_f2_plan(self) -> DataFrame:
+    def nps_f2_plan(self, max_list_bytes: int | None = None) -> DataFrame:
+        """The eligible population's query itself (not the materialised copy).
+        ``max_list_bytes``: another bound for the exclusion sets that are broadcast whole."""
         return eligible(self.nps_f1a, self.nps_scrubber, self.t["bad_email"], self.t["dw_policy_pet"],
-                        self.dim("dw_dim_policy_status"), self.cancellations,
-                        max_broadcast_bytes=self.config.broadcast_max_bytes)
+                        self.dim("dw_dim_policy_status"), self.cancellations, max_broadcast_bytes=self.config.broadcast_max_bytes,
+                        max_list_bytes=max_list_bytes)
 
     @cached_property
     def nps_f2(self) -> DataFrame:

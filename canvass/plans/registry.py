@@ -79,6 +79,11 @@ def exported_sample(p: SurveyPull) -> DataFrame:
     return p.spark.read.schema(p.nps_f3.schema).option("header", True).csv(path)
 
 
+def eligible_by_filter(p: SurveyPull) -> DataFrame:
+    """NPS_F2 with no list broadcast whole: the lists' filters meet the population first."""
+    return p.nps_f2_plan(max_list_bytes=0)
+
+
 def report_dates(p: SurveyPull) -> DataFrame:
     """In-force rows per report period, the period read from its month/day/year text (F1)."""
     text = p.t["dw_data_inforce"].select(F.date_format("reportperiod", "MM/dd/yyyy").alias("report_date"))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q33_list_import": _q(lambda p: imported_lists(p)),
     "q34_sample_export": _q(lambda p: exported_sample(p)),
     "q35_report_dates": _q(lambda p: report_dates(p)),
+    "q49_eligible_by_filter": _q(lambda p: eligible_by_filter(p)),
 }
 #: The single-population reports (R3 to R16 but R9) in the source's order, on the population the source names.
 _REPORT_KEYS = {
