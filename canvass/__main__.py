@@ -1,8 +1,8 @@
 """Run a whole survey pull: ``python -m canvass --warehouse ROOT --out DIR``.
 
 Reads the warehouse tables (a parquet root with one folder per table, or a
-catalog database), builds every stage, writes them as parquet tables under
-``--out/stages``, exports both samples as CSV files with a header
+catalog database), builds every stage as a parquet table under ``--out/stages``
+(a run that was ended half-way is taken up there), exports both samples as CSV files with a header
 (``--out/files``) and writes the funnel and every report (``--out/reports``).
 Dates are month/day/year, as the pull writes them.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from canvass.config import Config
 from canvass.functions.dates import parse_report_date
+from canvass.operators.household import MIN_POLICY
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
 from canvass.sources.lists import BAD_EMAIL_LIST, EMAIL_LIST, INSURED_LIST, POLICY_LIST, export_sample, read_list
@@ -51,15 +52,28 @@ def with_lists(spark: SparkSession, tables: Warehouse, root: str) -> Warehouse:
     return tables
 
 
-def save_stages(p: SurveyPull, *, path: str | None = None, database: str | None = None) -> None:
-    """Store every stage, like the source's CREATE TABLE AS SELECT chain:
-    as parquet folders under ``path`` or as catalog tables in ``database``."""
-    for name in STAGES:
-        writer = getattr(p, name).write.mode("overwrite")
-        if database:
-            writer.saveAsTable(f"{database}.{name}")
-        else:
-            writer.parquet(f"{path.rstrip('/')}/{name}")
+#: Stages that are parts of a stored one: the stored stage, and the part as SQL.
+VIEWS = {
+    "inforce_well_dw": ("claim_rollups", "policy_no, vrcccount, well_claimedamount AS claimamount, well_paidamount AS paidamount, "
+                                         "well_eligibleamount AS eligibleamount FROM {0} WHERE well_groups > 0"),
+    "inforce_med_dw": ("claim_rollups", "policy_no, medcount, med_claimedamount AS claimamount, med_paidamount AS paidamount, "
+                                        "med_eligibleamount AS eligibleamount FROM {0} WHERE medcount > 0"),
+    "nps_f1": ("nps_f1", f"* EXCEPT ({MIN_POLICY}) FROM {{0}}"),
+}
+
+
+def register_stages(p: SurveyPull, database: str) -> None:
+    """Name every stage in ``database``: a table over the folder that the pull has
+    written, or a view of its part of one.  No row is copied."""
+    p.prepare()
+    spark = p.spark
+    for name in [s for s in STAGES if s not in VIEWS] + sorted({stored for stored, _ in VIEWS.values()}):
+        table = f"{database}.{name}_stored" if name in VIEWS else f"{database}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=p.store.path(name), source="parquet")
+    for view, (name, part) in VIEWS.items():
+        table = f"{database}.{name}_stored" if name in VIEWS else f"{database}.{name}"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {part.format(table)}")
 
 
 def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
@@ -68,12 +82,15 @@ def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
 
     ``populations`` (any of F1A, F2, F2A, F3) additionally writes every
     single-population report for each of them under ``reports/by_population``.
-    ``database`` stores the stages as catalog tables there instead of as
-    folders under ``out/stages``.
+    The pull writes each stage once, to its folder under ``out/stages``; a run
+    that was ended half-way is taken up there by the next one with the same
+    parameters and input files.  ``database`` also names the stages as tables
+    and views of that database.
     """
-    p = SurveyPull(spark, tables, config).prepare()
     out = out.rstrip("/")
-    save_stages(p, path=f"{out}/stages", database=database)
+    p = SurveyPull(spark, tables, config, run_dir=f"{out}/stages").prepare()
+    if database:
+        register_stages(p, database)
     export_sample(p.nps_f3, f"{out}/files/sample_main", single_file=True)
     export_sample(p.nps_f4a, f"{out}/files/sample_new_policies", single_file=True)
     for name, df in report_frames(p).items():
@@ -98,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--n-main", type=int, default=Config.n_main)
     ap.add_argument("--n-new", type=int, default=Config.n_new)
     ap.add_argument("--seed", type=int, default=Config.seed)
-    ap.add_argument("--stage-database", help="store the stages as catalog tables in this database")
+    ap.add_argument("--stage-database", help="also name the stages as tables and views of this database")
     ap.add_argument("--populations", default="", help="also run every single-population report on these stages, "
                                                        "e.g. F1A,F2,F3")
     args = ap.parse_args(argv)

@@ -13,15 +13,19 @@ earlier stages; later plans stay small (a persisted 40-join lineage costs
 seconds of re-planning per query); readers get column pruning and filter
 pushdown on the stage.  ``persist`` and reliable ``checkpoint`` are the
 alternatives; never a local checkpoint.
+
+With ``run_dir`` the stages go to that folder and stay there: a pull that was
+ended half-way is taken up by the next one with the same folder, parameters
+and input files (:mod:`canvass.plans.stages`).
 """
 from __future__ import annotations
 
-import time
 import uuid
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.config import Config
@@ -34,6 +38,7 @@ from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
 from canvass.operators.suppression import eligible, future_cancellations, list_validation, suppression_list
+from canvass.plans.stages import StageStore, input_digest, run_key
 from canvass.session import configure, ensure_checkpoint_dir
 from canvass.sources.warehouse import Warehouse
 
@@ -44,15 +49,29 @@ SAMPLE_ROWS_PER_FILE = 50_000
 class SurveyPull:
     """All stages of one pull over one warehouse and one :class:`Config`."""
 
-    def __init__(self, spark: SparkSession, tables: Warehouse, config: Config = Config()):
+    def __init__(self, spark: SparkSession, tables: Warehouse, config: Config = Config(), run_dir: str | None = None):
         self.spark = configure(spark)
         self.t = tables
         self.config = config
         self._dims: dict[str, DataFrame] = {}
         self._materialised: list[DataFrame] = []
-        #: Seconds each stored stage took to build (concurrent stages overlap).
-        self.build_sec: dict[str, float] = {}
-        self._run_id = uuid.uuid4().hex[:12]
+        self._run_dir = run_dir
+        if run_dir is not None and config.materialize != "table":
+            raise ValueError("a pull with run_dir stores its stages as tables")
+
+    @cached_property
+    def store(self) -> StageStore:
+        """Where this pull's stages lie: in ``run_dir``, or in a folder of its own that nothing takes up."""
+        if self._run_dir is None:
+            run = uuid.uuid4().hex[:12]
+            return StageStore(self.spark, f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/canvass-{run}", run)
+        inputs = input_digest(self.spark, self.t)
+        return StageStore(self.spark, self._run_dir, run_key(self.config, inputs), {"config": str(self.config), "inputs": inputs})
+
+    @property
+    def build_sec(self) -> dict[str, float]:
+        """Seconds each stored stage took to build (concurrent stages overlap)."""
+        return {name: self.store.entry(name)["seconds"] for name in list(self.store.built)}
 
     # -- helpers -------------------------------------------------------------
     def dim(self, name: str) -> DataFrame:
@@ -61,20 +80,21 @@ class SurveyPull:
             self._dims[name] = dimension(self.t[name], self.config.broadcast_max_bytes)
         return self._dims[name]
 
-    def _materialise(self, df: DataFrame, name: str, max_rows: int | None = None) -> DataFrame:
-        """Store ``df``; a stage known to hold at most ``max_rows`` goes to a few
-        files instead of one per input split."""
+    def _materialise(self, build: Callable[[], DataFrame], name: str, max_rows: int | None = None,
+                     counts: dict[str, Column] | None = None) -> DataFrame:
+        """The stage ``name``, stored: ``build`` is called only if the store does not hold it.
+        A stage known to hold at most ``max_rows`` goes to a few files instead of one per
+        input split; ``counts`` are observed while it is written, besides its rows."""
         how = self.config.materialize
+        if how == "table" and self.store.entry(name):
+            return self.store.read(name)
+        df = build()
         if max_rows is not None:
             df = df.repartition(1 + max_rows // SAMPLE_ROWS_PER_FILE)
         if how == "none":
             return df
         if how == "table":
-            start = time.perf_counter()
-            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/canvass-{self._run_id}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self.build_sec[name] = round(time.perf_counter() - start, 3)
-            return self.spark.read.parquet(path)
+            return self.store.publish(name, df, counts)
         if how == "checkpoint":
             ensure_checkpoint_dir(self.spark)
             out = df.checkpoint(eager=True)
@@ -104,10 +124,12 @@ class SurveyPull:
         return self
 
     def release(self) -> None:
-        """Drop every persisted stage of this pull."""
+        """Drop every stage of this pull: persisted ones from memory, stored ones with their folder."""
         for df in self._materialised:
             df.unpersist()
         self._materialised.clear()
+        if "store" in self.__dict__:
+            self.store.release()
 
     # -- population build (F1A) ------------------------------------------------
     def ah_inforce_plan(self) -> DataFrame:
@@ -116,11 +138,11 @@ class SurveyPull:
 
     @cached_property
     def ah_inforce(self) -> DataFrame:
-        return self._materialise(self.ah_inforce_plan(), "ah_inforce")
+        return self._materialise(self.ah_inforce_plan, "ah_inforce")
 
     @cached_property
     def inforce_quarterly(self) -> DataFrame:
-        return self._materialise(self._inforce_quarterly(), "inforce_quarterly")
+        return self._materialise(self._inforce_quarterly, "inforce_quarterly")
 
     def _inforce_quarterly(self) -> DataFrame:
         return enrich(self.ah_inforce, self.t["policy_pets"], self.t["dw_policy_header"], self.t["dw_dim_insured"],
@@ -129,7 +151,8 @@ class SurveyPull:
 
     @cached_property
     def claim_rollups(self) -> DataFrame:
-        return self._materialise(self.claim_rollups_plan(), "claim_rollups")
+        return self._materialise(self.claim_rollups_plan, "claim_rollups", counts={
+            "well_rows": F.count(F.when(F.col("well_groups") > 0, 1)), "med_rows": F.count(F.when(F.col("medcount") > 0, 1))})
 
     def claim_rollups_plan(self) -> DataFrame:
         """The claim rollup query itself (not the materialised copy)."""
@@ -147,7 +170,7 @@ class SurveyPull:
     @cached_property
     def households(self) -> DataFrame:
         """One narrow row per household, read by the salt decision and by F1."""
-        return self._materialise(household_stats(self.inforce_quarterly, self.dim("dw_dim_group"), self.referrals),
+        return self._materialise(lambda: household_stats(self.inforce_quarterly, self.dim("dw_dim_group"), self.referrals),
                                  "households")
 
     @property
@@ -157,11 +180,11 @@ class SurveyPull:
 
     @cached_property
     def referrals(self) -> DataFrame:
-        return self._materialise(referral_counts(self.t["vouchers_issued"], self.t["dw_policy_header"]), "referrals")
+        return self._materialise(lambda: referral_counts(self.t["vouchers_issued"], self.t["dw_policy_header"]), "referrals")
 
     @cached_property
     def nps_f1_full(self) -> DataFrame:
-        return self._materialise(household_profile(
+        return self._materialise(lambda: household_profile(
             self.inforce_quarterly, self.claim_rollups, self.dim("dw_dim_zipcode"), self.dim("dw_dim_group"),
             stats=self.households, hot_key_rows=self.config.hot_key_rows), "nps_f1")
 
@@ -171,14 +194,14 @@ class SurveyPull:
 
     @cached_property
     def nps_f1a(self) -> DataFrame:
-        return self._materialise(first_policy_per_holder(self.nps_f1_full), "nps_f1a")
+        return self._materialise(lambda: first_policy_per_holder(self.nps_f1_full), "nps_f1a")
 
     # -- suppression and sampling ------------------------------------------------
     @cached_property
     def nps_scrubber(self) -> DataFrame:
         # small, but resolving it scans the header and policyholder tables:
         # stored once instead of re-resolved by every reader
-        return self._materialise(suppression_list(
+        return self._materialise(lambda: suppression_list(
             self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
             self.t["dw_policy_header"], self.t["dw_dim_insured"],
             max_broadcast_bytes=self.config.broadcast_max_bytes), "nps_scrubber")
@@ -189,8 +212,8 @@ class SurveyPull:
 
     @cached_property
     def cancellations(self) -> DataFrame:
-        return self._materialise(future_cancellations(self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"],
-                                                      self.config.as_of), "cancellations")
+        return self._materialise(lambda: future_cancellations(
+            self.nps_f1a, self.t["dw_policy_term"], self.t["dw_cancel"], self.config.as_of), "cancellations")
 
     def nps_f2_plan(self, max_list_bytes: int | None = None) -> DataFrame:
         """The eligible population's query itself (not the materialised copy).
@@ -201,15 +224,15 @@ class SurveyPull:
 
     @cached_property
     def nps_f2(self) -> DataFrame:
-        return self._materialise(self.nps_f2_plan(), "nps_f2")
+        return self._materialise(self.nps_f2_plan, "nps_f2")
 
     @cached_property
     def nps_f2a(self) -> DataFrame:
-        return self._materialise(contactable(self.nps_f2), "nps_f2a")
+        return self._materialise(lambda: contactable(self.nps_f2), "nps_f2a")
 
     @cached_property
     def nps_f3(self) -> DataFrame:
-        return self._materialise(random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3",
+        return self._materialise(lambda: random_sample(self.nps_f2a, self.config.n_main, self.config.seed), "nps_f3",
                                  max_rows=self.config.n_main)
 
     def nps_f4_plan(self) -> DataFrame:
@@ -217,25 +240,31 @@ class SurveyPull:
 
     @cached_property
     def nps_f4(self) -> DataFrame:
-        return self._materialise(self.nps_f4_plan(), "nps_f4")
+        return self._materialise(self.nps_f4_plan, "nps_f4")
 
     @cached_property
     def nps_f4a(self) -> DataFrame:
-        return self._materialise(random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a",
+        return self._materialise(lambda: random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a",
                                  max_rows=self.config.n_new)
 
     # -- funnel ------------------------------------------------------------------
     def funnel(self) -> DataFrame:
-        """Row count of every stage, one row per stage."""
-        stages = [("ah_inforce", self.ah_inforce), ("inforce_quarterly", self.inforce_quarterly),
-                  ("inforce_well_dw", self.inforce_well_dw), ("inforce_med_dw", self.inforce_med_dw),
-                  ("nps_f1", self.nps_f1), ("nps_f1a", self.nps_f1a), ("nps_scrubber", self.nps_scrubber),
-                  ("nps_scrubber_policy", self.t["nps_scrubber_policy"]), ("nps_scrubber_dnc", self.t["nps_scrubber_dnc"]),
-                  ("nps_f2", self.nps_f2), ("nps_f2a", self.nps_f2a), ("nps_f3", self.nps_f3),
-                  ("nps_f4", self.nps_f4), ("nps_f4a", self.nps_f4a)]
-        parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
-                 for name, df in stages]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        """Row count of every stage, one row per stage.
+
+        Stored stages were counted while they were written, so only the two
+        hand-loaded lists are counted here."""
+        stages = [("ah_inforce", "ah_inforce", "rows"), ("inforce_quarterly", "inforce_quarterly", "rows"),
+                  ("inforce_well_dw", "claim_rollups", "well_rows"), ("inforce_med_dw", "claim_rollups", "med_rows"),
+                  ("nps_f1", "nps_f1", "rows"), ("nps_f1a", "nps_f1a", "rows"), ("nps_scrubber", "nps_scrubber", "rows"),
+                  ("nps_f2", "nps_f2", "rows"), ("nps_f2a", "nps_f2a", "rows"), ("nps_f3", "nps_f3", "rows"),
+                  ("nps_f4", "nps_f4", "rows"), ("nps_f4a", "nps_f4a", "rows")]
+        counted = [(name, self.t[name]) for name in ("nps_scrubber_policy", "nps_scrubber_dnc")]
+        self.prepare()
+        if self.config.materialize == "table":
+            known = [(stage, self.store.counts(table)[column]) for stage, table, column in stages]
+            parts = [self.spark.createDataFrame(known, "stage string, row_count long")]
+        else:
+            parts, counted = [], counted + [(stage, getattr(self, stage)) for stage, _, _ in stages]
+        parts += [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
+                  for name, df in counted]
+        return reduce(DataFrame.unionByName, parts)

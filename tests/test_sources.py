@@ -87,16 +87,21 @@ def test_command_line_main(spark, capsys):
     assert os.path.isdir(f"{base}/out/reports/by_population/F3/species_mix")
 
 
-def test_stages_saved_as_catalog_tables(spark):
-    from canvass.__main__ import STAGES, save_stages
+def test_stages_named_in_a_catalog_are_not_copied(spark):
+    from canvass.__main__ import STAGES, register_stages
     from canvass.plans.registry import pull_for
     loc = tempfile.mkdtemp(prefix="db-", dir="/tmp")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS canvass_stage_test LOCATION '{loc}'")
     p = pull_for(spark, SF_SMALL)
-    save_stages(p, database="canvass_stage_test")
-    assert spark.table("canvass_stage_test.nps_f3").count() == p.nps_f3.count()
+    register_stages(p, "canvass_stage_test")
+    register_stages(p, "canvass_stage_test")
     saved = {r.tableName for r in spark.sql("SHOW TABLES IN canvass_stage_test").collect() if not r.isTemporary}
-    assert saved == set(STAGES)
+    assert saved == set(STAGES) | {"claim_rollups", "nps_f1_stored"}
+    for name in STAGES:
+        named, stage = spark.table(f"canvass_stage_test.{name}"), getattr(p, name)
+        assert named.columns == stage.columns
+        assert named.exceptAll(stage).count() == 0 and stage.exceptAll(named).count() == 0
+    assert os.listdir(loc) == []        # the tables lie where the pull wrote them
 
 
 def test_lists_of_a_folder_replace_the_warehouse_lists(spark, tmp_path):
