@@ -11,15 +11,27 @@ from __future__ import annotations
 
 import argparse
 import json
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from canvass.config import Config
 from canvass.functions.dates import parse_report_date
 from canvass.operators.household import MIN_POLICY
+from canvass.operators.suppression import suppression_list
 from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
-from canvass.sources.lists import BAD_EMAIL_LIST, EMAIL_LIST, INSURED_LIST, POLICY_LIST, export_sample, read_list
+from canvass.sources.lists import (
+    BAD_EMAIL_LIST,
+    EMAIL_LIST,
+    INSURED_LIST,
+    POLICY_LIST,
+    SuppressionStore,
+    export_sample,
+    read_list,
+    rejected_lines,
+)
 from canvass.sources.warehouse import Warehouse
 
 STAGES = ["ah_inforce", "inforce_quarterly", "inforce_well_dw", "inforce_med_dw", "nps_f1", "nps_f1a",
@@ -44,14 +56,31 @@ LIST_FOLDERS = {"insured": ("nps_scrubber0", INSURED_LIST), "policy": ("nps_scru
                 "email": ("nps_scrubber_dnc", EMAIL_LIST), "bad_email": ("bad_email", BAD_EMAIL_LIST)}
 
 
-def with_lists(spark: SparkSession, tables: Warehouse, root: str) -> Warehouse:
+def with_lists(spark: SparkSession, tables: Warehouse, root: str, skip_bad: bool = False) -> Warehouse:
     """``tables`` with the hand-loaded lists imported from the folders of ``root``
     (:data:`LIST_FOLDERS`, all four); the source is the file's name."""
     for folder, (table, schema) in LIST_FOLDERS.items():
-        tables = tables.with_table(table, read_list(spark, f"{root.rstrip('/')}/{folder}/*", schema))
+        tables = tables.with_table(table, read_list(spark, f"{root.rstrip('/')}/{folder}/*", schema, skip_bad=skip_bad))
     return tables
 
 
+def list_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """The lines that :func:`with_lists` skips: ``folder, file, line_no, line, source``."""
+    parts = [rejected_lines(spark, f"{root.rstrip('/')}/{folder}/*", schema).select(F.lit(folder).alias("folder"), "*")
+             for folder, (_, schema) in LIST_FOLDERS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def with_kept_lists(spark: SparkSession, tables: Warehouse, store: str) -> Warehouse:
+    """``tables`` with the suppression list kept at ``store``, after the lists of ``tables`` are
+    loaded there: each replaces its own source, lists loaded before stay."""
+    kept = SuppressionStore(spark, store)
+    lists = [tables[name] for name in ("nps_scrubber0", "nps_scrubber_policy", "nps_scrubber_dnc")]
+    names = {r["source"] for df in lists for r in df.select("source").distinct().collect() if r["source"]}   # one row per list
+    kept.load(suppression_list(*lists, tables["dw_policy_header"], tables["dw_dim_insured"]), sorted(names))
+    return tables.with_table("nps_scrubber", kept.read())
+
+
 #: Stages that are parts of a stored one: the stored stage, and the part as SQL.
 VIEWS = {
     "inforce_well_dw": ("claim_rollups", "policy_no, vrcccount, well_claimedamount AS claimamount, well_paidamount AS paidamount, "
@@ -109,6 +138,10 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--database", help="catalog database holding the tables")
     ap.add_argument("--lists", help="folder with the lists as delimited files, read instead of the warehouse's: "
                                     "insured/, policy/, email/, bad_email/ with one file per source (A1.csv, G1.csv, H.csv)")
+    ap.add_argument("--skip-bad-lines", action="store_true", help="leave out lines of the lists that do not fit, and write them "
+                                                                  "with file and line number to --out/rejected")
+    ap.add_argument("--list-store", help="folder that keeps the suppression list over many runs: each list given replaces "
+                                         "what was loaded under its name")
     ap.add_argument("--out", required=True)
     ap.add_argument("--report-date", default="02/28/2013", help="month/day/year")
     ap.add_argument("--as-of", default="03/01/2013", help="month/day/year")
@@ -128,7 +161,11 @@ def main(argv: list[str] | None = None) -> None:
     tables = (Warehouse.from_parquet(spark, args.warehouse) if args.warehouse
               else Warehouse.from_catalog(spark, args.database))
     if args.lists:
-        tables = with_lists(spark, tables, args.lists)
+        tables = with_lists(spark, tables, args.lists, args.skip_bad_lines)
+        if args.skip_bad_lines:
+            list_rejects(spark, args.lists).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/rejected")
+    if args.list_store:
+        tables = with_kept_lists(spark, tables, args.list_store)
     config = Config(report_date=parse_report_date(args.report_date), as_of=parse_report_date(args.as_of),
                     n_main=args.n_main, n_new=args.n_new, seed=args.seed)
     print(json.dumps(run(spark, tables, config, args.out, populations, database=args.stage_database)))

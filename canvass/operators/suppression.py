@@ -12,31 +12,39 @@ from canvass.operators.exclusion import exclude
 from canvass.operators.joins import dimension
 
 
+def base_list(base: DataFrame) -> DataFrame:
+    """The imported list as loaded (codes may be padded)."""
+    return base.select("insured_code", "source")
+
+
+def holders_of_policies(by_policy: DataFrame, header: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Policy numbers (padded) mapped to their holders via the header, distinct."""
+    listed = by_policy.select(F.trim(F.col("policy_no")).alias("policy_no"), "source")
+    return (header.select("policy_no", "insured_code").join(_small(listed, max_broadcast_bytes), "policy_no")
+            .select("insured_code", "source").distinct())
+
+
+def holders_of_emails(by_email: DataFrame, insured: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """E-mails matched case-insensitively to policyholders, not distinct (one row per match)."""
+    listed = by_email.select(F.lower(F.col("email")).alias("_email"), "source")
+    return (insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code")
+            .join(_small(listed, max_broadcast_bytes), "_email").select("insured_code", "source"))
+
+
+def _small(df: DataFrame, max_broadcast_bytes: int | None) -> DataFrame:
+    return dimension(df, max_broadcast_bytes) if max_broadcast_bytes is not None else df
+
+
 def suppression_list(base: DataFrame, by_policy: DataFrame, by_email: DataFrame,
                      header: DataFrame, insured: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """NPS_SCRUBBER after both appends: ``(insured_code, source)``.
 
-    * ``base``: the imported list as loaded (codes may be padded);
-    * ``by_policy``: policy numbers (padded) mapped to their holders via the
-      header, distinct;
-    * ``by_email``: e-mails matched case-insensitively to policyholders, not
-      distinct (one row per match).
-
     The lists are hand-loaded and usually small: with ``max_broadcast_bytes``
     a list that passes the size check is broadcast, so the header and the
     policyholder table are scanned once instead of shuffled.
     """
-    def small(df: DataFrame) -> DataFrame:
-        return dimension(df, max_broadcast_bytes) if max_broadcast_bytes is not None else df
-
-    b = base.select("insured_code", "source")
-    pl = small(by_policy.select(F.trim(F.col("policy_no")).alias("policy_no"), "source"))
-    p = (header.select("policy_no", "insured_code").join(pl, "policy_no")
-         .select("insured_code", "source").distinct())
-    el = small(by_email.select(F.lower(F.col("email")).alias("_email"), "source"))
-    e = (insured.select(F.lower(F.col("insured_email")).alias("_email"), "insured_code").join(el, "_email")
-         .select("insured_code", "source"))
-    return b.unionByName(p).unionByName(e)
+    return (base_list(base).unionByName(holders_of_policies(by_policy, header, max_broadcast_bytes))
+            .unionByName(holders_of_emails(by_email, insured, max_broadcast_bytes)))
 
 
 def list_validation(scrubber: DataFrame) -> DataFrame:

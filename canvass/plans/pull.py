@@ -199,12 +199,18 @@ class SurveyPull:
     # -- suppression and sampling ------------------------------------------------
     @cached_property
     def nps_scrubber(self) -> DataFrame:
+        """The warehouse's ``nps_scrubber``, if it keeps one (``sources.lists.SuppressionStore``);
+        else made of the three lists."""
+        def build() -> DataFrame:
+            if "nps_scrubber" in self.t:
+                return self.t["nps_scrubber"].select("insured_code", "source")
+            return suppression_list(self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
+                                    self.t["dw_policy_header"], self.t["dw_dim_insured"],
+                                    max_broadcast_bytes=self.config.broadcast_max_bytes)
+
         # small, but resolving it scans the header and policyholder tables:
         # stored once instead of re-resolved by every reader
-        return self._materialise(lambda: suppression_list(
-            self.t["nps_scrubber0"], self.t["nps_scrubber_policy"], self.t["nps_scrubber_dnc"],
-            self.t["dw_policy_header"], self.t["dw_dim_insured"],
-            max_broadcast_bytes=self.config.broadcast_max_bytes), "nps_scrubber")
+        return self._materialise(build, "nps_scrubber")
 
     @property
     def list_validation(self) -> DataFrame:

@@ -21,7 +21,8 @@ from canvass.plans import reports as R
 from canvass.plans.pull import SurveyPull
 from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
-from canvass.sources.lists import INSURED_LIST, export_sample, read_list
+from canvass.operators.suppression import base_list, holders_of_emails, holders_of_policies, list_validation
+from canvass.sources.lists import INSURED_LIST, SuppressionStore, export_sample, read_list, rejected_lines
 
 _PULLS: dict[tuple, SurveyPull] = {}
 _LOCK = threading.Lock()
@@ -73,6 +74,54 @@ def imported_lists(p: SurveyPull) -> DataFrame:
     return read_list(p.spark, f"{root}/*.csv", INSURED_LIST)
 
 
+def reloaded_lists(p: SurveyPull) -> DataFrame:
+    """The suppression list loaded list by list, some of them again, over two sessions."""
+    root, bound = _folder(p, "suppression"), p.config.broadcast_max_bytes
+    store = SuppressionStore(p.spark, root)
+    base = base_list(p.t["nps_scrubber0"])
+    first = base.agg(F.min("source").alias("s")).first()["s"]
+    store.load(base.filter(F.col("source") == first).limit(1))       # ended too early ...
+    store.load(base)
+    store.load(base.filter(F.col("source") == first))                 # ... and once more
+    policies = holders_of_policies(p.t["nps_scrubber_policy"], p.t["dw_policy_header"], bound)
+    emails = holders_of_emails(p.t["nps_scrubber_dnc"], p.t["dw_dim_insured"], bound)
+    store.load(policies)
+    later = SuppressionStore(p.spark.newSession(), root)
+    later.load(emails)
+    later.load(emails)
+    return store.read()
+
+
+BUCKETS = 16
+
+
+def _lists_with_bad_lines(p: SurveyPull) -> str:
+    """The base lists as text files with a header, every fifth code with a field too many:
+    one file for each source and bucket of codes, in order of the codes."""
+    hh = F.substr("insured_code", F.lit(2)).cast("long")
+    lists = p.t["nps_scrubber0"].select("insured_code", "source", hh.alias("hh"))
+    key = ["source", "bucket"]
+    line = F.when(F.col("hh") % 5 == 0, F.concat("insured_code", F.lit(",extra"))).otherwise(F.col("insured_code"))
+    rows = lists.select("source", (F.col("hh") % BUCKETS).alias("bucket"), F.col("insured_code").alias("place"), line.alias("value"))
+    heads = rows.select(*key).distinct().select(*key, F.lit("").alias("place"), F.lit("insured_code").alias("value"))
+    root = _folder(p, "bad-lists")
+    (rows.unionByName(heads).repartition(*key).sortWithinPartitions(*key, "place").drop("place")
+     .write.partitionBy(*key).text(root))
+    return root
+
+
+def rejected(p: SurveyPull) -> DataFrame:
+    """The lines of the lists that do not fit, with file (here: source and bucket) and line number (S3)."""
+    bad = rejected_lines(p.spark, _lists_with_bad_lines(p), INSURED_LIST)
+    part = lambda name: F.regexp_extract("file", f"{name}=([^/]+)/", 1)
+    return bad.select(part("source").alias("source"), part("bucket").cast("int").alias("bucket"), "line_no", "line")
+
+
+def accepted(p: SurveyPull) -> DataFrame:
+    """The other lines of the same files."""
+    return read_list(p.spark, f"{_lists_with_bad_lines(p)}/source=*/bucket=*", INSURED_LIST, skip_bad=True).select("insured_code")
+
+
 def exported_sample(p: SurveyPull) -> DataFrame:
     """The main sample exported as a delimited file and read back."""
     path = export_sample(p.nps_f3, _folder(p, "export"), single_file=True)
@@ -117,6 +166,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q34_sample_export": _q(lambda p: exported_sample(p)),
     "q35_report_dates": _q(lambda p: report_dates(p)),
     "q49_eligible_by_filter": _q(lambda p: eligible_by_filter(p)),
+    "q50_reloaded_lists": _q(lambda p: reloaded_lists(p)),
+    "q51_reloaded_list_validation": _q(lambda p: list_validation(reloaded_lists(p))),
+    "q52_rejected_lines": _q(lambda p: rejected(p)),
+    "q53_accepted_lines": _q(lambda p: accepted(p)),
 }
 #: The single-population reports (R3 to R16 but R9) in the source's order, on the population the source names.
 _REPORT_KEYS = {
