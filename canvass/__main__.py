@@ -48,7 +48,7 @@ def report_frames(p: SurveyPull) -> dict:
         "top_states_pif": R.top_states_paid_in_full(f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"),
                                                     p.dim("dw_dim_payment_type"),
                                                     max_broadcast_bytes=p.config.broadcast_max_bytes),
-        **{name: report(getattr(p, R.POPULATIONS[pop])) for name, (report, pop) in R.REPORTS.items()},
+        **{name: p.report(name) for name in R.REPORTS},
     }
 
 
@@ -125,9 +125,8 @@ def run(spark: SparkSession, tables: Warehouse, config: Config, out: str,
     for name, df in report_frames(p).items():
         df.write.mode("overwrite").parquet(f"{out}/reports/{name}")
     for label in populations:
-        pop = getattr(p, R.POPULATIONS[label])
-        for name, (report, _) in R.REPORTS.items():
-            report(pop).write.mode("overwrite").parquet(f"{out}/reports/by_population/{label}/{name}")
+        for name in R.REPORTS:
+            p.report(name, label).write.mode("overwrite").parquet(f"{out}/reports/by_population/{label}/{name}")
     return {r["stage"]: r["row_count"] for r in spark.read.parquet(f"{out}/reports/funnel").collect()}
 
 

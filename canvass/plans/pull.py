@@ -38,6 +38,8 @@ from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
 from canvass.operators.suppression import eligible, future_cancellations, list_validation, suppression_list
+from canvass.plans.cube import by_population, report, report_cube
+from canvass.plans.reports import POPULATIONS, REPORTS
 from canvass.plans.stages import StageStore, input_digest, run_key
 from canvass.session import configure, ensure_checkpoint_dir
 from canvass.sources.warehouse import Warehouse
@@ -119,7 +121,7 @@ class SurveyPull:
             for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
                       pool.submit(lambda: self.referrals), pool.submit(lambda: self.nps_scrubber)]:
                 f.result()
-        for stage in ("nps_f1_full", "nps_f1a", "nps_f2", "nps_f2a", "nps_f3", "nps_f4", "nps_f4a"):
+        for stage in ("nps_f1_full", "nps_f1a", "nps_f2", "nps_f2a", "nps_f3", "nps_f4", "nps_f4a", "report_cube"):
             getattr(self, stage)
         return self
 
@@ -253,6 +255,23 @@ class SurveyPull:
         return self._materialise(lambda: random_sample(self.nps_f4, self.config.n_new, self.config.seed + 1), "nps_f4a",
                                  max_rows=self.config.n_new)
 
+    # -- reports ---------------------------------------------------------------------
+    @property
+    def populations(self) -> dict[str, DataFrame]:
+        """The stages a report can be run on, by name."""
+        return {name: getattr(self, stage) for name, stage in POPULATIONS.items()}
+
+    @cached_property
+    def report_cube(self) -> DataFrame:
+        return self._materialise(lambda: report_cube(self.populations), "report_cube")
+
+    def report(self, name: str, population: str | None = None) -> DataFrame:
+        """A report of :data:`canvass.plans.reports.REPORTS` over a population (None: the one the source names)."""
+        return report(self.report_cube, name, population or REPORTS[name][1], self.nps_f1a)
+
+    def report_by_population(self, name: str) -> DataFrame:
+        return by_population(self.report_cube, name, list(POPULATIONS), self.nps_f1a)
+
     # -- funnel ------------------------------------------------------------------
     def funnel(self) -> DataFrame:
         """Row count of every stage, one row per stage.

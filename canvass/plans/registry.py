@@ -183,12 +183,11 @@ _REPORT_KEYS = {
 
 
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    report, population = R.REPORTS[name]
-    return _q(lambda p: report(getattr(p, R.POPULATIONS[population])))
+    return _q(lambda p: p.report(name))
 
 
 def _by_population(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return _q(lambda p: R.by_population(R.REPORTS[name][0], {k: getattr(p, v) for k, v in R.POPULATIONS.items()}))
+    return _q(lambda p: p.report_by_population(name))
 
 
 QUERIES |= {key: _report(name) for key, name in _REPORT_KEYS.items()}

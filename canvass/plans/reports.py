@@ -14,8 +14,6 @@ data value (state, product) use a distributed ``orderBy``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -169,9 +167,3 @@ REPORTS = {
 }
 #: The stages a report can be run on.
 POPULATIONS = {"F1A": "nps_f1a", "F2": "nps_f2", "F2A": "nps_f2a", "F3": "nps_f3"}
-
-
-def by_population(report, populations: dict[str, DataFrame]) -> DataFrame:
-    """``report`` over each population, its rows tagged with the population's name."""
-    parts = [report(df).select(F.lit(name).alias("population"), "*") for name, df in populations.items()]
-    return reduce(DataFrame.unionByName, parts)

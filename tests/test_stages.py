@@ -20,7 +20,7 @@ from tests.conftest import SF_SMALL, rows
 from tests.test_plans import plan
 
 ALL = ["ah_inforce", "cancellations", "claim_rollups", "households", "inforce_quarterly", "nps_f1", "nps_f1a", "nps_f2", "nps_f2a",
-       "nps_f3", "nps_f4", "nps_f4a", "nps_scrubber", "referrals"]
+       "nps_f3", "nps_f4", "nps_f4a", "nps_scrubber", "referrals", "report_cube"]
 
 
 @pytest.fixture(scope="module")
