@@ -21,9 +21,11 @@ class Config:
     n_main: int = 80_000
     n_new: int = 60_000
     seed: int = 42
-    # Tables of at most this many bytes (as stored) are broadcast; larger
-    # ones are joined by shuffle (see operators.joins.dimension).
-    broadcast_max_bytes: int = 64 << 20
+    # Tables of at most this many bytes are broadcast; larger ones are joined
+    # by shuffle (see operators.joins.dimension).  The bytes are those of the
+    # compressed files; in memory a table can be ten times as large, so the
+    # bound stays well below what an executor can hold.
+    broadcast_max_bytes: int = 16 << 20
     # A key (policyholder) with more rows than this is split over several
     # tasks when its per-key aggregate is joined back (operators.skew).
     hot_key_rows: int = 1_000_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,11 @@ def size_in_bytes(df: DataFrame) -> int:
 
 
 def bytes_at_most(df: DataFrame, max_bytes: int) -> bool:
-    return size_in_bytes(df) <= max_bytes
+    """Whether ``df`` surely has at most ``max_bytes``; False where the optimizer cannot be asked (Spark Connect)."""
+    try:
+        return size_in_bytes(df) <= max_bytes
+    except (AttributeError, PySparkAttributeError):
+        return False
 
 
 def dimension(df: DataFrame, max_bytes: int) -> DataFrame:

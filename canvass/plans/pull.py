@@ -286,8 +286,9 @@ class SurveyPull:
         counted = [(name, self.t[name]) for name in ("nps_scrubber_policy", "nps_scrubber_dnc")]
         self.prepare()
         if self.config.materialize == "table":
-            known = [(stage, self.store.counts(table)[column]) for stage, table, column in stages]
-            parts = [self.spark.createDataFrame(known, "stage string, row_count long")]
+            known = [F.struct(F.lit(stage).alias("stage"), F.lit(self.store.counts(table)[column]).cast("long").alias("row_count"))
+                     for stage, table, column in stages]
+            parts = [self.spark.range(1).select(F.inline(F.array(*known)))]
         else:
             parts, counted = [], counted + [(stage, getattr(self, stage)) for stage, _, _ in stages]
         parts += [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")

@@ -11,17 +11,21 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.config import FIXTURE_CONFIG, Config
 from canvass.functions.dates import to_report_date
+from canvass.operators.positions import with_position
+from canvass.operators.snapshot import inforce_snapshot
+from canvass.operators.suppression import base_list, holders_of_emails, holders_of_policies, list_validation
 from canvass.plans import reports as R
+from canvass.plans.cube import REPORTS as CUBE_REPORTS
 from canvass.plans.pull import SurveyPull
 from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
-from canvass.operators.suppression import base_list, holders_of_emails, holders_of_policies, list_validation
 from canvass.sources.lists import INSURED_LIST, SuppressionStore, export_sample, read_list, rejected_lines
 
 _PULLS: dict[tuple, SurveyPull] = {}
@@ -122,6 +126,43 @@ def accepted(p: SurveyPull) -> DataFrame:
     return read_list(p.spark, f"{_lists_with_bad_lines(p)}/source=*/bucket=*", INSURED_LIST, skip_bad=True).select("insured_code")
 
 
+def suppression_positions(p: SurveyPull) -> DataFrame:
+    """The suppression list in the order of its validation (L1): by source, then by code."""
+    order = [F.col("source").asc_nulls_last(), F.col("insured_code").asc_nulls_last()]
+    return with_position(p.nps_scrubber, order)
+
+
+def report_positions(p: SurveyPull) -> DataFrame:
+    """Every ordered report with the place of each row (L1, L2): ``report, position, label_1, label_2, value``.
+
+    Labels sort by their values, numbers as numbers, NULLs last; the top states by count first."""
+    none = F.lit(None)
+
+    def rows(name: str, df: DataFrame, labels: list[str], value: str, first: Column) -> DataFrame:
+        number = [F.col(c).cast("long") if dict(df.dtypes)[c] != "string" else none.cast("long") for c in labels] + [none.cast("long")]
+        text = [F.col(c).cast("string") for c in labels] + [none.cast("string")]
+        return df.select(F.lit(name).alias("report"), text[0].alias("label_1"), text[1].alias("label_2"), F.col(value).alias("value"),
+                         first.cast("long").alias("_first"), number[0].alias("_number"))
+
+    parts = [rows(name, p.report(name), list(r.labels), r.value, F.lit(0)) for name, r in CUBE_REPORTS.items() if name != "multipet_households"]
+    parts.append(rows("list_validation", p.list_validation, ["source"], "row_count", F.lit(0)))
+    parts.append(rows("term_by_stage", R.term_by_stage(p.nps_f1a, p.nps_f2a, p.nps_f3), ["policy_renew_no"], "tot_pet_1", F.lit(0)))
+    top = R.top_states_paid_in_full(p.nps_f3, p.t["dw_policy_header"], p.dim("dw_dim_paymentplan"), p.dim("dw_dim_payment_type"),
+                                    max_broadcast_bytes=p.config.broadcast_max_bytes)
+    parts.append(rows("top_states_pif", top, ["insured_state"], "pif_count", -F.col("pif_count")))
+    order = [F.col("_first"), F.col("_number").asc_nulls_last(), F.col("label_1").asc_nulls_last(), F.col("label_2").asc_nulls_last()]
+    placed = with_position(reduce(DataFrame.unionByName, parts), order, per=("report",))
+    return placed.select("report", "position", "label_1", "label_2", "value")
+
+
+def text_terms(p: SurveyPull) -> DataFrame:
+    """The snapshot of a header that stores term numbers as text, some of them padded, empty or no numbers."""
+    n, key = F.col("policy_renew_no").cast("string"), F.col("policyid") % 13
+    dirty = F.when(key == 0, F.lit("unknown")).when(key == 1, F.concat(F.lit("  "), n, F.lit(" "))).when(key == 2, F.lit("")).otherwise(n)
+    header = p.t["dw_policy_header"].withColumn("policy_renew_no", dirty)
+    return inforce_snapshot(header, p.t["dw_data_inforce"], p.config.report_date)
+
+
 def exported_sample(p: SurveyPull) -> DataFrame:
     """The main sample exported as a delimited file and read back."""
     path = export_sample(p.nps_f3, _folder(p, "export"), single_file=True)
@@ -170,6 +211,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q51_reloaded_list_validation": _q(lambda p: list_validation(reloaded_lists(p))),
     "q52_rejected_lines": _q(lambda p: rejected(p)),
     "q53_accepted_lines": _q(lambda p: accepted(p)),
+    "q54_suppression_positions": _q(lambda p: suppression_positions(p)),
+    "q55_report_positions": _q(lambda p: report_positions(p)),
+    "q56_text_terms": _q(lambda p: text_terms(p)),
 }
 #: The single-population reports (R3 to R16 but R9) in the source's order, on the population the source names.
 _REPORT_KEYS = {
