@@ -34,7 +34,17 @@ def claim_rollups(header: DataFrame, claim_header: DataFrame, revision: DataFram
     revisions with a NULL status and diagnoses with a NULL coverage type
     (``<>`` and ``=`` both reject NULL); claims are grouped by
     ``(policy_no, claim_no)`` over all terms of the policy number.
+
+    Claim tables that carry the policy's id in every row, the details the
+    claim's id too (:func:`canvass.sources.layout.cluster_claims`), are joined
+    by these as well: stored in buckets by policy, they need no shuffle up to
+    the grouping by policy number.
     """
+    # By what the tables are joined besides their own keys: nothing, or the policy (and claim).
+    placed = all("policyid" in t.columns for t in (revision, diagnosis, details)) and "claim_id" in details.columns
+    policy = ["policyid"] if placed else []
+    claim = [*policy, "claim_id"]
+    detail = [*claim, "claim_diagnosis_id"] if placed else ["claim_diagnosis_id"]
     # Sum money as exact integers in the amount's minor unit (cents for
     # scale 2): long arithmetic stays on Spark's fast path, while decimal
     # sums widen past 18 digits at every level and fall back to BigDecimal.
@@ -44,23 +54,22 @@ def claim_rollups(header: DataFrame, claim_header: DataFrame, revision: DataFram
            .select(F.col("coverage_id").alias("claim_coverage_id"),
                    (F.col("coverage_product_type") == WELLNESS_COVERAGE).alias("is_well")))
     live = (revision.filter(F.col("claim_revision_status") != REOPENED_STATUS)
-            .select("claim_id", "claim_revision_no"))
-    kept = (diagnosis.select("claim_id", "claim_revision_no", "claim_diagnosis_id", "claim_coverage_id")
+            .select(*claim, "claim_revision_no"))
+    kept = (diagnosis.select(*claim, "claim_revision_no", "claim_diagnosis_id", "claim_coverage_id")
             .join(cov, "claim_coverage_id")
-            .join(live, ["claim_id", "claim_revision_no"])
-            .select("claim_diagnosis_id", "claim_id", "is_well"))
-    lines = details.select("claim_diagnosis_id", *[_to_minor(F.col(a), scale).alias(a) for a in AMOUNTS]).join(
-        kept, "claim_diagnosis_id")
+            .join(live, [*claim, "claim_revision_no"])
+            .select("claim_diagnosis_id", *claim, "is_well"))
+    lines = details.select(*detail, *[_to_minor(F.col(a), scale).alias(a) for a in AMOUNTS]).join(kept, detail)
 
     def split(a: str) -> list:
         return [F.sum(F.when(F.col("is_well"), F.col(a))).alias(f"w_{a}"),
                 F.sum(F.when(~F.col("is_well"), F.col(a))).alias(f"m_{a}")]
 
-    per_claim = lines.groupBy("claim_id").agg(
+    per_claim = lines.groupBy(*claim).agg(
         F.max(F.col("is_well").cast("int")).alias("has_well"),
         F.max((~F.col("is_well")).cast("int")).alias("has_med"),
         *[c for a in AMOUNTS for c in split(a)])
-    with_no = per_claim.join(claim_header.select("claim_id", "policyid", "claim_no"), "claim_id")
+    with_no = per_claim.join(claim_header.select("claim_id", "policyid", "claim_no"), claim)
     with_policy = with_no.join(header.select("policyid", "policy_no"), "policyid")
 
     sums = [F.sum(f"{p}_{a}").alias(f"{p}_{a}") for p in ("w", "m") for a in AMOUNTS]

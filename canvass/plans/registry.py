@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from canvass.config import FIXTURE_CONFIG, Config
 from canvass.functions.dates import to_report_date
+from canvass.operators.claims import claim_rollups, medical_rollup, wellness_rollup
 from canvass.operators.positions import with_position
 from canvass.operators.snapshot import inforce_snapshot
 from canvass.operators.suppression import base_list, holders_of_emails, holders_of_policies, list_validation
@@ -26,6 +27,7 @@ from canvass.plans.cube import REPORTS as CUBE_REPORTS
 from canvass.plans.pull import SurveyPull
 from canvass.session import app_id, ensure_checkpoint_dir
 from canvass.sources.fixtures import FixtureWarehouse
+from canvass.sources.layout import cluster_claims
 from canvass.sources.lists import INSURED_LIST, SuppressionStore, export_sample, read_list, rejected_lines
 
 _PULLS: dict[tuple, SurveyPull] = {}
@@ -163,6 +165,18 @@ def text_terms(p: SurveyPull) -> DataFrame:
     return inforce_snapshot(header, p.t["dw_data_inforce"], p.config.report_date)
 
 
+BUCKETED = 8
+
+
+def clustered_rollups(p: SurveyPull) -> DataFrame:
+    """The claim rollups over claim tables stored in buckets by policy."""
+    database = f"canvass_claims_{uuid.uuid4().hex[:12]}"
+    p.spark.sql(f"CREATE DATABASE {database} LOCATION '{_folder(p, 'claims')}'")
+    t = cluster_claims(p.spark, p.t, database, BUCKETED)
+    return claim_rollups(t["dw_policy_header"], t["dw_claim_header"], t["dw_claim_revision"], t["dw_claim_diagnosis"],
+                         t["dw_claim_details"], p.dim("dw_dim_coverage"))
+
+
 def exported_sample(p: SurveyPull) -> DataFrame:
     """The main sample exported as a delimited file and read back."""
     path = export_sample(p.nps_f3, _folder(p, "export"), single_file=True)
@@ -214,6 +228,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q54_suppression_positions": _q(lambda p: suppression_positions(p)),
     "q55_report_positions": _q(lambda p: report_positions(p)),
     "q56_text_terms": _q(lambda p: text_terms(p)),
+    "q57_clustered_wellcare_rollup": _q(lambda p: wellness_rollup(clustered_rollups(p))),
+    "q58_clustered_medical_rollup": _q(lambda p: medical_rollup(clustered_rollups(p))),
 }
 #: The single-population reports (R3 to R16 but R9) in the source's order, on the population the source names.
 _REPORT_KEYS = {

@@ -30,6 +30,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sibling_session(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """A session beside ``spark`` with the same settings and catalog, but for ``conf``:
+    plans of one session can be made under a setting that the others do not get."""
+    own = spark.newSession()
+    for row in spark.sql("SET").collect():          # the settings made, not all there are
+        if spark.conf.isModifiable(row["key"]):
+            own.conf.set(row["key"], row["value"])
+    for key, value in conf.items():
+        own.conf.set(key, value)
+    return own
+
+
 def app_id(spark: SparkSession) -> str:
     """The application id (also for sessions without a SparkContext handle)."""
     try:
