@@ -111,18 +111,29 @@ class SurveyPull:
         """Build every shared stage, independent ones as concurrent Spark jobs.
 
         The enriched profile, the claim rollups, the referral counts and the
-        suppression list do not depend on each other, so they are
-        materialised at the same time; the later stages follow in dependency
-        order.  Idempotent.
+        suppression list do not depend on each other, so they are built at the
+        same time, and the household columns as soon as the first and third
+        are there; the reports' cube is built beside the second pool.
+        Idempotent.
         """
         from concurrent.futures import ThreadPoolExecutor
 
+        def build(*stages: str, after=None) -> None:
+            if after is not None:
+                after.result()
+            for stage in stages:
+                getattr(self, stage)
+
+        def finish(jobs: list) -> None:
+            for job in jobs:
+                job.result()
+
         with ThreadPoolExecutor(max_workers=4) as pool:
-            for f in [pool.submit(lambda: self.inforce_quarterly), pool.submit(lambda: self.claim_rollups),
-                      pool.submit(lambda: self.referrals), pool.submit(lambda: self.nps_scrubber)]:
-                f.result()
-        for stage in ("nps_f1_full", "nps_f1a", "nps_f2", "nps_f2a", "nps_f3", "nps_f4", "nps_f4a", "report_cube"):
-            getattr(self, stage)
+            referrals = pool.submit(build, "referrals")
+            finish([referrals, pool.submit(build, "claim_rollups"), pool.submit(build, "nps_scrubber"),
+                    pool.submit(lambda: (build("inforce_quarterly"), build("households", after=referrals)))])
+            build("nps_f1_full", "nps_f1a", "nps_f2", "nps_f2a", "nps_f3")
+            finish([pool.submit(build, "report_cube"), pool.submit(build, "nps_f4", "nps_f4a")])
         return self
 
     def release(self) -> None:

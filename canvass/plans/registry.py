@@ -11,7 +11,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,7 @@ def release_all() -> None:
     for p in _PULLS.values():
         p.release()
     _PULLS.clear()
+    clustered_rollups.cache_clear()
 
 
 def _q(fn: Callable[[SurveyPull], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -168,6 +169,7 @@ def text_terms(p: SurveyPull) -> DataFrame:
 BUCKETED = 8
 
 
+@lru_cache(maxsize=4)
 def clustered_rollups(p: SurveyPull) -> DataFrame:
     """The claim rollups over claim tables stored in buckets by policy."""
     database = f"canvass_claims_{uuid.uuid4().hex[:12]}"

@@ -57,6 +57,32 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
         read_jdbc(spark, "jdbc:none://x", "t", partition_column="id")
 
 
+def test_slices_of_a_skewed_key_hold_equal_parts(spark):
+    from pyspark.sql import functions as F
+
+    from canvass.sources.warehouse import key_slices
+    i = F.col("id")
+    # half of the rows below 100, a tenth in one value, the rest spread over a billion
+    key = F.when(i < 5000, i % 100).when(i < 6000, F.lit(777)).when(i < 9900, i * 100_003).otherwise(F.lit(None))
+    keys = spark.range(10_000).select(key.alias("k"))
+    cuts = key_slices(keys, "k", 8)
+    assert 8 <= len(cuts) <= 16
+    sizes = [keys.filter(c).count() for c in cuts]
+    assert sum(sizes) == 10_000 and max(sizes) <= 2 * 10_000 / 8          # even ranges would put 6,000 rows into the first
+    seen = [r["k"] for c in cuts for r in keys.filter(c).collect()]
+    assert sorted(seen, key=lambda x: (x is None, x)) == sorted((r["k"] for r in keys.collect()), key=lambda x: (x is None, x))
+    one = spark.range(3000).select(F.lit(5).alias("k"))                    # one value: nothing to cut
+    assert sorted(one.filter(c).count() for c in key_slices(one, "k", 4))[-1] == 3000
+    dates = spark.range(1000).select(F.date_add(F.lit("2013-01-01").cast("date"), (i % 30).cast("int")).alias("d"))
+    parts = [dates.filter(c).count() for c in key_slices(dates, "d", 4)]
+    assert sum(parts) == 1000 and max(parts) < 400
+    assert key_slices(keys.limit(0), "k", 4) == ["1 = 1"] == key_slices(keys, "k", 1)
+    with pytest.raises(TypeError, match="cannot cut"):
+        key_slices(spark.createDataFrame([("a",)], "s string"), "s", 3)
+    with pytest.raises(ValueError, match="not both"):
+        read_jdbc(spark, "jdbc:none://x", "t", partition_column="k", predicates=cuts)
+
+
 def test_command_line_run_writes_stages_files_and_reports(spark):
     from canvass.__main__ import main, run
     from canvass.config import FIXTURE_CONFIG
@@ -123,3 +149,13 @@ def test_export_keeps_blanks_and_uris(spark, tmp_path):
     path = export_sample(df, f"file:{tmp_path}/out", single_file=True)
     assert path == f"file:{tmp_path}/out"
     assert rows(spark.read.schema(df.schema).option("header", True).csv(path)) == rows(df)
+
+
+def test_entry_keeps_the_pull_without_an_optional_library():
+    import subprocess
+    import sys
+    code = ("import sys, warnings; sys.modules['ahocorasick'] = None; warnings.simplefilter('ignore'); import __spark_entry__ as E; "
+            "from canvass.plans.registry import QUERIES; assert set(QUERIES) == set(E.queries()) == set(E.oracle_sql())")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
