@@ -32,6 +32,9 @@ BITS_PER_KEY = 16
 MIN_BITS_PER_KEY = 4
 #: A block as broadcast: key, words, and what the hash table adds.
 BLOCK_BYTES = 96
+#: The filter's size in memory is known, a list's only as compressed files, which can be ten
+#: times as large in memory: for each byte of bound the filter may have so many.
+IN_MEMORY = 8
 _BLOCK = "_block"
 _WORDS = [f"_word{i}" for i in range(WORDS)]
 
@@ -77,7 +80,8 @@ def exclude(rows: DataFrame, lists: dict[str, DataFrame], max_broadcast_bytes: i
 
     ``lists`` maps a column of ``rows`` to a one-column table of the same
     column name.  ``max_broadcast_bytes`` bounds what each list broadcasts:
-    the list itself if it passes the size check, else its filter
+    the list itself if its files pass the size check, else its filter (in
+    memory, :data:`IN_MEMORY` times the bound)
     (``max_list_bytes``: another bound for whole lists).  Without it the joins
     are left to the planner.  ``rows`` and the lists should be
     stored tables: a list over the bound is counted for the size of its
@@ -92,7 +96,7 @@ def exclude(rows: DataFrame, lists: dict[str, DataFrame], max_broadcast_bytes: i
             rows = rows.join(listed, key, "left_anti")
         elif bytes_at_most(listed, max_broadcast_bytes if max_list_bytes is None else max_list_bytes):
             rows = rows.join(F.broadcast(listed), key, "left_anti")
-        elif blocks := blocks_for(listed.count(), max_broadcast_bytes):
+        elif blocks := blocks_for(listed.count(), IN_MEMORY * max_broadcast_bytes):
             filters[key] = (bloom_filter(listed, key, blocks), blocks)
         else:
             rows = rows.join(listed, key, "left_anti")

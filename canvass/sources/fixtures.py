@@ -4,9 +4,10 @@ The test data has orders, lineitem, customer, part, supplier, nation, region
 and events.  The mapping below turns them into the policy warehouse the pull
 reads (one fixed mapping, the same one the DuckDB oracle uses): an order is a
 policy term, ``hh = o_custkey*4 + o_orderkey%4`` a household, a line item a
-claim revision, an event a referral voucher.  Every table grows with the
-input; nothing here is a made-up constant table except the one extra e-mail
-row of the do-not-contact list.
+claim revision, an event a referral voucher.  Every table is read from the
+input and grows with it, but for the code tables made of ``nation`` and
+``region``, which are of fixed size there; the one extra e-mail row of the
+do-not-contact list is made up.
 """
 
 from __future__ import annotations

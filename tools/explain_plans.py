@@ -79,6 +79,11 @@ def main() -> None:
     stages["nps_f1"] = household_profile(p.inforce_quarterly, p.claim_rollups, p.dim("dw_dim_zipcode"),
                                          p.dim("dw_dim_group"), stats=p.households,
                                          hot_key_rows=p.config.hot_key_rows)
+    from canvass.plans.cube import report_cube
+    from canvass.plans.registry import clustered_rollups
+    stages["nps_f2_by_filter"] = p.nps_f2_plan(max_list_bytes=0)
+    stages["claim_rollups_in_buckets"] = clustered_rollups(p)
+    stages["report_cube"] = report_cube(p.populations)
     if "--markdown" in sys.argv:
         write_markdown(sys.argv[sys.argv.index("--markdown") + 1], stages,
                        {"q24_top_states_pif": QUERIES["q24_top_states_pif"](spark, sf_dir)}, sf_dir)
