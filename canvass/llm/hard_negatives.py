@@ -46,7 +46,7 @@ POSITIVES, NEGATIVES = 5, 5
 #: A negative's score lies between these percentages of its positive's score.
 LOW, HIGH = 80, 100
 #: Rows on which the codebooks are fitted (about; chosen by hash), codes of a half at most, rows in a shard, anchors in a lane.
-SAMPLE, CODES, SHARD, LANE = 4096, 64, 65_536, 262_144
+SAMPLE, CODES, SHARD, LANE = 4096, 64, 16_384, 262_144
 #: Rows of several cells that are scored together.
 WAVE = 512
 SEED = 11
@@ -348,7 +348,7 @@ def hard_negatives(table: DataFrame, is_anchor: Column, *, scale: float = 256.0,
             F.lit(None).cast("long").alias("i"), F.lit(None).cast("long").alias("j"), "windows")
         vector_rows = placed.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"), F.lit(0).alias("asks"),
                                     "id", "key", "label", "x", "i", "j", none)
-        dealt = vector_rows.unionByName(anchor_rows).repartition("shard", "lane").sortWithinPartitions("shard", "lane", "asks")
+        dealt = vector_rows.unionByName(anchor_rows).repartition(max(1, index.shards * lanes), "shard", "lane").sortWithinPartitions("shard", "lane", "asks")
         return dealt.mapInPandas(_searcher(index, positives, negatives, low, high), FOUND)
 
     first = Window.partitionBy("anchor_id", "anchor_key").orderBy(F.desc("score"), "vec_id", "key")
