@@ -21,14 +21,6 @@ def first_policy_per_holder(f1: DataFrame) -> DataFrame:
     return f1.filter(keep).drop(MIN_POLICY)
 
 
-def first_policy_by_join(f1: DataFrame, nps: DataFrame) -> DataFrame:
-    """The same result as :func:`first_policy_per_holder` from any F1, by aggregate + join."""
-    mins = (nps.groupBy("insured_code").agg(F.min("policy_no").alias(MIN_POLICY))
-            .filter(F.col("insured_code").isNotNull()))
-    return (f1.drop(MIN_POLICY).join(mins, "insured_code")
-            .filter(F.col("policy_no") == F.col(MIN_POLICY)).drop(MIN_POLICY))
-
-
 def contactable(f2: DataFrame, strict_email: bool = False) -> DataFrame:
     """NPS_F2A: one policy number per lower-cased e-mail, e-mail shape checked.
 

@@ -24,9 +24,3 @@ def referral_counts(vouchers: DataFrame, header: DataFrame) -> DataFrame:
     return (vi.join(ph, cond)
             .groupBy("vi_insured")
             .agg(F.countDistinct("vi_ref_policy_no").alias("policy_referred_count")))
-
-
-def with_referrals(nps: DataFrame, referrals: DataFrame) -> DataFrame:
-    """NPS_F1: the household profile plus ``policy_referred_count`` (NULL when none)."""
-    r = referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count")
-    return nps.join(r, "insured_code", "left")

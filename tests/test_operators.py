@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from canvass.operators.claims import claim_rollups, medical_rollup, wellness_rollup
-from canvass.operators.dedupe import contactable, first_policy_by_join, first_policy_per_holder
+from canvass.operators.dedupe import contactable, first_policy_per_holder
 from canvass.operators.enrich import PROFILE_COLUMNS
 from canvass.operators.household import MIN_POLICY, household_profile
-from canvass.operators.referrals import referral_counts, with_referrals
+from canvass.operators.referrals import referral_counts
 from canvass.operators.sampling import new_policy_pool, random_sample
 from canvass.operators.snapshot import inforce_snapshot
 from canvass.operators.suppression import eligible, future_cancellations, suppression_list
@@ -26,6 +26,17 @@ ROLLUP_SCHEMA = ("policy_no string, well_groups bigint, vrcccount bigint, well_c
                  "med_claimedamount decimal(18,2), med_paidamount decimal(18,2), med_eligibleamount decimal(18,2)")
 
 
+def first_policy_by_join(f1, nps):
+    """The first policies of any F1, by aggregate and join."""
+    mins = nps.groupBy("insured_code").agg(F.min("policy_no").alias(MIN_POLICY)).filter(F.col("insured_code").isNotNull())
+    return f1.join(mins, "insured_code").filter(F.col("policy_no") == F.col(MIN_POLICY)).drop(MIN_POLICY)
+
+
+def with_referrals(nps, referrals):
+    """The household profile with its referral count (NULL when none)."""
+    return nps.join(referrals.select(F.col("vi_insured").alias("insured_code"), "policy_referred_count"), "insured_code", "left")
+
+
 def profile(spark, records):
     schema = ", ".join(f"{c} {PROFILE_TYPES.get(c, 'string')}" for c in PROFILE_COLUMNS)
     data = [tuple(r.get(c) for c in PROFILE_COLUMNS) for r in records]
