@@ -10,7 +10,8 @@ is over the budget, and descends only while a node of the pair holds more than
 ``leaf`` fingerprints, so a crowded part of the trie is split further and no
 task meets more than ``leaf`` times ``leaf`` of them at once.  Inside a pair of
 leaves numpy does the rest of the walk and hands on a spanning forest of the
-links it found, which keeps every component whole.
+links it found, which keeps every component whole.  A fingerprint or a
+component with very many rows is salted where it is joined.
 
 Defined cases: null and empty texts, and texts of white space only, have the
 fingerprint zero and are linked like any other; repeated rows come back once
@@ -29,8 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from canvass.operators.skew import join_per_key
+
 from .common import ROW_KEY, read_table, row_key, stored, text_batches
-from .graph import components
+from .graph import HOT_ROWS, components
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -171,23 +174,25 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> DataFra
 
 
 def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
-                          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                          doc_id: str = "doc_id", text: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``doc_id, th, fp, label, component_id`` per document; label is the component's smallest fingerprint."""
     prints = stored(fingerprints(docs, shingle, doc_id, text), "prints")
-    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
+    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "fps")
     # Fingerprints without a link are their own component and stay out of the walk over labels.
-    labels = components(links(fps.select("fp"), max_bits, leaf))
-    named = fps.join(labels, fps["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    labels = components(links(fps.select("fp"), max_bits, leaf), hot_rows=hot_rows)
+    named = fps.join(labels, fps["fp"] == labels["node"], "left").select("fp", "first", "copies", F.coalesce("label", "fp").alias("label"))
     named = stored(named, "named")
-    heads = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_fp = named.join(heads, "label").select(F.col("fp").alias("of"), "label", "component_id")
-    return prints.join(by_fp, F.col("fp") == F.col("of")).select("doc_id", "th", "fp", "label", "component_id")
+    heads = stored(named.groupBy("label").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "heads")
+    by_fp = join_per_key(named, heads, "label", rows_per_key="n", hot_rows=hot_rows, salt_by=["fp"], how="inner")
+    by_fp = stored(by_fp.select("fp", "copies", "label", "component_id"), "byfp")
+    out = join_per_key(prints, by_fp, "fp", rows_per_key="copies", hot_rows=hot_rows, salt_by=["doc_id", "th"], how="inner")
+    return out.select("doc_id", "th", "fp", "label", "component_id")
 
 
 def simhash_near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf: int = LEAF,
-                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                       doc_id: str = "doc_id", text: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id``, one row per document."""
-    out = near_duplicate_groups(docs, shingle, max_bits, leaf, doc_id, text)
+    out = near_duplicate_groups(docs, shingle, max_bits, leaf, doc_id, text, hot_rows)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -10,11 +10,13 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from canvass.llm import graph
 from canvass.llm import mixing as M
 from canvass.llm import neighbours as N
 from canvass.llm import simhash as H
 from canvass.llm import substring_dedup as P
 from canvass.llm.graph import components
+from canvass.operators.skew import join_per_key
 
 from .test_text_operators import clashing, documents
 
@@ -62,7 +64,7 @@ def test_simhash_equals_brute_force(spark, leaf):
     for (i, _), f in fps.items():
         if i is not None:
             name[root[f]] = min(i, name.get(root[f], i))
-    got = H.simhash_near_dedup(clashing(documents(spark, rows)), leaf=leaf).collect()
+    got = H.simhash_near_dedup(clashing(documents(spark, rows)), leaf=leaf, hot_rows=5 if leaf == 3 else H.HOT_ROWS).collect()
     want = [(i, f"{fps[i, t]:016x}", name[root[fps[i, t]]]) for i, t, _ in rows]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
@@ -82,6 +84,32 @@ def test_components_of_long_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_star_of_half_of_all_nodes_is_salted(spark, monkeypatch):
+    shares = []
+
+    def spied(*args, **more):
+        out = join_per_key(*args, **more)
+        counts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        shares.append(max(counts) / sum(counts))
+        return out
+
+    monkeypatch.setattr(graph, "join_per_key", spied)
+    star = spark.range(1, 20001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    rest = spark.range(30000, 50000, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in own}
+    try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        got = components(star.unionByName(rest), hot_rows=500)
+        heads = {r.label: r["count"] for r in got.groupBy("label").count().collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert heads.pop(0) == 20001 and len(heads) == 10000 and set(heads.values()) == {2}
+    assert max(shares) < 0.35  # 8 partitions: a third of the rows in one task would be the hot key
+
+
 def test_passages_are_found_and_clean_documents_left_alone(spark):
     rng = random.Random(4)
     fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
