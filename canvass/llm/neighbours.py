@@ -10,7 +10,9 @@ The top of a kd-tree, fitted on a bounded sample of projected vectors, deals
 every vector to a cell; large cells are cut into blocks of ``BLOCK`` rows by
 hash.  A query goes to those cells whose box could hold a neighbour: its
 distance to the box, against the distance of its ``k``-th neighbour in the
-sample (an upper bound), must not pass the stopping test.  In a block the
+sample (an upper bound), must not pass the stopping test.  Queries of nearby
+cells travel together, ``QUERIES`` at most, and a cell's vectors are sent only
+to the groups that hold a query asking for it.  In a block the
 vectors get a kd-tree of their own; its leaves are taken in order of projected
 distance, their vectors verified in double precision, until the test holds:
 the chance that a vector as near as the present ``k``-th lies beyond the last
@@ -21,30 +23,34 @@ Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do rows without an id; the dimension is the
 commonest length (the larger of equally common ones), other lengths take no
 part; rows that repeat both id and vector count once, and a row never is a
-neighbour of its own id; ties go to the smaller id; an empty table gives an
-empty result.
+neighbour of its own id; rows of one query id with different vectors are
+queries of their own, told apart by ``query_hash``; ties go to the smaller id;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from canvass.operators.skew import join_per_key
+
 from .common import read_table, stored
 
 K = 20
 EVERY = 20
 #: Projected dimensions, and the chance with which each true neighbour is seen.
 DIMS, CONFIDENCE = 8, 0.98
-#: The index's cells are fitted on at most so many vectors; there are at most so many cells.
+#: The index's cells are fitted on about so many vectors, chosen by hash; there are at most so many cells.
 SAMPLE, CELLS = 4096, 256
-#: Vectors in a block, queries in a block, vectors in a leaf of a block's tree.
-BLOCK, QUERIES, LEAF = 4096, 1024, 64
+#: Vectors in a block, queries in a group, vectors in a leaf of a block's tree.
+BLOCK, QUERIES, LEAF = 4096, 16384, 64
+#: A cell of more vectors than this is salted where it meets its groups of queries.
+HOT_ROWS = 100_000
 SEED = 7
 
 
@@ -176,9 +182,25 @@ def _best(n: np.ndarray, i: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
     return order[np.arange(len(order)) - first < k]
 
 
+def query_groups(counts: dict[int, int], cells: int, most: int) -> tuple[list[int], list[int]]:
+    """First group and number of groups for the queries of every home cell: consecutive cells,
+    which are neighbours in the tree, share a group of ``most`` queries; larger ones take several."""
+    first, lanes, at, held = [], [], 0, 0
+    for c in range(cells):
+        n = counts.get(c, 0)
+        if held and held + n > most:
+            at, held = at + 1, 0
+        first.append(at)
+        lanes.append(max(1, -(-n // most)))
+        held += n
+        if n > most:
+            at, held = at + lanes[-1], 0
+    return first, lanes
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, bounds: np.ndarray, index: Index,
                  k: int = K, confidence: float = CONFIDENCE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` nearest found in one block for each query: query ids, ids, scores.
+    """The ``k`` nearest found in one block for each query: places of the queries, ids, scores.
 
     All queries advance together: in a round each takes its next few leaves,
     and a leaf is multiplied once with all queries that take it.
@@ -222,17 +244,17 @@ def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
         np.minimum.at(lowest, n, v)
         worst = np.where(full, np.maximum(worst, lowest), worst)
         at, stride = at + stride, 2 * stride
-    return qids[n], i, v
+    return n, i, v
 
 
 def nearest(table: DataFrame, is_query: Column, k: int = K, confidence: float = CONFIDENCE, vec_id: str = "vec_id",
             embedding: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every query row.
+    """``query_id, rank, vec_id, score, query_hash`` of the ``k`` nearest found for every query row.
 
     ``is_query`` is a condition on the column ``vec_id``.
     """
     spark = table.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
+    schema = "query_id long, rank int, vec_id long, score double, query_hash long"
     vectors = stored(valid_vectors(table, vec_id, embedding), "vectors")
     lengths = vectors.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     if lengths is None:
@@ -241,7 +263,9 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, confidence: float =
     vectors = vectors.filter(F.size("v") == dim)
     square = lambda x: F.aggregate(x, F.lit(0.0), lambda a, c: a + c * c)
     top = float(vectors.agg(F.max(square(F.col("v")))).first()[0]) ** 0.5
-    sample = np.array([r["v"] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).collect()], np.float64)
+    # A share of the rows by hash: nothing is sorted for it, and no partition sends more than its share.
+    share = F.pmod(F.xxhash64("vec_id", "v", F.lit(SEED)), F.lit(2**40)) < int(min(1.0, SAMPLE / rows) * 2**40)
+    sample = np.array([v for _, v in sorted(map(tuple, vectors.filter(share).collect()))], np.float64).reshape(-1, dim)
     index = Index(sample, top, dim, rows)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,45 +275,48 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, confidence: float =
 
     dealt = stored(vectors.mapInPandas(deal, "cell long, vec_id long, x binary"), "cells")
     sizes = {r["cell"]: r["count"] for r in dealt.groupBy("cell").count().collect()}  # one row per cell
-    blocks = {c: -(-n // BLOCK) for c, n in sizes.items()}
-    asked = vectors.filter(is_query)
-    groups = max(1, -(-asked.count() // QUERIES))
-
+    blocks = [max(1, -(-sizes.get(c, 0) // BLOCK)) for c in range(2**index.depth)]
+    by_cell = lambda numbers, cell: F.element_at(F.array(*map(F.lit, numbers)), (F.col(cell) + 1).cast("int")).cast("long")
     lo, hi = index.boxes()
     limit = chi_square_quantile(confidence, DIMS)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             q = np.stack(b["v"].to_numpy()) if len(b) else np.empty((0, dim))
-            pq, raw = index.project(q), packed(q)
+            pq = index.project(q)
             # One of the sample's rows may be the query itself: the k + 1-th bounds the k-th.
             scores = np.sort(q @ index.sample.T, axis=1)
             bound = scores[:, -(k + 1)] if scores.shape[1] > k else np.full(len(q), -np.inf)
-            for n, i in enumerate(b["vec_id"]):
-                reach = max(index.top**2 + float(q[n] @ q[n]) - 2 * bound[n], 0.0)
-                for c in np.nonzero(box_distance(pq[n], lo, hi) <= limit * reach)[0] if np.isfinite(bound[n]) else range(len(lo)):
-                    out += [(int(c), s, int(i), raw[n], float(bound[n])) for s in range(blocks.get(int(c), 0))]
-            yield pd.DataFrame(out, columns=["cell", "block", "query_id", "q", "bound"])
-
-    queries = asked.mapInPandas(ask, "cell long, block long, query_id long, q binary, bound double").withColumn(
-        "grp", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
-    # A cell's rows are dealt to its blocks by hash, and go to every group of queries.
-    count_of = reduce(lambda c, kv: c.when(F.col("cell") == kv[0], kv[1]), sorted((c, n) for c, n in blocks.items() if n > 1), F.when(F.lit(False), 1))
-    rows_of = dealt.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.coalesce(count_of, F.lit(1)).cast("long")))
-    rows_of = rows_of.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+            reach = np.maximum(index.top**2 + (q * q).sum(1) - 2 * bound, 0.0)
+            asked = [[c for c in np.nonzero(box_distance(pq[n], lo, hi) <= limit * reach[n])[0].tolist() if c in sizes] for n in range(len(q))]
+            yield pd.DataFrame({"query_id": b["vec_id"], "query_hash": b["query_hash"], "q": packed(q), "bound": bound,
+                                "home": index.cell(pq), "cells": asked})
+
+    asking = vectors.filter(is_query).withColumn("query_hash", F.xxhash64("v"))
+    asking = stored(asking.mapInPandas(ask, "query_id long, query_hash long, q binary, bound double, home long, cells array<long>"), "queries")
+    homes = {r["home"]: r["count"] for r in asking.groupBy("home").count().collect()}  # one row per cell
+    first, lanes = query_groups(homes, 2**index.depth, QUERIES)
+    grp = by_cell(first, "home") + F.pmod(F.xxhash64("query_id", "query_hash"), by_cell(lanes, "home"))
+    asking = asking.select("query_id", "query_hash", "q", "bound", grp.alias("grp"), F.explode("cells").alias("cell"))
+    routes = asking.select("cell", "grp").distinct().groupBy("cell").agg(F.collect_list("grp").alias("grps"))
+    routes = stored(routes.withColumn("n", by_cell([sizes.get(c, 0) for c in range(2**index.depth)], "cell")), "routes")
+    queries = asking.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), by_cell(blocks, "cell") - 1)))
+    # A cell's rows are dealt to its blocks by hash, and go to the groups that ask for the cell.
+    rows_of = join_per_key(dealt, routes, "cell", rows_per_key="n", hot_rows=HOT_ROWS, salt_by=["vec_id", "x"], how="inner")
+    rows_of = rows_of.select("cell", F.pmod(F.xxhash64("vec_id", "x"), by_cell(blocks, "cell")).alias("block"), F.explode("grps").alias("grp"), "vec_id", "x")
 
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        q, i, s = search_block(left["vec_id"].to_numpy(), unpacked(left["x"], dim), right["query_id"].to_numpy(),
+            return pd.DataFrame({"query_id": [], "query_hash": [], "vec_id": [], "score": []}).astype(
+                {"query_id": "int64", "query_hash": "int64", "vec_id": "int64", "score": "float64"})
+        n, i, s = search_block(left["vec_id"].to_numpy(), unpacked(left["x"], dim), right["query_id"].to_numpy(),
                                unpacked(right["q"], dim), right["bound"].to_numpy(), index, k, confidence)
-        return pd.DataFrame({"query_id": q, "vec_id": i, "score": s})
+        return pd.DataFrame({"query_id": right["query_id"].to_numpy()[n], "query_hash": right["query_hash"].to_numpy()[n], "vec_id": i, "score": s})
 
     keys = ["cell", "block", "grp"]
-    found = rows_of.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = rows_of.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, query_hash long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_hash")
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

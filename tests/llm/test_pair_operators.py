@@ -277,11 +277,39 @@ def test_neighbours_recall_and_ties(spark, monkeypatch):
     assert all([got[q][r + 1] for r in range(20)] == sorted(got[q].values(), key=lambda p: (-p[1], p[0])) for q in got)
 
 
+def test_neighbours_of_small_groups_and_of_repeated_query_ids(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 256)
+    monkeypatch.setattr(N, "QUERIES", 30)
+    monkeypatch.setattr(N, "SAMPLE", 600)
+    monkeypatch.setattr(N, "HOT_ROWS", 100)  # cells are salted
+    rows = vectors(5, 2500)
+    rows.append((40, [-x for x in rows[40][1]]))  # another vector of a query id
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in N.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault((r.query_id, r.query_hash), []).append((r.rank, r.vec_id, r.score))
+    assert len(got) == 126 and all(sorted(r for r, *_ in v) == list(range(1, 21)) for v in got.values())
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float32).astype(np.float64)
+    hits = 0
+    two = sorted((v for (i, _), v in got.items() if i == 40), key=lambda v: v[0][2])
+    assert len(two) == 2
+    for n in np.nonzero(ids % 20 == 0)[0]:
+        s, m = N.inner(x, x[n]), ids != ids[n]
+        want = {int(i) for i, _ in sorted(zip(ids[m], s[m], strict=True), key=lambda p: (-p[1], p[0]))[:20]}
+        hits += max(len(want & {i for _, i, _ in v}) for (q, _), v in got.items() if q == ids[n])
+    assert hits >= 0.95 * 20 * 126
+
+
+def test_query_groups_hold_no_more_than_their_share():
+    first, lanes = N.query_groups({0: 5, 1: 4, 2: 25, 4: 3, 5: 7}, 7, 10)
+    assert first == [0, 0, 1, 4, 4, 4, 4] and lanes == [1, 1, 3, 1, 1, 1, 1]
+
+
 def test_neighbours_leave_out_what_has_no_direction(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [1.0, float("nan")]),
             (7, [float("inf"), 1.0]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1, [2.0, 1.0]), (20, [-1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = sorted(map(tuple, N.nearest(df, F.col("vec_id") % 20 == 0).collect()))
+    got = sorted(tuple(r)[:4] for r in N.nearest(df, F.col("vec_id") % 20 == 0).collect())
     assert got == [(0, 1, 1, 2.0), (0, 2, 20, -1.0), (20, 1, 0, -1.0), (20, 2, 1, -2.0)]
     assert N.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
