@@ -31,6 +31,8 @@ MAX_COPIES = 2
 STEPS = 60
 #: A source is balanced when its expected tokens are this close to the target, relatively.
 TOLERANCE = 1e-12
+#: After the last step a source may be this far off (rounding of large sums); beyond it the dual is not solved.
+LOOSE = 1e-6
 #: Multipliers are rounded to so many decimals: sums in another order then give the same rates.
 DECIMALS = 8
 #: Documents of one source and size that are ranked together.
@@ -116,8 +118,11 @@ def balance(hist: DataFrame, goal: DataFrame, max_copies: int = MAX_COPIES, step
                                   "lo", "hi", "off"), "dual", nxt_path)
         discard(spark, path)
         state, path = nxt, nxt_path
-        if (state.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
+        off = state.agg(F.max("off")).first()[0] or 0.0
+        if off <= TOLERANCE:
             break
+    if off > LOOSE:
+        raise RuntimeError(f"after {steps} steps a source is still {off:.1e} off its target")
     found = state.select(F.col("s"), F.round("lam", DECIMALS).alias("lam"))
     return goal.join(found, goal["source"].eqNullSafe(found["s"]), "left").select("source", mean.alias("mean"), "lam")
 

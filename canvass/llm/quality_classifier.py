@@ -2,8 +2,8 @@
 
 Every whole text is turned into a few shape numbers (:data:`FEATURES`); ids,
 labels, language and source are never among them.  On at most ``max_rows``
-labelled documents (those with the smallest hashes of their ids, so the sample
-is the same in every run) cyclic boosting visits one feature after the other
+labelled documents (all, or a share of the ids by hash, so the sample is the
+same in every run) cyclic boosting visits one feature after the other
 and adds a shallow tree on that feature alone to its lookup table; then the
 pairs with the largest remaining gain get tables of their own, also boosted in
 turn.  A score is the sum of the looked-up values through a sigmoid, for all
@@ -11,7 +11,8 @@ documents by vectorised bin additions.
 
 Defined cases: null texts are empty ones and get a score like any other; label
 rows without a label or a matching document are not used, repeated labels of a
-document are averaged (a tie counts as 1); without labels the score is 0.5,
+document are averaged (a tie counts as 1), of the texts of a repeated id the
+one with the smallest numbers is learned from; without labels the score is 0.5,
 with one class only it is that class's smoothed share; repeated rows come back
 once each; a null doc_id is not held out; an empty table gives an empty result.
 """
@@ -28,10 +29,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_batches
+from .common import read_table, stored, text_batches
 
 #: The classifier is fitted on at most so many labelled documents.
 MAX_ROWS = 20_000
+#: Standard deviations between the expected size of the sample and its bound.
+SPREAD = 6
 BINS, PAIR_BINS = 32, 8
 ROUNDS, PAIR_ROUNDS, PAIRS = 150, 60, 4
 RATE, RIDGE = 0.15, 2.0
@@ -177,7 +180,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id:
     """Fit on the bounded sample of labelled documents that are not held out."""
     known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).groupBy(
         F.col(doc_id).cast("long").alias("lid")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
-    known = known.orderBy(F.xxhash64("lid"), "lid").limit(max_rows)  # bounded, so it may be broadcast
+    known = stored(known, "known")
+    # A share of the labelled ids by hash, far enough below the bound that chance does not reach it.
+    n = known.count()
+    if n > max_rows:
+        share = max(0.0, max_rows - SPREAD * max_rows**0.5) / n
+        known = known.filter(F.pmod(F.xxhash64("lid"), F.lit(2**40)) < int(share * 2**40))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -187,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, doc_id:
     texts = text_batches(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     rows = texts.join(F.broadcast(known), F.col("id") == F.col("lid")).select("lid", "y", "text").mapInPandas(
         run, "lid long, y int, " + ", ".join(f"{f} double" for f in FEATURES))
-    rows = rows.orderBy(F.xxhash64("lid"), "lid", *FEATURES).limit(max_rows).select(*FEATURES, "y").toPandas()
+    # One row per labelled id, however often the id repeats.
+    rows = rows.groupBy("lid", "y").agg(F.min(F.struct(*FEATURES)).alias("f")).select("lid", "y", "f.*").toPandas().sort_values("lid")
     return fit(rows[list(FEATURES)].to_numpy(np.float64), rows["y"].to_numpy(np.float64))
 
 

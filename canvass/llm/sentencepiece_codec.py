@@ -9,8 +9,7 @@ pairs, best score first and leftmost among equals, drives the merges; characters
 that end up outside the vocabulary become byte pieces.  Parts seen before come
 from a bounded memo; the new ones of many texts run their agendas side by side
 in numpy, long ones run alone with a heap.  In every Arrow batch the library
-encodes all parts that are new to it as well, and its ids are taken (and counted
-in ``differences``) where they should differ.
+encodes all parts that are new to it as well; a difference ends the job.
 
 Defined cases: a null text is an empty one; an empty text has no ids, the
 digest of an empty string and decodes to an empty string; repeated rows come
@@ -69,7 +68,6 @@ class PieceCodec:
             if "\n" in solo:  # put before a part without a mark, it keeps the library's own mark off
                 self.before = self.lib.encode("\n", num_threads=1)
         self.memo: dict[str, bytes] = {}
-        self.differences = 0
         self._tables()
 
     def _tables(self) -> None:
@@ -186,8 +184,7 @@ class PieceCodec:
                 if p[0] != MARK:
                     right = right[len(self.before):] if self.before else ids
                 if ids != right and p != MARK:
-                    self.differences += 1
-                    ids = right
+                    raise RuntimeError(f"the agenda and the library differ on {p[:200]!r}")
             out[p] = array("i", ids).tobytes()
         return out
 
@@ -223,9 +220,8 @@ class PieceCodec:
         known.update(fresh)
         for t, x in zip(texts, parts, strict=True):
             ids = np.frombuffer(b"".join(map(known.__getitem__, x)), np.int32).tolist()
-            if not cut and ids != (lib_ids := self.lib.encode(t, num_threads=1)):
-                self.differences += 1
-                ids = lib_ids
+            if not cut and ids != self.lib.encode(t, num_threads=1):
+                raise RuntimeError(f"the agenda and the library differ on {t[:200]!r}")
             yield ids, ",".join(map(self.decimal.__getitem__, ids))
         for p in old:
             del known[p]
@@ -249,7 +245,8 @@ def codec(model: str) -> PieceCodec:
 
 def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` (all columns) with ``token_ids``, ``n_tokens`` and ``decodes_back``: whether
-    the library's decoding of the ids gives the text again."""
+    the library's decoding of the ids gives the text again.  Columns of ``docs`` with these
+    names give way to the new ones."""
     @F.pandas_udf("token_ids array<int>, n_tokens long, decodes_back boolean")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(model)
@@ -258,7 +255,8 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
             rows = [(np.array(ids, np.int32), len(ids), c.decode(ids) == t) for t, (ids, _) in zip(texts, c.encode_many(texts), strict=True)]
             yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decodes_back"])
 
-    return text_batches(docs).withColumn("__encoded", run(F.col(text))).select(*docs.columns, "__encoded.*")
+    return text_batches(docs).withColumn("__encoded", run(F.col(text))).select(
+        *[c for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "decodes_back")], "__encoded.*")
 
 
 def encoding_digest(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ pre-tokenizer cuts differently (each character is probed once) takes the
 library's cuts.  Special tokens inside a text count one each, as the library
 has it by default.
 
-A prefix here is cut under the whole text's own pieces.  Defined cases: a null
+Defined cases: a null
 text is an empty one and has no tokens; repeated rows come back once each; an
 empty table gives an empty result.
 """
@@ -22,7 +22,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, islice
 
@@ -40,6 +40,8 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The contractions that the pattern takes as pieces.
+CONTRACTIONS = frozenset((b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d"))
 #: Pieces and token pairs remembered per worker, and the longest remembered piece in bytes.
 MEMO = 300_000
 MEMO_BYTES = 64
@@ -87,6 +89,7 @@ class PrefixCounter:
         self.memo: dict[str, tuple[int, ...]] = {}
         self.plain: set[str] = set()
         self.odd: set[str] = set()
+        self.blanks: dict[str, bool] = {"": False}
 
     def merged(self, data: str) -> list[str]:
         """Tokens of a few bytes by running the merges in rank order."""
@@ -139,6 +142,13 @@ class PrefixCounter:
             same = all([t[s:e] for _, (s, e) in self.lib.pre_tokenize_str(t)] == self.pieces.findall(t) for t in tests)
             (self.plain if same else self.odd).add(c)
 
+    def blank(self, char: str) -> bool:
+        """Whether a character joins a blank after it: white space, as the pre-tokenizer sees it."""
+        known = self.blanks.get(char)
+        if known is None:
+            known = self.blanks[char] = len(self.lib.pre_tokenize_str(char + " ")) == 1
+        return known
+
     def split(self, text: str) -> list[str]:
         chars = set(text)
         if not chars <= self.plain:
@@ -168,29 +178,86 @@ class PrefixCounter:
 
 
 class PrefixTable:
-    """The counts of one text at every prefix, for any number of questions."""
+    """The counts of one text at every prefix, for any number of questions.
+
+    A prefix is cut into pieces as a text of its own.  That differs from the
+    whole text's pieces only at its end: a run of white space that the prefix
+    ends in is one piece, and a contraction or a special token may be cut short.
+    Those ends are counted anew, a run of white space once for all its prefixes.
+    A prefix that ends inside a character is counted under the whole text's pieces.
+    """
 
     def __init__(self, counter: PrefixCounter, text: str):
+        self.counter, self.raw = counter, text.encode()
         self.pieces = counter.counts(text)
         self.tokens = [0, *accumulate(c[-1] for c in self.pieces)]
         self.bytes = [0, *accumulate(len(c) for c in self.pieces)]
+        self.runs: dict[int, tuple[int, ...]] = {}
 
     def total(self) -> int:
         return self.tokens[-1]
 
+    def _special(self, k: int) -> bool:
+        return self.pieces[k][0] == 0
+
+    def _blank(self, k: int) -> bool:
+        """Whether piece ``k`` is white space only."""
+        return not self._special(k) and all(map(self.counter.blank, self.raw[self.bytes[k] : self.bytes[k + 1]].decode()))
+
+    def _run_start(self, k: int) -> int:
+        """The first piece of the run of white space that ends just before piece ``k``."""
+        while k and self._blank(k - 1):
+            k -= 1
+        return k
+
+    def _run(self, p: int) -> tuple[int, ...]:
+        """Prefix counts of the run of white space that starts with piece ``p``, taken as one piece."""
+        if p not in self.runs:
+            k = p
+            while k < len(self.pieces) and self._blank(k):
+                k += 1
+            end = self.bytes[k]
+            if k < len(self.pieces) and not self._special(k):  # a word's own blank
+                first = self.raw[end : end + 4].decode(errors="ignore")[:1]
+                end += len(first.encode()) if self.counter.blank(first) else 0
+            self.runs[p] = self.counter.prefix_counts(self.raw[self.bytes[p] : end])
+        return self.runs[p]
+
     def at(self, n_bytes: int) -> int:
         """Tokens of the first ``n_bytes`` bytes."""
-        k = bisect_right(self.bytes, n_bytes) - 1
-        rest = n_bytes - self.bytes[k]
-        return self.tokens[k] + (self.pieces[k][rest - 1] if rest else 0)
+        if n_bytes == 0 or n_bytes == self.bytes[-1]:
+            return self.tokens[-1] if n_bytes else 0
+        k = bisect_left(self.bytes, n_bytes) - 1
+        start, end = self.bytes[k], self.bytes[k + 1]
+        table = self.tokens[k] + self.pieces[k][n_bytes - start - 1]
+        if self.raw[n_bytes] & 0xC0 == 0x80:
+            return table
+        if n_bytes < end and self._special(k):
+            j = self._run_start(k)
+            j = k - 1 if j == k and k and not self._special(k - 1) else j
+            return self.tokens[j] + sum(c[-1] for c in self.counter.counts(self.raw[self.bytes[j] : n_bytes].decode()))
+        if n_bytes < end and self.raw[start:end] in CONTRACTIONS:
+            return self.tokens[k] + sum(c[-1] for c in self.counter.counts(self.raw[start:n_bytes].decode()))
+        if not self._special(k) and self.counter.blank(self._last(n_bytes)):
+            p = self._run_start(k)
+            return self.tokens[p] + self._run(p)[n_bytes - self.bytes[p] - 1]
+        return table
+
+    def _last(self, n_bytes: int) -> str:
+        return self.raw[max(0, n_bytes - 4) : n_bytes].decode(errors="ignore")[-1:]
 
     def cut(self, budget: int) -> int:
-        """Bytes of the longest prefix of at most ``budget`` tokens."""
-        k = bisect_right(self.tokens, budget) - 1
-        if k == len(self.pieces):
+        """Bytes of the longest prefix of whole characters of at most ``budget`` tokens."""
+        if self.tokens[-1] <= budget:
             return self.bytes[-1]
-        left = budget - self.tokens[k]
-        return self.bytes[k] + max((i for i, c in enumerate(self.pieces[k], 1) if c <= left), default=0)
+        # An end that is counted anew starts two pieces back at most, so two pieces further none fits.
+        k = min(bisect_right(self.tokens, budget - 1) + 1, len(self.pieces) - 1) if budget > 0 else -1
+        while k >= 0:
+            for n in range(self.bytes[k + 1], self.bytes[k], -1):
+                if (n == len(self.raw) or self.raw[n] & 0xC0 != 0x80) and self.at(n) <= budget:
+                    return n
+            k -= 1
+        return 0
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -205,7 +272,7 @@ def counter(path: str) -> PrefixCounter:
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, cut_bytes``: cut_bytes is the length of
-    the longest prefix of at most ``limit`` tokens."""
+    the longest prefix of whole characters of at most ``limit`` tokens."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = counter(path)
         for b in batches:

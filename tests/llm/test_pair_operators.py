@@ -350,6 +350,24 @@ def test_mixing_meets_its_targets(spark):
     assert taken.columns == docs.columns and taken.agg(F.sum(F.size(F.filter(F.split("text", " "), lambda w: w != "")))).first()[0] == got.taken.sum()
 
 
+def test_mixing_rates_solve_the_dual(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.choice([1, 5, 40, 400])), rng.choice(["a", "a", "a", "b", "c"])) for i in range(600)]
+    got = M.mix(documents(spark, rows)).toPandas()
+    for _, of in got.groupby("source"):
+        z, goal = of["size"].to_numpy() / of["size"].mean(), of.target.iloc[0] / of["size"].mean()
+        lo, hi = -60.0, 60.0
+        for _ in range(200):  # plain bisection of the tilted total
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if (2 / (1 + np.exp(-mid * z)) * z).sum() < goal else (lo, mid)
+        if of.target.iloc[0] < 2 * of["size"].sum() * (1 - 1e-9):
+            assert np.allclose(of.rate, 2 / (1 + np.exp(-lo * z)), atol=1e-6)
+    sizes = M.stored(M.sized(documents(spark, rows)), "sizes")
+    hist = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("c"))
+    with pytest.raises(RuntimeError, match="off its target"):
+        M.balance(hist, M.targets(sizes), steps=1)
+
+
 def test_mixing_odd_tables(spark):
     empty = documents(spark, [(1, None, None), (2, "", "a")])
     assert [(r.size, r.taken) for r in M.mix(empty).collect()] == [(0, 0), (0, 0)]
