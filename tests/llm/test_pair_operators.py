@@ -392,3 +392,35 @@ def test_pipeline_stages(spark):
             assert H.simhash_near_dedup(docs).groupBy("component_id").count().filter("count > 1").count() == 0
     assert docs.filter("decodes_back").count() == counts[-1] == counts[-2]
     assert corpus_pipeline.STAGES[0][1](spark, before.limit(0), sf).count() == 0
+
+
+def test_word_hashes_in_bulk_are_those_of_the_library():
+    texts = [None, b"", b" \t\n", b"A b\x0bc\x0cd\re", "Zoë ΑΒΓ\x00 ÀB".encode(), b" ".join(bytes([97 + n % 26]) * n for n in range(1, 70)) + b"\n"]
+    got = P.word_hashes(texts)
+    assert [g.tolist() for g in got] == [[xxhash.xxh64_intdigest(w) for w in (t or b"").lower().split()] for t in texts]
+
+
+def test_texts_worked_on_together_have_the_seeds_of_each_alone():
+    rng = np.random.default_rng(4)
+    hashes = [rng.integers(0, 40, n).astype(np.uint64) for n in (0, 3, 4, 8, 9, 10, 300, 1, 2000, 64)]
+    many = P.Words(hashes)
+    for i, h in enumerate(hashes):
+        one = P.Words([h])
+        own = many.chosen[many.text[many.chosen] == i]
+        assert (own - many.start[i]).tolist() == (one.chosen - one.start[0]).tolist()
+        # the smallest of every WINDOW windows, the first of equals, by the plain definition
+        w = one.h[one.start[0] : one.start[0] + max(0, len(h) - P.SHINGLE + 1)].view(np.uint64)
+        plain = {s + int(np.argmin(w[s : s + P.WINDOW])) for s in range(max(1, len(w) - P.WINDOW + 1))} if len(w) else set()
+        assert (one.chosen - one.start[0]).tolist() == sorted(plain)
+
+
+def test_longest_stretch_is_that_of_a_plain_search():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        ax = np.cumsum(rng.integers(1, 3, 40))
+        ay = np.cumsum(rng.integers(1, 3, 40))
+        size = lambda i, j: min(ax[j] - ax[i], ay[j] - ay[i]) + 1
+        fit = [(i, j) for i in range(40) for j in range(i, 40) if size(i, j) >= 20
+               and j - i + 1 >= 0.8 * (max(ax[j] - ax[i], ay[j] - ay[i]) + 1) - 1e-9]
+        i, j = P._longest(ax, ay, 20, 0.8)
+        assert (size(i, j) if j >= 0 else 0) == max([size(*f) for f in fit], default=0) and (j < 0 or (i, j) in fit)
